@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -34,3 +37,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed before any later filter.
+
+    Spark pushes a filter below the projection that makes its column and then
+    computes the column twice. It does not push below a generator, so the row
+    passes through a one-element ``explode``, which moves no data.
+    """
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.select(F.explode(F.array(row)).alias("_row")).select("_row.*")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers when it was not submitted
+    with ``--py-files`` or installed on the executors. Done once per session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pressmill_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="run-"), "pressmill")
+    sc.addPyFile(
+        shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    )
+    sc._pressmill_shipped = True
