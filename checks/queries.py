@@ -14,7 +14,7 @@ from pressmill.functions.urls import host_in, host_of, url_date
 from pressmill.operators import extraction, filters, links, numbering
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
 from pressmill.plans.formatting import numbered_articles
-from pressmill.session import ship_package
+from pressmill.session import computed_once, ship_package
 from pressmill.sources.records import index_records, lead_records, sentence_records
 
 DOMAINS = ("example.com", "blog.ththan.example.net")
@@ -39,10 +39,8 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = V.table(spark, sf_dir, "documents")
-    return docs.select(
-        "doc_id",
-        F.posexplode(split_sentences(to_ascii(F.col("text")))).alias("at", "sentence"),
-    ).select("doc_id", (F.col("at") + 1).alias("sentence_no"), "sentence")
+    split = docs.select("doc_id", split_sentences(to_ascii(F.col("text"))).alias("sentences"))
+    return numbering.explode_sentences(computed_once(split))
 
 
 def _split_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +58,7 @@ def lead_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = V.documents_as_articles(spark, sf_dir).select(
-        "doc_id", "source", "query", "date", "pos"
-    )
+    articles = V.documents_as_articles(spark, sf_dir, "doc_id", "source", "query", "date", "pos")
     return numbering.number_articles(articles).select("doc_id", "source", "date", "article_no")
 
 

@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressmill.session import computed_once
+from pressmill.sources.tables import read_table
+
 SOURCES = ("AP", "BBC", "Reuters", "UPI", "XNA", "Voice of America")
 
 TITLE_MARKS = (
@@ -62,7 +65,7 @@ TAIL_MARKS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: tuple[str, ...], i: Column) -> Column:
@@ -79,11 +82,13 @@ def pick_sql(values: tuple[str, ...], i: str) -> str:
     return f"([{listed}])[CAST({i} % {len(values)} AS INTEGER) + 1]"
 
 
-def documents_as_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents_as_articles(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Every document as an article. The rows stand for stored ones, so what derives
+    them is computed once; name the ``columns`` wanted to read no others."""
     doc_id = F.col("doc_id")
     source = pick(SOURCES, doc_id)
     day = F.date_add(F.lit("2014-05-01").cast("date"), (doc_id % 61).cast("int"))
-    return table(spark, sf_dir, "documents").select(
+    articles = table(spark, sf_dir, "documents").select(
         "doc_id",
         source.alias("source"),
         F.lit("talks").alias("query"),
@@ -95,6 +100,7 @@ def documents_as_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(pick(TITLE_MARKS, doc_id), F.substring_index("text", "\n", 1)).alias("title"),
         F.concat(pick(CONTENT_MARKS, doc_id), F.col("text"), pick(TAIL_MARKS, doc_id)).alias("content"),
     )
+    return computed_once(articles.select(*columns) if columns else articles)
 
 
 ARTICLES_SQL = f"""
@@ -236,8 +242,10 @@ def documents_as_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(_END),
         )
         html = F.when(doc_id % len(PAGE_SOURCES) == i, page).otherwise(html)
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.concat(pick(PAGE_HOSTS, doc_id), doc_id).alias("url"), html.alias("html")
+    return computed_once(
+        table(spark, sf_dir, "documents").select(
+            "doc_id", F.concat(pick(PAGE_HOSTS, doc_id), doc_id).alias("url"), html.alias("html")
+        )
     )
 
 
@@ -301,8 +309,12 @@ def pages_as_results(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(LIST_PARTS[name][3]),
         )
         html = F.when(page_id % len(LIST_SOURCES) == i, page).otherwise(html)
-    return table(spark, sf_dir, "pages").select(
-        "page_id",
-        F.concat(pick(LIST_HOSTS, page_id), F.lit("/search/"), page_id, F.lit(".html?p=1")).alias("url"),
-        html.alias("html"),
+    return computed_once(
+        table(spark, sf_dir, "pages").select(
+            "page_id",
+            F.concat(pick(LIST_HOSTS, page_id), F.lit("/search/"), page_id, F.lit(".html?p=1")).alias(
+                "url"
+            ),
+            html.alias("html"),
+        )
     )

@@ -11,31 +11,26 @@ from pressmill.functions.text import strip
 _UPI_NOISE = r"(?d).*\s{2,3}?|.* Updated|Updated?"
 _VOA_NOISE = r"(?d).*\s{2,3}?|.* updated on:|Updated?"
 
-# The date formats of each source, most usual first.
+# The date formats of each source, most usual first. The quoted ends
+# are put there by the clean-up below, so that only a whole date line fits.
 FORMATS = {
     "AP": ("MMM. d, yyyy",),
     "BBC": ("d MMMM yyyy",),
-    "BBC old": ("H:m, d MMMM yyyy",),
-    "Reuters": ("MMM d, yyyy h:ma",),
+    "BBC old": ("H:m 'GMT', d MMMM yyyy",),
+    "Reuters": ("MMM d, yyyy h:ma 'ET'",),
     "UPI": ("MMMM d, yyyy h:m a", "MMM. d, yyyy h:m a"),
-    "VOA": ("MMMM d, yyyy H:m",),
+    "VOA": ("MMMM d, yyyy H:m 'M'",),
     "XNA": ("yyyy-M-d H:m:s",),
 }
 _WEEKDAY = "(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day"
 _WEEKDAY_SHORT = "(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)"
 
 
-def _only(c: Column, pattern: str, *groups: int) -> Column:
-    """The matched groups joined by ", "; NULL when the whole does not match."""
-    parts = [F.regexp_extract(c, pattern, g) for g in groups]
-    return F.when(c.rlike(pattern), F.concat_ws(", ", *parts))
-
-
 def clean_date_text(c: Column, source: str) -> Column:
     """E5: what is left of a date line once labels, weekday and zone are gone.
 
     ``source`` is a key of :data:`FORMATS`. Runs of whitespace become one space,
-    because the formats below match exactly one.
+    because the formats match exactly one.
     """
     if source == "UPI":
         c = F.replace(strip(F.replace(strip(c), F.lit("|"))), F.lit(" at "), F.lit(" "))
@@ -44,25 +39,30 @@ def clean_date_text(c: Column, source: str) -> Column:
         c = F.regexp_replace(strip(c), _VOA_NOISE, "")
     c = F.regexp_replace(strip(c), r"\s+", " ")
     if source == "BBC old":
-        # A second clock may follow the date: six words are enough.
-        c = F.array_join(F.slice(F.split(c, " "), 1, 6), " ")
-        c = _only(c, rf"(?i)^(\d+:\d+) GMT, {_WEEKDAY}, (\d+ [A-Z]+ \d+)\z", 1, 2)
+        # A second clock may follow the date: its first six words are enough.
+        c = F.regexp_replace(c, rf"(?i)^(\S+ GMT), {_WEEKDAY}, (\S+ \S+ \S+)(?: .*)?$", "$1, $2")
     elif source == "Reuters":
-        c = _only(c, rf"(?i)^{_WEEKDAY_SHORT} (.* \d+:\d+[AP]M) E[DS]T\z", 1)
+        c = F.regexp_replace(c, rf"(?i)^{_WEEKDAY_SHORT} (.*) E[DS]T$", "$1 ET")
     elif source == "VOA":
         # The clock is a 24 hour one, so AM or PM says nothing.
-        c = _only(c, r"(?i)^(.* \d+:\d+) [AP]M\z", 1)
+        c = F.regexp_replace(c, r"(?i) [AP]M$", " M")
     return c
 
 
 def parse_date(c: Column, source: str) -> Column:
-    """The timestamp in a cleaned date text, NULL if no format fits."""
+    """The timestamp in a cleaned date text, NULL if its format does not fit.
+
+    Only the abbreviated month of the second format ends in a full stop, so the
+    text says which format to use; failing on the first would cost far more.
+    """
     first, *more = FORMATS[source]
-    tries = [F.try_to_timestamp(c, F.lit(first))]
-    if source == "UPI":
-        c = F.regexp_replace(F.replace(c, F.lit("Sept."), F.lit("Sep.")), r"[^\x00-\x7F]+", "")
-    tries += [F.try_to_timestamp(c, F.lit(f)) for f in more]
-    return F.coalesce(*tries)
+    parsed = F.try_to_timestamp(c, F.lit(first))
+    for other in more:
+        plain = F.regexp_replace(F.replace(c, F.lit("Sept."), F.lit("Sep.")), r"[^\x00-\x7F]+", "")
+        parsed = F.when(F.contains(c, F.lit(".")), F.try_to_timestamp(plain, F.lit(other))).otherwise(
+            parsed
+        )
+    return parsed
 
 
 def render_date(ts: Column, date_format: str) -> Column:

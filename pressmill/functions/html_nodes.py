@@ -44,6 +44,7 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tag, self.attrs, self.parent, self.span = [""], [{}], [0], [[0, 0]]
         self.events: list[tuple[int, str | None]] = []
+        self._tagged: dict[str, list[int]] = {}
         self._open = [0]
         self._joins = False
         self.feed(html)
@@ -66,6 +67,7 @@ class Page(HTMLParser):
         self.attrs.append({k: v or "" for k, v in attrs})
         self.parent.append(self._open[-1])
         self.span.append([len(self.events), 0])
+        self._tagged.setdefault(tag, []).append(node)
         self.events.append((node, None))
         self._open.append(node)
         if tag in _VOID:
@@ -118,7 +120,11 @@ class Page(HTMLParser):
 
     def find(self, *paths: tuple[Step, ...]) -> list[int]:
         """Nodes matching any path, in document order."""
-        return [n for n in range(1, len(self.tag)) if any(self.matches(n, p) for p in paths)]
+        found = set()
+        for path in paths:
+            for tag in path[-1].tags or self._tagged:
+                found.update(n for n in self._tagged.get(tag, ()) if self.matches(n, path))
+        return sorted(found)
 
     def texts(self, *paths: tuple[Step, ...]) -> list[str]:
         """Texts directly inside matching nodes, in document order."""

@@ -41,8 +41,13 @@ def _bounded(word: str) -> str:
 
 
 def has_word(c: Column, *words: str) -> Column:
-    """any of ``words`` as a whole word, case-sensitive. Words are patterns."""
-    return c.rlike("|".join(_bounded(w) for w in words))
+    """any of ``words`` as a whole word, case-sensitive. Words are patterns.
+
+    Most texts hold none of them, and a plain search finds that out far sooner than
+    the pattern does.
+    """
+    tests = [F.contains(c, F.lit(w.strip("()"))) & c.rlike(_bounded(w)) for w in words]
+    return reduce(lambda a, b: a | b, tests)
 
 
 def _opens_with(c: Column, openings: tuple[str, ...]) -> Column:

@@ -7,6 +7,8 @@ the pieces decides which cuts hold.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,20 +39,22 @@ _CANDIDATE = r'(?<=[.?!])(?=\s+[A-Z"\d+(])'
 _BLOCK = 256
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _describe(piece: Column, i: Column, abbreviations: tuple[str, ...]) -> Column:
     """What the fold needs to know about one piece of text."""
     length = F.char_length(piece)
     body = F.when(i == 0, piece).otherwise(F.ltrim(piece, F.lit(WHITESPACE)))
     word = F.substring_index(piece, " ", -1)
     short = F.char_length(word)
-    initial = word.rlike(r"^[A-Z]\.\z")
+    initial = (short == 2) & word.between("A.", "Z.") & word.endswith(".")
     known = F.lower(word).isin(*abbreviations)
-    # A word only counts when a space precedes it; at the very start of the text
-    # an abbreviation also needs a character before that space.
-    in_run = F.when(i == 0, ((short < length) & initial) | ((short < length - 1) & known)).otherwise(
-        (short < length) & (initial | known)
-    )
-    at_start = (short < F.char_length(body)) & (initial | known)
+    # A word is protected if a space precedes it. At the very start of the text an
+    # abbreviation also needs a character before that space.
+    before = length - short - F.when((i == 0) & ~initial, 1).otherwise(0)
     return F.struct(
         piece.alias("text"),
         body.alias("body"),
@@ -60,8 +64,8 @@ def _describe(piece: Column, i: Column, abbreviations: tuple[str, ...]) -> Colum
             "open"
         ),
         (length - F.char_length(F.replace(piece, F.lit('"')))).alias("quotes"),
-        in_run.alias("blocked_in_run"),
-        at_start.alias("blocked_at_start"),
+        (initial | known).alias("protected"),
+        before.alias("before"),
     )
 
 
@@ -78,7 +82,9 @@ def _step(state: Column, piece: Column) -> Column:
     fresh = state["fresh"]
     opened = state["open"] + piece["open"]
     quotes = state["quotes"] + piece["quotes"]
-    blocked = F.when(fresh, piece["blocked_at_start"]).otherwise(piece["blocked_in_run"])
+    # What the fresh sentence leaves out before the word is the gap it was cut at.
+    gap = F.when(fresh, piece["n"] - piece["body_n"]).otherwise(0)
+    blocked = piece["protected"] & (piece["before"] > gap)
     ends = (opened == 0) & (quotes % 2 == 0) & ~blocked
     added = F.when(fresh, piece["body"]).otherwise(piece["text"])
     run_length = state["run_length"] + F.when(fresh, piece["body_n"]).otherwise(piece["n"])
@@ -109,9 +115,8 @@ def split_sentences(text: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS
     nothing is left the last piece is returned alone (G8).
     """
     no_text = F.array().cast("array<string>")
-    pieces = F.transform(F.split(text, _CANDIDATE), lambda p, i: _describe(p, i, abbreviations))
 
-    def fold(pieces: Column) -> Column:
+    def fold(text: Column, pieces: Column) -> Column:
         last = F.element_at(pieces, -1)
         blocks = F.transform(
             F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1)), F.lit(_BLOCK)),
@@ -150,8 +155,11 @@ def split_sentences(text: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS
 
         return F.aggregate(blocks, start, block_step, finish)
 
-    # One-element array: binds the described pieces to a name, evaluated once.
-    return F.get(F.transform(F.array(pieces), fold), F.lit(0))
+    def split(text: Column) -> Column:
+        pieces = F.transform(F.split(text, _CANDIDATE), lambda p, i: _describe(p, i, abbreviations))
+        return _bind(pieces, lambda described: fold(text, described))
+
+    return _bind(text, split)
 
 
 # Sentences and articles dropped after splitting, and the marker

@@ -205,7 +205,7 @@ def _content(keywords: tuple[str, ...]) -> Column:
 
 def complete(df: DataFrame) -> DataFrame:
     """Rows with a title, a date and content. Reuters content may be empty."""
-    return df.where(missing_field().isNull())
+    return computed_once(df).where(missing_field().isNull())
 
 
 def missing_field() -> Column:

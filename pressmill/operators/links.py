@@ -15,6 +15,7 @@ from pressmill.functions.html_nodes import Page
 from pressmill.functions.urls import host_in, host_of, resolve_url, url_date, url_year
 from pressmill.operators.extraction import with_origin
 from pressmill.operators.layouts import DOMAINS, LINK_RULES, LinkRule
+from pressmill.session import computed_once
 
 _HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 
@@ -22,7 +23,8 @@ _HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 def all_links(pages: DataFrame) -> DataFrame:
     """L1, L2, native form: every link of every page, resolved, in page order."""
     hrefs = F.regexp_extract_all("html", F.lit(_HREF), F.lit(1))
-    return pages.select(F.col("url").alias("page_url"), F.posexplode(hrefs).alias("pos", "href")).select(
+    found = computed_once(pages.select(F.col("url").alias("page_url"), hrefs.alias("hrefs")))
+    return found.select("page_url", F.posexplode("hrefs").alias("pos", "href")).select(
         "page_url", "pos", resolve_url(F.col("href"), F.col("page_url")).alias("url")
     )
 

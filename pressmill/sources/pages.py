@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pressmill.sources.tables import read_table
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """``url``, ``html`` and ``query`` if stored; other columns are not read."""
-    pages = spark.read.parquet(path)
+    pages = read_table(spark, path)
     return pages.select(*[c for c in ("url", "html", "query") if c in pages.columns])
