@@ -11,15 +11,15 @@ from pressmill.functions.text import strip
 _UPI_NOISE = r"(?d).*\s{2,3}?|.* Updated|Updated?"
 _VOA_NOISE = r"(?d).*\s{2,3}?|.* updated on:|Updated?"
 
-# The date formats of each source, most usual first. The quoted ends
-# are put there by the clean-up below, so that only a whole date line fits.
+# The date formats of each source, most usual first. The bars are put
+# in by the clean-up below, so that only a whole date line fits.
 FORMATS = {
     "AP": ("MMM. d, yyyy",),
     "BBC": ("d MMMM yyyy",),
-    "BBC old": ("H:m 'GMT', d MMMM yyyy",),
-    "Reuters": ("MMM d, yyyy h:ma 'ET'",),
+    "BBC old": ("H:m 'GMT|'d MMMM yyyy",),
+    "Reuters": ("MMM d, yyyy h:ma'|'",),
     "UPI": ("MMMM d, yyyy h:m a", "MMM. d, yyyy h:m a"),
-    "VOA": ("MMMM d, yyyy H:m 'M'",),
+    "VOA": ("MMMM d, yyyy H:m'|'",),
     "XNA": ("yyyy-M-d H:m:s",),
 }
 _WEEKDAY = "(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day"
@@ -40,12 +40,12 @@ def clean_date_text(c: Column, source: str) -> Column:
     c = F.regexp_replace(strip(c), r"\s+", " ")
     if source == "BBC old":
         # A second clock may follow the date: its first six words are enough.
-        c = F.regexp_replace(c, rf"(?i)^(\S+ GMT), {_WEEKDAY}, (\S+ \S+ \S+)(?: .*)?$", "$1, $2")
+        c = F.regexp_replace(c, rf"(?i)^(\S+ GMT), {_WEEKDAY}, (\S+ \S+ \S+)(?: .*)?$", "$1|$2")
     elif source == "Reuters":
-        c = F.regexp_replace(c, rf"(?i)^{_WEEKDAY_SHORT} (.*) E[DS]T$", "$1 ET")
+        c = F.regexp_replace(c, rf"(?i)^{_WEEKDAY_SHORT} (.*) E[DS]T$", "$1|")
     elif source == "VOA":
         # The clock is a 24 hour one, so AM or PM says nothing.
-        c = F.regexp_replace(c, r"(?i) [AP]M$", " M")
+        c = F.regexp_replace(c, r"(?i) [AP]M$", "|")
     return c
 
 

@@ -30,6 +30,7 @@ _BLOCK = frozenset(
 _SELF_CLOSING = frozenset("li td th tr dt dd option".split())
 _HIDDEN = frozenset("script style noscript template title".split())
 _EMPHASIS = {"em": "_", "i": "_", "u": "_", "b": "**", "strong": "**"}
+_BOGUS = re.compile(r"<!\[[^>]*>?")
 _SPACES = re.compile(r"[ \t\n\r\f\v]+")
 
 
@@ -47,7 +48,8 @@ class Page(HTMLParser):
         self._tagged: dict[str, list[int]] = {}
         self._open = [0]
         self._joins = False
-        self.feed(html)
+        # A bogus declaration ends at the next bracket; the parser refuses some.
+        self.feed(_BOGUS.sub("", html) if "<![" in html else html)
         self.close()
         while self._open:
             self._end_innermost()

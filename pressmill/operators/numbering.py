@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pressmill.session import checkpointed
 
+_BROADCAST_ROWS = 500_000  # of four short columns each
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
@@ -47,12 +48,15 @@ def number_ordered(df: DataFrame, batch: tuple[str, ...] = ("source", "query"))
     before = (
         Window.partitionBy(*batch).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # At most one row per batch and partition.
-    runs = runs.select(
+    # At most one row per batch and partition, written down so that it can be counted.
+    runs = checkpointed(runs.select(
         *[F.col(c).alias(f"_{c}") for c in batch],
         "_part",
         (F.col("_first") - F.coalesce(F.sum("_n").over(before), F.lit(0)) - 1).alias("_base"),
-    )
+    ))
+    if runs.count() <= _BROADCAST_ROWS:
+        # Keeps the wide rows where they are; more batches than this are shuffled.
+        runs = F.broadcast(runs)
     same = F.col("_part") == part
     for c in batch:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
