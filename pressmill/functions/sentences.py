@@ -45,25 +45,25 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _describe(piece: Column, i: Column, abbreviations: tuple[str, ...]) -> Column:
-    """What the fold needs to know about one piece of text."""
-    length = F.char_length(piece)
-    body = F.when(i == 0, piece).otherwise(F.ltrim(piece, F.lit(WHITESPACE)))
+    """What the fold needs to know about one piece of text.
+
+    Marks and whitespace are one byte each, so byte lengths do for counting them.
+    """
+    size = F.octet_length(piece)
+    gap = F.when(i == 0, 0).otherwise(size - F.octet_length(F.ltrim(piece, F.lit(WHITESPACE))))
     word = F.substring_index(piece, " ", -1)
-    short = F.char_length(word)
-    initial = (short == 2) & word.between("A.", "Z.") & word.endswith(".")
+    initial = (F.octet_length(word) == 2) & word.between("A.", "Z.") & word.endswith(".")
     known = F.lower(word).isin(*abbreviations)
     # A word is protected if a space precedes it. At the very start of the text an
     # abbreviation also needs a character before that space.
-    before = length - short - F.when((i == 0) & ~initial, 1).otherwise(0)
+    before = size - F.octet_length(word) - F.when((i == 0) & ~initial, 1).otherwise(0)
+    opened = F.octet_length(F.replace(piece, F.lit(")"))) - F.octet_length(F.replace(piece, F.lit("(")))
     return F.struct(
         piece.alias("text"),
-        body.alias("body"),
-        length.alias("n"),
-        F.char_length(body).alias("body_n"),
-        (F.char_length(F.replace(piece, F.lit(")"))) - F.char_length(F.replace(piece, F.lit("(")))).alias(
-            "open"
-        ),
-        (length - F.char_length(F.replace(piece, F.lit('"')))).alias("quotes"),
+        F.char_length(piece).alias("n"),
+        gap.alias("gap"),
+        opened.alias("open"),
+        (size - F.octet_length(F.replace(piece, F.lit('"')))).alias("quotes"),
         (initial | known).alias("protected"),
         before.alias("before"),
     )
@@ -76,28 +76,41 @@ def _kept_length(n: Column) -> Column:
 def _step(state: Column, piece: Column) -> Column:
     """Add one piece: either the sentence ends with it or the run goes on.
 
-    ``run`` holds the text of the open sentence only while it is short enough to
-    be emitted; ``run_length`` stays exact beyond that.
+    A fresh sentence does not count the gap it was cut at. ``run`` holds the text
+    of the open sentence only while it is short enough to be emitted;
+    ``run_length`` stays exact beyond that.
     """
-    fresh = state["fresh"]
     opened = state["open"] + piece["open"]
     quotes = state["quotes"] + piece["quotes"]
-    # What the fresh sentence leaves out before the word is the gap it was cut at.
-    gap = F.when(fresh, piece["n"] - piece["body_n"]).otherwise(0)
+    gap = F.when(state["fresh"], piece["gap"]).otherwise(0)
     blocked = piece["protected"] & (piece["before"] > gap)
-    ends = (opened == 0) & (quotes % 2 == 0) & ~blocked
-    added = F.when(fresh, piece["body"]).otherwise(piece["text"])
-    run_length = state["run_length"] + F.when(fresh, piece["body_n"]).otherwise(piece["n"])
-    run = F.when(run_length <= MAX_LENGTH, F.concat(state["run"], added)).otherwise(F.lit(""))
-    return F.struct(
-        opened.alias("open"),
-        quotes.alias("quotes"),
-        ends.alias("fresh"),
-        F.when(ends, F.lit("")).otherwise(run).alias("run"),
-        F.when(ends, F.lit(0)).otherwise(run_length).alias("run_length"),
-        F.when(ends & _kept_length(run_length - 1), F.concat(state["out"], F.array(strip(run))))
-        .otherwise(state["out"])
-        .alias("out"),
+    ends = ~blocked & (opened == 0) & (quotes % 2 == 0)
+    length = state["run_length"] + piece["n"] - gap
+    run = F.concat(state["run"], piece["text"])
+    emitted = F.concat(state["out"], F.array(strip(run)))
+
+    def state_of(fresh: bool, run: Column, run_length: Column, out: Column) -> Column:
+        return F.struct(
+            opened.alias("open"),
+            quotes.alias("quotes"),
+            F.lit(fresh).alias("fresh"),
+            run.alias("run"),
+            run_length.alias("run_length"),
+            out.alias("out"),
+        )
+
+    return F.when(
+        ends,
+        state_of(
+            True,
+            F.lit(""),
+            F.lit(0),
+            F.when(_kept_length(length - 1), emitted).otherwise(state["out"]),
+        ),
+    ).otherwise(
+        state_of(
+            False, F.when(length <= MAX_LENGTH, run).otherwise(F.lit("")), length, state["out"]
+        )
     )
 
 
@@ -142,8 +155,8 @@ def split_sentences(text: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS
             )
 
         def finish(state: Column) -> Column:
-            added = F.when(state["fresh"], last["body_n"]).otherwise(last["n"])
-            tail_length = state["run_length"] + added
+            gap = F.when(state["fresh"], last["gap"]).otherwise(0)
+            tail_length = state["run_length"] + last["n"] - gap
             # The tail is the end of the text, however long it is.
             tail = strip(F.right(text, tail_length))
             out = F.flatten(state["out"])

@@ -73,11 +73,16 @@ def rejects_of(rows: DataFrame, stage: str) -> DataFrame:
 
 
 def write_articles(articles: DataFrame, path: str, mode: str = "append") -> None:
-    """S3: JSON objects, one folder per source and query."""
+    """S3: JSON objects, one folder per source and query.
+
+    Rows are brought together by folder first, else every task would leave a small
+    file in every folder. The hint lets Spark split a folder too large for a task.
+    """
     if "query" not in articles.columns:
         articles = articles.withColumn("query", F.lit(""))
     (
         articles.select(*ARTICLE.names, "query")
+        .hint("rebalance", "source", "query")
         .write.mode(mode)
         .partitionBy("source", "query")
         .json(path)
