@@ -34,9 +34,13 @@ ABBREVIATIONS = tuple(
 # Fixed value: terminator, whitespace, then what can open a sentence.
 _CANDIDATE = r'(?<=[.?!])(?=\s+[A-Z"\d+(])'
 
-#: Pieces folded between two flushes of the emitted sentences. Appending to an
-#: array copies it, so a flat fold over a book would cost its length squared.
-_BLOCK = 256
+#: Fewest pieces folded between two flushes of the sentences found. Appending to an
+#: array copies it, so a flat fold over a book would cost its length squared; blocks
+#: as long as there are blocks keep the copying small.
+_BLOCK = 32
+
+#: A sentence is noted as one number: its first piece and how many it has.
+_COUNT_BITS = 32
 
 
 def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -45,7 +49,7 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _describe(piece: Column, i: Column, abbreviations: tuple[str, ...]) -> Column:
-    """What the fold needs to know about one piece of text.
+    """What the fold needs to know about one piece of text, in numbers only.
 
     Marks and whitespace are one byte each, so byte lengths do for counting them.
     """
@@ -59,7 +63,7 @@ def _describe(piece: Column, i: Column, abbreviations: tuple[str, ...]) -> Colum
     before = size - F.octet_length(word) - F.when((i == 0) & ~initial, 1).otherwise(0)
     opened = F.octet_length(F.replace(piece, F.lit(")"))) - F.octet_length(F.replace(piece, F.lit("(")))
     return F.struct(
-        piece.alias("text"),
+        i.alias("i"),
         F.char_length(piece).alias("n"),
         gap.alias("gap"),
         opened.alias("open"),
@@ -73,50 +77,39 @@ def _kept_length(n: Column) -> Column:
     return (n > MIN_LENGTH) & (n < MAX_LENGTH)
 
 
+def _state(opened, quotes, fresh, first, length, out) -> Column:
+    return F.struct(
+        opened.alias("open"),
+        quotes.alias("quotes"),
+        fresh.alias("fresh"),
+        first.alias("first"),
+        length.alias("length"),
+        out.alias("out"),
+    )
+
+
+def _carry(state: Column, out: Column) -> Column:
+    return _state(*[state[f] for f in ("open", "quotes", "fresh", "first", "length")], out)
+
+
 def _step(state: Column, piece: Column) -> Column:
-    """Add one piece: either the sentence ends with it or the run goes on.
+    """Add one piece: either the sentence ends with it or the sentence goes on.
 
-    A fresh sentence does not count the gap it was cut at. ``run`` holds the text
-    of the open sentence only while it is short enough to be emitted;
-    ``run_length`` stays exact beyond that.
+    ``first`` and ``length`` describe the open sentence; a fresh one starts with
+    this piece and does not count the gap it was cut at.
     """
+    fresh = state["fresh"]
     opened = state["open"] + piece["open"]
     quotes = state["quotes"] + piece["quotes"]
-    gap = F.when(state["fresh"], piece["gap"]).otherwise(0)
-    blocked = piece["protected"] & (piece["before"] > gap)
-    ends = ~blocked & (opened == 0) & (quotes % 2 == 0)
-    length = state["run_length"] + piece["n"] - gap
-    run = F.concat(state["run"], piece["text"])
-    emitted = F.concat(state["out"], F.array(strip(run)))
-
-    def state_of(fresh: bool, run: Column, run_length: Column, out: Column) -> Column:
-        return F.struct(
-            opened.alias("open"),
-            quotes.alias("quotes"),
-            F.lit(fresh).alias("fresh"),
-            run.alias("run"),
-            run_length.alias("run_length"),
-            out.alias("out"),
-        )
-
+    gap = F.when(fresh, piece["gap"]).otherwise(0)
+    first = F.when(fresh, piece["i"]).otherwise(state["first"])
+    length = state["length"] + piece["n"] - gap
+    ends = ~(piece["protected"] & (piece["before"] > gap)) & (opened == 0) & (quotes % 2 == 0)
+    note = F.shiftleft(first.cast("bigint"), _COUNT_BITS) + (piece["i"] - first + 1)
+    found = F.when(_kept_length(length - 1), F.concat(state["out"], F.array(note)))
     return F.when(
-        ends,
-        state_of(
-            True,
-            F.lit(""),
-            F.lit(0),
-            F.when(_kept_length(length - 1), emitted).otherwise(state["out"]),
-        ),
-    ).otherwise(
-        state_of(
-            False, F.when(length <= MAX_LENGTH, run).otherwise(F.lit("")), length, state["out"]
-        )
-    )
-
-
-def _carry(state: Column, out: Column) -> Column:
-    names = ("open", "quotes", "fresh", "run", "run_length")
-    return F.struct(*[state[n].alias(n) for n in names], out.alias("out"))
+        ends, _state(opened, quotes, F.lit(True), first, F.lit(0), found.otherwise(state["out"]))
+    ).otherwise(_state(opened, quotes, F.lit(False), first, length, state["out"]))
 
 
 def split_sentences(text: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS) -> Column:
@@ -127,52 +120,54 @@ def split_sentences(text: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS
     (G4) and quotes (G5) so far. Sentences of unfit length are lost (G6, G7); if
     nothing is left the last piece is returned alone (G8).
     """
-    no_text = F.array().cast("array<string>")
+    none = F.array().cast("array<bigint>")
 
-    def fold(text: Column, pieces: Column) -> Column:
-        last = F.element_at(pieces, -1)
+    def fold(text: Column, pieces: Column, described: Column) -> Column:
+        last = F.element_at(described, -1)
+        # All pieces but the last, which ends the text and is no cut.
+        cuts = F.size(described) - 1
+        block = F.greatest(F.lit(_BLOCK), F.sqrt(cuts).cast("int"))
         blocks = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1)), F.lit(_BLOCK)),
-            lambda at: F.slice(
-                pieces, at, F.least(F.lit(_BLOCK), F.greatest(F.size(pieces) - at, F.lit(0)))
-            ),
+            F.sequence(F.lit(1), F.greatest(cuts, F.lit(1)), block),
+            lambda at: F.slice(described, at, F.least(block, F.greatest(cuts + 1 - at, F.lit(0)))),
         )
-        start = F.struct(
-            F.lit(0).alias("open"),
-            F.lit(0).alias("quotes"),
-            F.lit(False).alias("fresh"),
-            F.lit("").alias("run"),
-            F.lit(0).alias("run_length"),
-            F.array().cast("array<array<string>>").alias("out"),
+        start = _state(
+            F.lit(0), F.lit(0), F.lit(False), F.lit(0), F.lit(0), F.array().cast("array<array<bigint>>")
         )
 
         def block_step(state: Column, block: Column) -> Column:
             return F.aggregate(
                 block,
-                _carry(state, no_text),
+                _carry(state, none),
                 _step,
                 lambda done: _carry(done, F.concat(state["out"], F.array(done["out"]))),
             )
 
+        def sentence(note: Column) -> Column:
+            first = F.shiftright(note, _COUNT_BITS).cast("int")
+            count = note.bitwiseAND(F.lit((1 << _COUNT_BITS) - 1)).cast("int")
+            return strip(F.array_join(F.slice(pieces, first + 1, count), ""))
+
         def finish(state: Column) -> Column:
             gap = F.when(state["fresh"], last["gap"]).otherwise(0)
-            tail_length = state["run_length"] + last["n"] - gap
+            tail_length = state["length"] + last["n"] - gap
             # The tail is the end of the text, however long it is.
             tail = strip(F.right(text, tail_length))
-            out = F.flatten(state["out"])
-            return (
-                F.when(_kept_length(tail_length), F.concat(out, F.array(tail)))
+            out = F.transform(F.flatten(state["out"]), sentence)
+            return _bind(
+                out,
+                lambda out: F.when(_kept_length(tail_length), F.concat(out, F.array(tail)))
                 .when(F.size(out) == 0, F.array(tail))
-                .otherwise(out)
+                .otherwise(out),
             )
 
         return F.aggregate(blocks, start, block_step, finish)
 
-    def split(text: Column) -> Column:
-        pieces = F.transform(F.split(text, _CANDIDATE), lambda p, i: _describe(p, i, abbreviations))
-        return _bind(pieces, lambda described: fold(text, described))
+    def with_pieces(text: Column, pieces: Column) -> Column:
+        described = F.transform(pieces, lambda p, i: _describe(p, i, abbreviations))
+        return _bind(described, lambda d: fold(text, pieces, d))
 
-    return _bind(text, split)
+    return _bind(text, lambda t: _bind(F.split(t, _CANDIDATE), lambda p: with_pieces(t, p)))
 
 
 # Sentences and articles dropped after splitting, and the marker
