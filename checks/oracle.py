@@ -176,6 +176,14 @@ def _rid(sentence_no: str) -> str:
 
 _LEAD = _trim(f"replace(replace(sentence, {_NL}, ''), chr(13), '')")
 
+_SENTENCE_LINE = f"{_rid('sentence_no')} || {_NL} || replace(sentence, {_NL}, '') || {_NL}"
+_LEAD_LINE = f"{_rid('1')} || {_NL} || {_LEAD} || {_NL}"
+_QUOTE = "chr(39)"
+_INDEX_LINE = (
+    f"{_rid('1')} || ' ' || {_QUOTE} || replace(replace(replace(title, {_QUOTE}, chr(92) || {_QUOTE}), "
+    f"'- Xinhua ', ''), {_NL}, '') || {_QUOTE} || ' ' || url"
+)
+
 # -- L -------------------------------------------------------------------------
 
 _ALL_LINKS = rf"""
@@ -381,17 +389,30 @@ ORACLE = {
         "(PARTITION BY source ORDER BY date, doc_id) AS article_no FROM articles"
     ),
     "sentence_lines": (
-        f"{_NUMBERED} SELECT source, article_no, sentence_no, {_rid('sentence_no')} || {_NL} || "
-        f"replace(sentence, {_NL}, '') || {_NL} AS value FROM article JOIN kept USING (doc_id)"
+        f"{_NUMBERED} SELECT source, article_no, sentence_no, {_SENTENCE_LINE} AS value "
+        "FROM article JOIN kept USING (doc_id)"
     ),
     "lead_lines": (
-        f"{_NUMBERED} SELECT source, article_no, {_rid('1')} || {_NL} || {_LEAD} || {_NL} AS value "
+        f"{_NUMBERED} SELECT source, article_no, {_LEAD_LINE} AS value "
         "FROM article JOIN kept USING (doc_id) WHERE sentence_no = 1"
     ),
-    "index_lines": (
-        f"{_NUMBERED} SELECT source, article_no, {_rid('1')} || ' ''' || "
-        "replace(replace(replace(title, '''', '\\'''), '- Xinhua ', ''), chr(10), '') "
-        "|| ''' ' || url AS value FROM article"
+    "index_lines": f"{_NUMBERED} SELECT source, article_no, {_INDEX_LINE} AS value FROM article",
+    "stored_articles": (
+        f"WITH {V.ARTICLES_SQL} SELECT url, source, query, title, date, "
+        "'2014-07-01 00:00:00' AS dateScraped, content, NULL::VARCHAR AS reason FROM articles"
+    ),
+    "record_files": (
+        f"{_NUMBERED} SELECT file, source, 'talks' AS query, unnest(string_split(line, {_NL})) AS value "
+        f"FROM (SELECT 'lead' AS file, source, {_LEAD_LINE} AS line "
+        "FROM article JOIN kept USING (doc_id) WHERE sentence_no = 1 UNION ALL "
+        f"SELECT 'sentences', source, {_SENTENCE_LINE} FROM article JOIN kept USING (doc_id) "
+        f"UNION ALL SELECT 'index', source, {_INDEX_LINE} FROM article)"
+    ),
+    "rejected_articles": (
+        f"WITH {V.ARTICLES_SQL} SELECT 'read' AS stage, "
+        "CASE doc_id % 4 WHEN 1 THEN 'no url' WHEN 2 THEN 'no title' ELSE 'no content' END AS reason, "
+        "source, CASE WHEN doc_id % 4 <> 2 THEN title END AS title, "
+        "CASE WHEN doc_id % 4 <> 1 THEN url END AS url FROM articles WHERE doc_id % 4 <> 0"
     ),
     "page_links": f"WITH {_ALL_LINKS} SELECT page_url, CAST(pos AS INTEGER) AS pos, url FROM resolved",
     "link_domains": (

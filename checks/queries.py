@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ from pressmill.functions.urls import host_in, host_of, url_date
 from pressmill.operators import extraction, filters, links, numbering
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
 from pressmill.plans.formatting import numbered_articles
-from pressmill.session import computed_once, ship_package
-from pressmill.sources.records import index_records, lead_records, sentence_records
+from pressmill.session import computed_once, ensure_checkpoint_dir, ship_package
+from pressmill.sources.articles import read_articles, rejects_of, write_articles
+from pressmill.sources.records import index_records, lead_records, sentence_records, write_text
 
 DOMAINS = ("example.com", "blog.ththan.example.net")
 WINDOW = JobConfig(start="2014-05-05", end="2014-05-20")
@@ -78,6 +81,46 @@ def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_records(_numbered(spark, sf_dir)).drop("query")
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """A new folder on the storage all executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4()}"
+
+
+def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 then S1: all articles written as JSON and read back."""
+    folder = _shared_folder(spark)
+    articles = V.documents_as_articles(spark, sf_dir)
+    write_articles(articles.withColumn("dateScraped", F.lit("2014-07-01 00:00:00")), folder)
+    return read_articles(spark, folder, lines=True).select(
+        "url", "source", "query", "title", "date", "dateScraped", "content", "reason"
+    )
+
+
+def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of all three record files."""
+    folder = _shared_folder(spark)
+    numbered = _numbered(spark, sf_dir)
+    found = []
+    for name, make in (
+        ("lead", lead_records),
+        ("sentences", sentence_records),
+        ("index", index_records),
+    ):
+        write_text(make(numbered), f"{folder}/{name}")
+        lines = spark.read.option("lineSep", "\n").text(f"{folder}/{name}")
+        found.append(lines.select(F.lit(name).alias("file"), "source", "query", "value"))
+    return found[0].union(found[1]).union(found[2])
+
+
+def rejected_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a required field, one in four each without another."""
+    doc_id = F.col("doc_id")
+    articles = V.documents_as_articles(spark, sf_dir)
+    for i, name in enumerate(("url", "title", "content")):
+        articles = articles.withColumn(name, F.when(doc_id % 4 != i + 1, F.col(name)))
+    return rejects_of(articles, "read")
+
+
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.all_links(V.table(spark, sf_dir, "pages"))
 
@@ -250,6 +293,9 @@ ALL = (
     sentence_lines,
     lead_lines,
     index_lines,
+    stored_articles,
+    record_files,
+    rejected_articles,
     page_links,
     link_domains,
     fresh_links,
