@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,10 +58,15 @@ def host_of(url: Column) -> Column:
     return F.lower(F.try_parse_url(url, F.lit("HOST")))
 
 
+def domain_of(host: Column, domains: tuple[str, ...]) -> Column:
+    """L4: the one of ``domains`` that ``host`` equals or lies below, else empty."""
+    listed = "|".join(d.replace(".", r"\.") for d in sorted(domains, key=len, reverse=True))
+    return F.regexp_extract(host, rf"(?:^|\.)({listed})\z", 1)
+
+
 def host_in(host: Column, domains: tuple[str, ...]) -> Column:
     """L4: host equals one of ``domains`` or lies below it."""
-    tests = [(host == d) | host.endswith(f".{d}") for d in domains]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+    return domain_of(host, domains) != ""
 
 
 def url_date(url: Column) -> Column:

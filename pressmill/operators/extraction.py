@@ -18,7 +18,7 @@ from pressmill.config import JobConfig
 from pressmill.functions import dates, datelines
 from pressmill.functions.html_nodes import Page, Step
 from pressmill.functions.text import space_out, squeeze_marks, squeeze_ws, strip
-from pressmill.functions.urls import host_in, host_of
+from pressmill.functions.urls import domain_of, host_of
 from pressmill.operators.layouts import DOMAINS, LABELS, LAYOUTS, Layout
 from pressmill.schema import PAGE_FIELDS
 from pressmill.session import computed_once
@@ -28,10 +28,9 @@ _STAMP_LENGTH = 30
 
 def with_origin(pages: DataFrame) -> DataFrame:
     """Add ``origin``, the short name of the page's source; other hosts drop out."""
-    host = host_of(F.col("url"))
-    origin = F.lit(None).cast("string")
-    for name, domains in DOMAINS.items():
-        origin = F.when(host_in(host, domains), F.lit(name)).otherwise(origin)
+    sources = {d: name for name, domains in DOMAINS.items() for d in domains}
+    by_domain = F.create_map(*[F.lit(x) for pair in sources.items() for x in pair])
+    origin = by_domain[domain_of(host_of(F.col("url")), tuple(sources))]
     return pages.withColumn("origin", origin).where(F.col("origin").isNotNull())
 
 

@@ -27,11 +27,11 @@ def order_articles(
 
     The sort holds across partitions and inside them. It comes before the costly
     text work, which then runs on evenly sized partitions and is not repeated when
-    the range bounds are sampled.
+    the range bounds are sampled. The number of parts is the session's, and adaptive
+    execution may join neighbours that came out small.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = [*batch, date, pos]
-    return df.repartitionByRange(n, *key).sortWithinPartitions(*key)
+    return df.repartitionByRange(*key).sortWithinPartitions(*key)
 
 
 def number_ordered(df: DataFrame, batch: tuple[str, ...] = ("source", "query")) -> DataFrame:
@@ -49,11 +49,14 @@ def number_ordered(df: DataFrame, batch: tuple[str, ...] = ("source", "query"))
         Window.partitionBy(*batch).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
     # At most one row per batch and partition, written down so that it can be counted.
-    runs = checkpointed(runs.select(
-        *[F.col(c).alias(f"_{c}") for c in batch],
-        "_part",
-        (F.col("_first") - F.coalesce(F.sum("_n").over(before), F.lit(0)) - 1).alias("_base"),
-    ))
+    earlier = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    runs = checkpointed(
+        runs.select(
+            *[F.col(c).alias(f"_{c}") for c in batch],
+            "_part",
+            (F.col("_first") - earlier - 1).alias("_base"),
+        )
+    )
     if runs.count() <= _BROADCAST_ROWS:
         # Keeps the wide rows where they are; more batches than this are shuffled.
         runs = F.broadcast(runs)

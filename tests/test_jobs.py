@@ -127,12 +127,14 @@ def test_numbering_on_a_hot_day(spark, parts):
         want[pos] = count[query]
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         numbered = number_articles(df)
         got = {r.pos: r.article_no for r in numbered.collect()}
         sizes = [r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == want
     if parts > 1:
         assert max(sizes) < 3 * 3000 / parts
