@@ -16,7 +16,7 @@ from pressmill.functions.urls import host_in, host_of, url_date
 from pressmill.operators import extraction, filters, links, numbering
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
 from pressmill.plans.formatting import numbered_articles
-from pressmill.session import computed_once, ensure_checkpoint_dir, ship_package
+from pressmill.session import computed_once, ensure_checkpoint_dir, prepare_workers
 from pressmill.sources.articles import read_articles, rejects_of, write_articles
 from pressmill.sources.records import index_records, lead_records, sentence_records, write_text
 
@@ -163,13 +163,13 @@ def url_date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     found = links.extract_links(V.pages_as_results(spark, sf_dir))
     return found.select("source", "page_url", "link_kind", F.col("pos").cast("bigint").alias("pos"), "url")
 
 
 def links_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     return pages_to_links(V.pages_as_results(spark, sf_dir), WINDOW)
 
 
@@ -178,13 +178,13 @@ def simple_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     found = pages_to_articles(V.documents_as_pages(spark, sf_dir), JobConfig(keywords=V.KEYWORDS))
     return found.articles.select("url", "source", "title", "date", "content")
 
 
 def page_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     found = pages_to_articles(V.documents_as_pages(spark, sf_dir), JobConfig(keywords=V.KEYWORDS))
     return found.rejects.select("stage", "reason", "source", "url")
 

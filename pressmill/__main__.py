@@ -9,12 +9,9 @@ from pyspark.sql import SparkSession
 from pressmill.config import JobConfig
 from pressmill.plans.crawling import pages_to_links, run_extraction
 from pressmill.plans.formatting import run_formatter
+from pressmill.session import prepare_workers
 from pressmill.sources.pages import read_pages
 
-#: Pages sent to Python at once: a page may have a megabyte, Spark counts rows only.
-PAGES_PER_BATCH = "500"
-
-
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="pressmill")
     parser.add_argument("job", choices=("format", "extract", "links"))
@@ -26,16 +23,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lines", action="store_true", help="articles are JSON lines")
     args = parser.parse_args(argv)
     cfg = JobConfig(tuple(args.keywords), args.start, args.end)
-    spark = (
-        SparkSession.builder.appName(f"pressmill-{args.job}")
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", PAGES_PER_BATCH)
-        .getOrCreate()
-    )
+    spark = SparkSession.builder.appName(f"pressmill-{args.job}").getOrCreate()
     if args.job == "format":
         run_formatter(spark, args.path, args.out_dir, cfg, args.lines)
     elif args.job == "extract":
         run_extraction(spark, args.path, args.out_dir, cfg)
     else:
+        prepare_workers(spark)
         links = pages_to_links(read_pages(spark, args.path), cfg)
         links.write.mode("overwrite").partitionBy("source").parquet(args.out_dir)
 

@@ -11,6 +11,7 @@ from pressmill.config import JobConfig
 from pressmill.operators.extraction import articles_from_fields, extract_fields
 from pressmill.operators.links import allow_domains, extract_links, new_links, wanted_links
 from pressmill.schema import ARTICLE, REJECT
+from pressmill.session import prepare_workers
 from pressmill.sources.articles import write_articles
 from pressmill.sources.pages import read_pages
 from pressmill.sources.records import write_rejects
@@ -52,6 +53,7 @@ def run_extraction(
 
     Pages are parsed once: the drafts are kept as a table that both outputs read.
     """
+    prepare_workers(spark)
     drafts_path = f"{out_dir}/drafts"
     drafts = articles_from_fields(extract_fields(read_pages(spark, path)), cfg)
     drafts.write.mode("overwrite").parquet(drafts_path)

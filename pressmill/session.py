@@ -50,15 +50,29 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.select(F.explode(F.array(row)).alias("_row")).select("_row.*")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers when it was not submitted
-    with ``--py-files`` or installed on the executors. Done once per session."""
+#: Pages sent to a Python worker at once. Spark counts rows only, and its default
+#: would put gigabytes of HTML into one batch.
+PAGES_PER_BATCH = 500
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_ARROW_ROWS_DEFAULT = 10_000
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Get the session ready for the HTML step.
+
+    Makes this package importable in Python workers when it was not submitted with
+    ``--py-files`` or installed, once per session, and lowers the Arrow batch size
+    unless the session already has its own.
+    """
+    if int(spark.conf.get(_ARROW_ROWS)) == _ARROW_ROWS_DEFAULT:
+        spark.conf.set(_ARROW_ROWS, str(PAGES_PER_BATCH))
     sc = spark.sparkContext
     if getattr(sc, "_pressmill_shipped", False):
         return
     package = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="run-"), "pressmill")
-    sc.addPyFile(
-        shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
-    )
+    if os.path.isdir(package):  # else it runs from a zip that was submitted
+        target = os.path.join(tempfile.mkdtemp(prefix="run-"), "pressmill")
+        sc.addPyFile(
+            shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+        )
     sc._pressmill_shipped = True
