@@ -212,7 +212,7 @@ result_links AS (
          'article' AS link_kind, place AS pos, '2014-05-' || lpad(CAST((page_id + place) % 28 + 1 AS VARCHAR), 2, '0') AS day,
          {V.pick_sql(V.LIST_HOSTS, 'page_id')} || '/' || {V.pick_sql(V.SECTIONS, '(page_id + place)')}
            || '/2014/05/' || lpad(CAST((page_id + place) % 28 + 1 AS VARCHAR), 2, '0') || '/' || slug AS url
-  FROM listed
+  FROM listed WHERE page_id % 12 <> 6
   UNION ALL
   SELECT 'BBC', 'http://www.bbc.co.uk/search/' || page_id || '.html?p=1', 'follow', 0, NULL,
          'http://www.bbc.co.uk/search/' || page_id || '.html?page=2&q=x'
@@ -264,6 +264,8 @@ def _cut_reuters(x: str) -> str:
 
 _REUTERS_BODY = _squeeze(_plain("'PARIS (Reuters) - ' || text"))
 _KEYWORD = " OR ".join(f"contains({_REUTERS_BODY}, {V.quoted(k)})" for k in V.KEYWORDS)
+#: The first line is loose text, the others are paragraphs; empty ones have no text.
+_PARAGRAPHS = "list_filter(string_split(text, chr(10))[2:], lambda x: x <> '')"
 _PAGES = rf"""
 page AS (
   SELECT doc_id, {V.pick_sql(V.PAGE_HOSTS, 'doc_id')} || doc_id AS url,
@@ -275,7 +277,9 @@ page AS (
 ),
 drafts AS (
   SELECT url, source, date,
-         CASE WHEN layout IN ('AP', 'Reuters', 'UPI') THEN headline ELSE {_trim('headline')} END AS title,
+         CASE WHEN layout IN ('AP', 'Reuters', 'UPI') THEN headline 
+              WHEN layout = 'XNA untitled' THEN {_trim("string_split(headline || '_ News', '_')[1]")}
+              ELSE {_trim('headline')} END AS title,
          CASE layout
            WHEN 'AP' THEN {_squeeze(_plain("'PARIS ' || text"))}
            WHEN 'BBC' THEN {_squeeze("'Lead one.' || chr(10) || text")}
@@ -284,7 +288,10 @@ drafts AS (
            WHEN 'Reuters' THEN CASE WHEN {_KEYWORD} THEN {_cut_reuters(_REUTERS_BODY)} END
            WHEN 'UPI' THEN {_cut_upi(_plain("'PARIS, June 3 (UPI) -- ' || text"))}
            WHEN 'VOA' THEN regexp_replace({_plain('text')}, '[*\t\n]+', ' ', 'g')
-           WHEN 'XNA' THEN {_cut_xna(_plain("'BEIJING, June 3 (Xinhua) -- ' || text"))}
+           WHEN 'BBC loose' THEN CASE WHEN len({_PARAGRAPHS}) > 1
+             THEN {_squeeze(f"array_to_string({_PARAGRAPHS}, chr(10))")}
+             ELSE {_space_out(_plain('text'))} END
+           ELSE {_cut_xna(_plain("'BEIJING, June 3 (Xinhua) -- ' || text"))}
          END AS content
   FROM page
 ),
@@ -356,7 +363,7 @@ def _caption_cut() -> str:
             V.quoted(V._NAV + before),
             f"string_split({x}, chr(10))[1]",
             V.quoted(middle),
-            f"strftime({_MOMENT}, {V.quoted(V.DATE_STYLES[name][1])})",
+            f"strftime({_MOMENT}, {V.quoted(V.date_style(name)[1])})",
             V.quoted(after),
             f"replace({x}, chr(10), '</p>' || chr(10) || '<p>')",
             V.quoted(end + V._END),
@@ -397,6 +404,10 @@ ORACLE = {
         "FROM article JOIN kept USING (doc_id) WHERE sentence_no = 1"
     ),
     "index_lines": f"{_NUMBERED} SELECT source, article_no, {_INDEX_LINE} AS value FROM article",
+    "scrape_times": (
+        "SELECT o_orderkey, strftime(o_orderdate + to_seconds(CAST(o_orderkey % 86400 AS INTEGER)), "
+        "'%Y-%m-%d %H:%M:%S') AS scraped FROM orders"
+    ),
     "stored_articles": (
         f"WITH {V.ARTICLES_SQL} SELECT url, source, query, title, date, "
         "'2014-07-01 00:00:00' AS dateScraped, content, NULL::VARCHAR AS reason FROM articles"

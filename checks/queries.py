@@ -215,6 +215,15 @@ def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scrape_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8 from a stored fetch time."""
+    key = F.col("o_orderkey")
+    fetched = F.col("o_orderdate") + F.make_dt_interval(secs=(key % 86400).cast("decimal(18,6)"))
+    return V.table(spark, sf_dir, "orders").select(
+        "o_orderkey", dates.scraped_at(fetched).alias("scraped")
+    )
+
+
 def dateline_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.col("content")
     return V.documents_as_articles(spark, sf_dir).select(
@@ -306,6 +315,7 @@ ALL = (
     page_articles,
     page_rejects,
     raw_dates,
+    scrape_times,
     dateline_cut,
     keyword_match,
     whitespace_rules,

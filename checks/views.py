@@ -116,8 +116,12 @@ articles AS (
 
 # -- pages in the sources' layouts -------------------------------------------
 
-PAGE_SOURCES = ("AP", "BBC", "BBC inner", "BBC old", "Reuters", "UPI", "VOA", "XNA")
-PAGE_LABELS = ("AP", "BBC", "BBC", "BBC", "Reuters", "UPI", "Voice of America", "XNA")
+PAGE_SOURCES = (
+    "AP", "BBC", "BBC inner", "BBC old", "Reuters", "UPI", "VOA", "XNA", "BBC loose", "XNA untitled",
+)
+PAGE_LABELS = (
+    "AP", "BBC", "BBC", "BBC", "Reuters", "UPI", "Voice of America", "XNA", "BBC", "XNA",
+)
 PAGE_HOSTS = (
     "http://www.apnewsarchive.com/",
     "http://www.bbc.co.uk/news/",
@@ -127,6 +131,8 @@ PAGE_HOSTS = (
     "http://www.upi.com/news/",
     "http://www.voanews.com/content/",
     "http://news.xinhuanet.com/english/",
+    "http://www.bbc.co.uk/loose/",
+    "http://news.xinhuanet.com/untitled/",
 )
 KEYWORDS = ("tion ", "que l")
 
@@ -187,6 +193,18 @@ PAGE_PARTS = {
         '</span><div id="Content"><p>BEIJING, June 3 (Xinhua) -- ',
         "</div>",
     ),
+    "BBC loose": (
+        '<h1 class="story">',
+        '</h1><span class="date">',
+        '</span><div class="story-body">',
+        "</div>",
+    ),
+    "XNA untitled": (
+        "<title> ",
+        '_ News_ World</title><span id="pubtime">',
+        '</span><div id="Content"><p>BEIJING, June 3 (Xinhua) -- ',
+        "</div>",
+    ),
 }
 
 #: How each layout writes the moment of publication: Spark pattern, SQL format.
@@ -203,6 +221,10 @@ DATE_STYLES = {
 }
 
 
+def date_style(layout: str) -> tuple[str, str]:
+    return DATE_STYLES[layout.removesuffix(" loose").removesuffix(" untitled")]
+
+
 def _escaped(c: Column) -> Column:
     for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         c = F.replace(c, F.lit(raw), F.lit(entity))
@@ -235,7 +257,7 @@ def documents_as_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             parts[0],
             headline,
             parts[1],
-            F.date_format(_moment(doc_id), DATE_STYLES[name][0]),
+            F.date_format(_moment(doc_id), date_style(name)[0]),
             parts[2],
             paragraphs,
             parts[3],
@@ -306,7 +328,8 @@ def pages_as_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         page = F.concat(
             F.lit(LIST_PARTS[name][0]),
             F.array_join(F.transform(slugs, link(i)), "\n"),
-            F.lit(LIST_PARTS[name][3]),
+            # Every other page of this source shows no pager.
+            F.when((F.lit(name) != "AP") | (page_id % 12 == 0), F.lit(LIST_PARTS[name][3])).otherwise(""),
         )
         html = F.when(page_id % len(LIST_SOURCES) == i, page).otherwise(html)
     return computed_once(
