@@ -182,28 +182,28 @@ class Page(HTMLParser):
         point, one per comma, one per hundred characters up to three. Links in a
         node lower its score.
         """
-        total, linked, depth = [0], [0], 0
+        # Running sums over the events, so that nested nodes cost nothing extra.
+        total, linked, commas, depth = [0], [0], [0], 0
         for at, (n, text) in enumerate(self.events):
             if text is None and self.tag[n] == "a":
                 depth += 1 if self.span[n][0] == at else -1
-            size = len(text.strip()) if text and self.tag[n] not in _HIDDEN else 0
-            total.append(total[-1] + size)
-            linked.append(linked[-1] + (size if depth else 0))
+            shown = text.strip() if text and self.tag[n] not in _HIDDEN else ""
+            total.append(total[-1] + len(shown))
+            linked.append(linked[-1] + (len(shown) if depth else 0))
+            commas.append(commas[-1] + shown.count(","))
         points: dict[int, float] = {}
-        for n in range(1, len(self.tag)):
-            if self.tag[n] not in ("p", "pre", "td"):
-                continue
-            first, last = self.span[n]
-            size = total[last] - total[first]
-            if size < 25:
-                continue
-            commas = sum(t.count(",") for _, t in self.events[first:last] if t)
-            gain = 1 + commas + min(size // 100, 3)
-            above = self.parent[n]
-            points[above] = points.get(above, 0) + gain
-            if above:
-                higher = self.parent[above]
-                points[higher] = points.get(higher, 0) + gain / 2
+        for tag in ("p", "pre", "td"):
+            for n in self._tagged.get(tag, ()):
+                first, last = self.span[n]
+                size = total[last] - total[first]
+                if size < 25:
+                    continue
+                gain = 1 + commas[last] - commas[first] + min(size // 100, 3)
+                above = self.parent[n]
+                points[above] = points.get(above, 0) + gain
+                if above:
+                    higher = self.parent[above]
+                    points[higher] = points.get(higher, 0) + gain / 2
 
         def score(n: int) -> float:
             first, last = self.span[n]

@@ -151,6 +151,8 @@ def test_reader_survives_deep_and_broken_pages():
     assert deep.plain_text(0).strip("*\n ") == "text"
     assert Page("<p>a<p>b</p></p>c<![bad <x").texts((Step("//", ("p",)),)) == ["a", "b"]
     assert Page("").main_node() == 0
+    nested = Page("<div><p>Twenty-five letters, and more of them." + "<b><p>x" * 20_000)
+    assert nested.tag[nested.main_node()] in ("div", "p", "b")
 
 
 @pytest.mark.parametrize(
