@@ -19,7 +19,11 @@ def read_articles(spark: SparkSession, path: str | list[str], lines: bool = Fals
     or else the file name without its suffix. A file that is not JSON gives one
     row with ``reason`` set; it does not stop the run.
     """
-    schema = T.StructType(ARTICLE.fields + [T.StructField(_BROKEN, T.StringType())])
+    # Naming ``query`` here keeps a folder like query=007 text.
+    schema = T.StructType(
+        ARTICLE.fields
+        + [T.StructField("query", T.StringType()), T.StructField(_BROKEN, T.StringType())]
+    )
     rows = (
         spark.read.schema(schema)
         .option("multiLine", not lines)
@@ -27,9 +31,10 @@ def read_articles(spark: SparkSession, path: str | list[str], lines: bool = Fals
         .option("columnNameOfCorruptRecord", _BROKEN)
         .json(path)
     )
-    if "query" not in rows.columns:
-        name = F.regexp_replace(F.col("_metadata.file_name"), r"\.json\z", "")
-        rows = rows.withColumn("query", name)
+    in_folder = F.contains(F.col("_metadata.file_path"), F.lit("/query="))
+    name = F.when(in_folder, F.lit("")).otherwise(
+        F.regexp_replace(F.col("_metadata.file_name"), r"\.json\z", "")
+    )
     # A file's array is read by one task, front to back, and so is each split of a
     # line file: (split, row) is the input order whatever else the task reads.
     pos = F.struct(
@@ -38,7 +43,7 @@ def read_articles(spark: SparkSession, path: str | list[str], lines: bool = Fals
     )
     return rows.select(
         *[F.col(c) for c in ARTICLE.names],
-        F.coalesce("query", F.lit("")).alias("query"),
+        F.coalesce(F.col("query"), name).alias("query"),
         pos.alias("pos"),
         F.when(F.col(_BROKEN).isNotNull(), F.lit("not JSON")).alias("reason"),
     )

@@ -13,7 +13,7 @@ from pressmill.config import JobConfig
 from pressmill.operators.numbering import number_articles
 from pressmill.plans.crawling import run_extraction
 from pressmill.plans.formatting import format_articles, numbered_articles, run_formatter
-from pressmill.sources.articles import read_articles
+from pressmill.sources.articles import read_articles, write_articles
 from pressmill.streaming.ingest import article_stream, stream_pages
 from tests.test_pages import PAGES, WANT
 
@@ -169,10 +169,22 @@ def test_extraction_round_trip(spark, tmp_path):
     back = read_articles(spark, str(tmp_path / "out" / "articles"), lines=True)
     got = {r.url: (r.source, r.title, r.date, r.content) for r in back.collect()}
     assert got == WANT
+    assert {r.query for r in back.select("query").collect()} == {""}
     assert len(text_of(str(tmp_path / "out" / "rejects"))["."].splitlines()) == 4
     assert format_articles(back).numbered.count() > 0
 
 
+def test_search_folders_stay_text(spark, tmp_path):
+    rows = [(f"http://{q}", "AP", "t", "20140601", "x", S1, q) for q in ("007", "7", "a b/c")]
+    df = spark.createDataFrame(
+        rows,
+        "url string, source string, title string, date string, dateScraped string, content string, query string",
+    )
+    write_articles(df, str(tmp_path / "a"))
+    back = read_articles(spark, str(tmp_path / "a"), lines=True)
+    assert {(r.url, r.query) for r in back.collect()} == {(r[0], r[6]) for r in rows}
+
+
 def test_stream_gives_the_batch_result(spark, tmp_path):
     pages = spark.createDataFrame(list(PAGES.items()), "url string, html string")
     pages.limit(8).write.parquet(str(tmp_path / "pages"))
