@@ -12,10 +12,12 @@ def con(sf_dir):
 
 
 def test_each_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from checks.queries import QUERIES
 
+    assert set(QUERIES) <= set(E.oracle_sql())
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_equals_sql(spark, con, sf_dir, name):
     rows, extra, missing = differences(spark, con, E.queries()[name], E.oracle_sql()[name], sf_dir)
     assert rows > 0
