@@ -4,23 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pressmill.llm.bpe import digests
 from pressmill.llm.common import table
 from pressmill.llm.exact_dedup import exact_dedup
+from pressmill.llm.packing import pack_documents
 from pressmill.llm.sharding import shard_documents
+from pressmill.llm.token_counts import count_tokens
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
+        op2_token_counts,
         op6_sharding,
+        op9_packing,
+        op10_bpe,
     )
 }
