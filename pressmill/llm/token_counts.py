@@ -75,7 +75,8 @@ def _frequencies(path: str):
                 times = np.fromiter((n for x in times for n in x), np.int64, len(doc))
                 words = list(numbers)
                 shared = np.bincount(word, minlength=len(words)) >= SHARED
-                shared |= [w.startswith("\0") for w in words]  # keys of documents start so
+                # Keys of documents start so too.
+                shared |= np.fromiter((w.startswith("\0") for w in words), bool, len(words))
                 each = np.zeros(len(words), dtype=np.int64)
                 at = np.flatnonzero(shared)
                 each[at] = pieces([words[i] for i in at], path)
