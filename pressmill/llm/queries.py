@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pressmill.llm.bpe import digests
 from pressmill.llm.common import table
 from pressmill.llm.exact_dedup import exact_dedup
+from pressmill.llm.fingerprints import compare_edits
+from pressmill.llm.language_id import predict
 from pressmill.llm.packing import pack_documents
 from pressmill.llm.sharding import shard_documents
 from pressmill.llm.token_counts import count_tokens
@@ -24,6 +26,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edits(table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -38,6 +48,8 @@ QUERIES = {
         op1_exact_dedup,
         op2_token_counts,
         op6_sharding,
+        op7_fingerprints,
+        op8_language_id,
         op9_packing,
         op10_bpe,
     )
