@@ -62,8 +62,8 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str) ->
     )
     inside = Window.partitionBy(*keys, "_salt").orderBy(*order)
     return (
-        salted.withColumn("_at", F.row_number().over(inside) - 1)
+        salted.withColumn("_inside", F.row_number().over(inside) - 1)
         .join(starts, [*keys, "_salt"])
-        .withColumn(name, F.col("_start") + F.col("_at"))
-        .drop("_salt", "_at", "_start")
+        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .drop("_salt", "_inside", "_start")
     )

@@ -9,6 +9,8 @@ from pressmill.llm.common import table
 from pressmill.llm.exact_dedup import exact_dedup
 from pressmill.llm.fingerprints import compare_edits
 from pressmill.llm.language_id import predict
+from pressmill.llm.line_dedup import remove_wide_lines
+from pressmill.llm.ngram_join import ngram_components
 from pressmill.llm.packing import pack_documents
 from pressmill.llm.sharding import shard_documents
 from pressmill.llm.token_counts import count_tokens
@@ -22,6 +24,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_wide_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -47,6 +58,8 @@ QUERIES = {
     for f in (
         op1_exact_dedup,
         op2_token_counts,
+        op4_ngram_join,
+        op5_line_dedup,
         op6_sharding,
         op7_fingerprints,
         op8_language_id,

@@ -20,6 +20,60 @@ WITH rows AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
+_LINES = r"""
+WITH lines AS (
+  SELECT doc_id, source, line, place FROM (
+    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS place
+    FROM documents WHERE text IS NOT NULL
+  )
+), trimmed AS (
+  SELECT *, trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS bare FROM lines
+), wide AS (
+  SELECT bare FROM trimmed WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10
+), kept AS (
+  SELECT t.*, w.bare IS NOT NULL AS goes FROM trimmed t LEFT JOIN wide w ON t.bare = w.bare
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT goes), '') AS text
+FROM kept GROUP BY doc_id
+UNION ALL
+SELECT doc_id, 0, 0, text FROM documents WHERE text IS NULL
+"""
+
+_NGRAM = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'
+  ) AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i+4], ' ') for i in range(1, len(w) - 3)]) END AS s
+  FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common, any_value(a.n) AS n, any_value(b.n) AS m
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY ALL
+), links AS (
+  SELECT u, v FROM pairs WHERE 100 * common >= 80 * (n + m - common)
+), edges AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach AS (
+  SELECT doc_id AS d, doc_id AS c FROM documents
+  UNION
+  SELECT e.u, r.c FROM reach r JOIN edges e ON e.v = r.d
+)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.c) AS component_id
+FROM sets s JOIN reach r ON r.d = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
 ORACLE = {
     "op1_exact_dedup": _EXACT,
+    "op4_ngram_join": _NGRAM,
+    "op5_line_dedup": _LINES,
 }
