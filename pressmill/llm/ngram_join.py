@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from pressmill.llm.common import numbered, shuffle_parts, stage
 from pressmill.llm.components import components
+from pressmill.llm.meeting import SCHEMA, entries, members
 from pressmill.llm.shingles import mixed, shingle_set
 from pressmill.session import prepare_workers
 
@@ -143,9 +144,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rare(parts: int, counts):
-    """Documents to their rare shingles. Rows are tile members (``shingle``, ``tile``,
-    ``cls``) where several classes of the batch meet, and for all shingles one packed entry
-    (16 bytes) in the row of its ``part``."""
+    """Documents to entries of their rare shingles in each of their tiles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts.value
@@ -165,72 +164,20 @@ def _rare(parts: int, counts):
                         keys.append(mixed(first + np.uint64(tile)))
                         owners.append(np.full(len(first), cls, dtype=_SIGNED))
                 if keys:
-                    yield from _entries(np.concatenate(keys), np.concatenate(owners), parts)
+                    tile, cls = np.concatenate(keys).view(_SIGNED), np.concatenate(owners)
+                    yield from entries(tile, cls, np.zeros_like(cls), parts)
 
     return run
 
 
-def _entries(keys: np.ndarray, owners: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((owners, keys))
-    keys, owners = keys[order], owners[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    size = np.diff(np.append(first, len(keys)))
-    met = np.repeat(size > 1, size)
-    names = ["part", "packed", "tile", "cls"]
-    for s in range(0, int(met.sum()), 1 << 18):
-        k, o = keys[met][s : s + (1 << 18)], owners[met][s : s + (1 << 18)]
-        none = [pa.nulls(len(k), pa.int32()), pa.nulls(len(k), pa.binary())]
-        yield pa.RecordBatch.from_arrays([*none, pa.array(k.view(_SIGNED)), pa.array(o)], names)
-    keys, owners = keys[first], owners[first]
-    part = (keys % np.uint64(parts)).astype(np.int32)
-    order = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[order], np.arange(parts + 1))
-    rows = [
-        (p, keys[i].tobytes() + owners[i].tobytes())
-        for p in range(parts)
-        if len(i := order[ends[p] : ends[p + 1]])
-    ]
-    none = pa.nulls(len(rows), pa.int64())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([p for p, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary()), none, none],
-        names,
-    )
-
-
-def _unpacked(blocks: pa.Table) -> pa.Table:
-    """Members of the tiles of one part in which several batches met."""
-    keys, owners = [], []
-    for x in blocks.column("packed"):
-        packed = np.frombuffer(x.as_buffer(), dtype=_SIGNED)
-        keys.append(packed[: len(packed) // 2])
-        owners.append(packed[len(packed) // 2 :])
-    keys, owners = np.concatenate(keys), np.concatenate(owners)
-    order = np.lexsort((owners, keys))
-    keys, owners = keys[order], owners[order]
-    fresh = np.append(True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1]))
-    keys, owners = keys[fresh], owners[fresh]
-    same = keys[1:] == keys[:-1]
-    met = np.append(same, False) | np.append(False, same)
-    return pa.table({"tile": keys[met], "cls": owners[met]})
-
-
 def tiles(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     """``tile, cls`` for every tile with at least two classes."""
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
     shared = spark.sparkContext.broadcast(counts)  # BUCKETS numbers
-    found = docs.select("text").mapInArrow(
-        _rare(parts, shared), "part int, packed binary, tile long, cls long"
-    )
-    # Entries and members leave the same task; members pass through as rows of their own.
-    found = stage(found)
-    across = (
-        found.where("part IS NOT NULL")
-        .groupBy("part")
-        .applyInArrow(_unpacked, "tile long, cls long")
-    )
-    inside = found.where("part IS NULL").select("tile", "cls")
-    return stage(across.unionByName(inside).distinct())
+    found = stage(docs.select("text").mapInArrow(_rare(parts, shared), SCHEMA))
+    both = members(found).select(F.col("key").alias("tile"), F.col("owner").alias("cls"))
+    return stage(both.distinct())
 
 
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -290,9 +237,9 @@ def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
     )
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _labelled(met: DataFrame, labels: DataFrame) -> DataFrame:
     """Tile members with their component, of tiles that hold several."""
-    told = members.join(labels, F.col("cls") == F.col("vertex"), "left").select(
+    told = met.select("tile", "cls").join(labels, F.col("cls") == F.col("vertex"), "left").select(
         "tile", "cls", F.coalesce("component", "cls").alias("label")
     )
     several = (
@@ -303,29 +250,29 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(told.join(several.select("tile"), "tile", "left_semi"))
 
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
+def _hub_pairs(met: DataFrame) -> DataFrame:
     """Every class with the hub of its tile, if that is of another component."""
-    shared = members.groupBy("cls").agg(F.count("*").alias("shared"))
-    ranked = members.join(shared, "cls").groupBy("tile").agg(
+    shared = met.groupBy("cls").agg(F.count("*").alias("shared"))
+    ranked = met.join(shared, "cls").groupBy("tile").agg(
         F.max(F.struct("shared", "cls", "label")).alias("hub")
     )
     return (
-        members.join(ranked, "tile")
+        met.join(ranked, "tile")
         .where(F.col("label") != F.col("hub.label"))
         .select(F.col("cls").alias("a"), F.col("hub.cls").alias("b"))
         .distinct()
     )
 
 
-def _block_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
+def _block_pairs(met: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs across components that the signatures allow, found block by block.
 
     Of a tile's classes those outside its most frequent component are the minority. Its
     blocks meet all blocks of the tile.
     """
-    sizes = members.groupBy("tile", "label").count()
+    sizes = met.groupBy("tile", "label").count()
     main = sizes.groupBy("tile").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
-    rows = members.join(main, "tile").withColumn("minor", F.col("label") != F.col("main"))
+    rows = met.join(main, "tile").withColumn("minor", F.col("label") != F.col("main"))
     placed = stage(numbered(rows, ["tile", "minor"], [F.col("cls")], "_at").withColumn(
         "block", F.floor(F.col("_at") / BLOCK)
     ))
@@ -369,23 +316,23 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     prepare_workers(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    members = tiles(docs, shingle_counts(docs))
+    met = tiles(docs, shingle_counts(docs))
     described = stage(docs.mapInArrow(_described, f"doc_id {kind}, cls long, n long, sign binary"))
     classes = stage(
         described.where("n > 0").groupBy("cls").agg(
             F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sign").alias("sign")
         )
     )
-    texts = _texts_of(docs, classes, members)
+    texts = _texts_of(docs, classes, met)
     spark = docs.sparkSession
     labels = spark.createDataFrame([], "vertex long, component long")
     tried = spark.createDataFrame([], "a long, b long")
     links = tried
     for k in range(HUB_ROUNDS + 1):
-        members = _labelled(members, labels)
-        if members.isEmpty():
+        met = _labelled(met, labels)
+        if met.isEmpty():
             break
-        pairs = _hub_pairs(members) if k < HUB_ROUNDS else _block_pairs(members, classes)
+        pairs = _hub_pairs(met) if k < HUB_ROUNDS else _block_pairs(met, classes)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
         found = stage(_verified(texts, classes, pairs))

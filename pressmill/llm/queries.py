@@ -13,6 +13,7 @@ from pressmill.llm.line_dedup import remove_wide_lines
 from pressmill.llm.ngram_join import ngram_components
 from pressmill.llm.packing import pack_documents
 from pressmill.llm.sharding import shard_documents
+from pressmill.llm.substring_dedup import removed_passages
 from pressmill.llm.token_counts import count_tokens
 
 
@@ -24,6 +25,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     for f in (
         op1_exact_dedup,
         op2_token_counts,
+        op3_substring_dedup,
         op4_ngram_join,
         op5_line_dedup,
         op6_sharding,
