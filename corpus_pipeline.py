@@ -1,6 +1,9 @@
 """The corpus pipeline: documents to packed training sequences.
 
-Stages are added as their operators land.
+Five stages, each over all that the one before kept. A stage gets the documents that were
+written by its predecessor and returns a DataFrame; all but the last return the columns of
+``documents``. Every stage takes null ids, languages and texts, repeated rows and empty
+tables, as its operator describes.
 """
 
 from __future__ import annotations
@@ -10,19 +13,60 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressmill.llm import exact_dedup as exact
+from pressmill.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
 from pressmill.llm.common import table
 from pressmill.session import ensure_checkpoint_dir
 
+#: An ambiguous document is rejected if its best language is no likelier than this.
+DOUBTFUL = 0.5
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with an id in ``ids``; null is an id too."""
+    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    found = language_id.identify(docs, language_id.train(docs))
+    known = F.col("lang_pred") != language_id.UNKNOWN
+    doubtful = F.col("ambiguous") & (F.col("score") <= DOUBTFUL)
+    return found.where(known & ~doubtful).select(*docs.columns)
+
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keep = exact.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """The document that stays of each group of equal texts."""
+    return _only(docs, exact_dedup.exact_dedup(docs).where("kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the least id, of each group of linked ones."""
+    found = ngram_join.ngram_components(docs)
+    return _only(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that an earlier one has."""
+    cut = substring_dedup.cut_repeats(docs)
+    length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return cut.withColumn("n_chars", length).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their sequences."""
+    return packing.pack_documents(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies)]
+STAGES = [
+    ("language ID", keep_known_languages),
+    ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("substring dedup", cut_repeated_passages),
+    ("best-fit packing", pack),
+]
 
-#: Stages need models and tokenizers, which SQL has not.
+#: The classifier and the tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
