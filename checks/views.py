@@ -64,8 +64,12 @@ TAIL_MARKS = (
 )
 
 
+#: The driver's tables are one row group each, and text work costs more than moving them.
+PARTS = 32
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", PARTS)
 
 
 def pick(values: tuple[str, ...], i: Column) -> Column:

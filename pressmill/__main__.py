@@ -21,8 +21,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--start", default=JobConfig.start)
     parser.add_argument("--end", default=JobConfig.end)
     parser.add_argument("--lines", action="store_true", help="articles are JSON lines")
+    parser.add_argument("--date-format", default=JobConfig.date_format)
+    parser.add_argument("--batch", nargs="+", default=JobConfig.batch, help="numbers restart here")
+    parser.add_argument("--seen", help="links: table of source and url already fetched")
     args = parser.parse_args(argv)
-    cfg = JobConfig(tuple(args.keywords), args.start, args.end)
+    cfg = JobConfig(tuple(args.keywords), args.start, args.end, args.date_format, tuple(args.batch))
     spark = SparkSession.builder.appName(f"pressmill-{args.job}").getOrCreate()
     if args.job == "format":
         run_formatter(spark, args.path, args.out_dir, cfg, args.lines)
@@ -30,7 +33,8 @@ def main(argv: list[str] | None = None) -> None:
         run_extraction(spark, args.path, args.out_dir, cfg)
     else:
         prepare_workers(spark)
-        links = pages_to_links(read_pages(spark, args.path), cfg)
+        seen = spark.read.parquet(args.seen) if args.seen else None
+        links = pages_to_links(read_pages(spark, args.path), cfg, seen)
         links.write.mode("overwrite").partitionBy("source").parquet(args.out_dir)
 
 

@@ -47,6 +47,7 @@ class Page(HTMLParser):
         self.events: list[tuple[int, str | None]] = []
         self._tagged: dict[str, list[int]] = {}
         self._open = [0]
+        self._unclosed: dict[str, int] = {}
         self._joins = False
         # A bogus declaration ends at the next bracket; the parser refuses some.
         self.feed(_BOGUS.sub("", html) if "<![" in html else html)
@@ -56,6 +57,8 @@ class Page(HTMLParser):
 
     def _end_innermost(self) -> None:
         node = self._open.pop()
+        if node:
+            self._unclosed[self.tag[node]] -= 1
         self.events.append((node, None))
         self.span[node][1] = len(self.events)
 
@@ -72,12 +75,13 @@ class Page(HTMLParser):
         self._tagged.setdefault(tag, []).append(node)
         self.events.append((node, None))
         self._open.append(node)
+        self._unclosed[tag] = self._unclosed.get(tag, 0) + 1
         if tag in _VOID:
             self._end_innermost()
 
     def handle_endtag(self, tag):
         self._joins = False
-        if any(self.tag[n] == tag for n in self._open[1:]):
+        if self._unclosed.get(tag):
             while self.tag[self._open[-1]] != tag:
                 self._end_innermost()
             self._end_innermost()
@@ -104,29 +108,45 @@ class Page(HTMLParser):
             return False
         return have == step.value if step.how == "=" else have.startswith(step.value)
 
-    def matches(self, node: int, steps: tuple[Step, ...]) -> bool:
-        """True if the path of steps ends at ``node``."""
-        *before, last = steps
-        if not self._fits(node, last):
-            return False
-        if not before:
-            return True
-        above = self.parent[node]
-        if last.axis == "/":
-            return self.matches(above, tuple(before))
-        while above:
-            if self.matches(above, tuple(before)):
-                return True
-            above = self.parent[above]
-        return False
+    def _fitting(self, step: Step) -> list[int]:
+        """Nodes that one step describes, in document order."""
+        if len(step.tags) == 1:
+            nodes = self._tagged.get(step.tags[0], [])
+        elif step.tags:
+            nodes = sorted(n for tag in step.tags for n in self._tagged.get(tag, ()))
+        else:
+            nodes = range(1, len(self.tag))
+        return [n for n in nodes if self._fits(n, step)]
+
+    def _below(self, nodes: list[int], tops: list[int]) -> list[int]:
+        """Those of ``nodes`` inside any of ``tops``. Spans nest, so the last end of the
+        tops passed so far says it."""
+        out, k, end = [], 0, 0
+        for n in nodes:
+            while k < len(tops) and tops[k] < n:
+                end = max(end, self.span[tops[k]][1])
+                k += 1
+            if self.span[n][0] < end:
+                out.append(n)
+        return out
+
+    def _at_path(self, steps: tuple[Step, ...]) -> list[int]:
+        """Nodes where the path of steps ends: one pass for each step, from the top."""
+        here = self._fitting(steps[0])
+        for step in steps[1:]:
+            if not here:
+                break
+            nodes = self._fitting(step)
+            if step.axis == "/":
+                above = set(here)
+                here = [n for n in nodes if self.parent[n] in above]
+            else:
+                here = self._below(nodes, here)
+        return here
 
     def find(self, *paths: tuple[Step, ...]) -> list[int]:
         """Nodes matching any path, in document order."""
-        found = set()
-        for path in paths:
-            for tag in path[-1].tags or self._tagged:
-                found.update(n for n in self._tagged.get(tag, ()) if self.matches(n, path))
-        return sorted(found)
+        return sorted({n for path in paths for n in self._at_path(path)})
 
     def texts(self, *paths: tuple[Step, ...]) -> list[str]:
         """Texts directly inside matching nodes, in document order."""

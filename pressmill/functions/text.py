@@ -30,6 +30,38 @@ _ONE_TO_MANY = {
     "€": "EUR", "№": "No", "™": "(tm)",
 }
 
+# Greek and Cyrillic small letters, spelled as usual in English text.
+_GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i",
+    "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s",
+    "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+_CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i",
+    "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s",
+    "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch",
+    "ъ": "\"", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia", "ё": "io", "є": "ie",
+    "і": "i", "ї": "yi", "ґ": "g", "ў": "u", "ђ": "dj", "ј": "j", "љ": "lj", "њ": "nj",
+    "ћ": "tsh", "џ": "dzh", "ѓ": "gj", "ќ": "kj", "ѕ": "dz",
+}
+# Spaces, dashes, quotes and marks of general punctuation.
+_PUNCTUATION = {
+    "‗": "_", "‟": '"', "‣": ">", "․": ".", "‥": "..", "‰": "%0", "‵": "`", "‶": "``",
+    "‼": "!!", "⁇": "??", "⁈": "?!", "⁉": "!?", "‖": "||", "†": "+", "‡": "++",
+    **{chr(c): " " for c in (*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)},
+}
+
+
+def _other_scripts() -> dict[str, str]:
+    """Both cases of the letters above, their accented forms, and the punctuation."""
+    small = _GREEK | _CYRILLIC
+    table = small | {k.upper(): v[:1].upper() + v[1:] for k, v in small.items() if k != "ς"}
+    for ch in map(chr, [*range(0x0370, 0x0530), *range(0x1F00, 0x2000)]):
+        base = "".join(c for c in unicodedata.normalize("NFD", ch) if not unicodedata.combining(c))
+        if ch not in table and base in table:
+            table[ch] = table[base]
+    return table | _PUNCTUATION
+
 
 def _decomposed_letters() -> dict[str, str]:
     """Accented Latin letters and the ASCII letter they decompose to."""
@@ -43,7 +75,7 @@ def _decomposed_letters() -> dict[str, str]:
 
 
 def _translate_strings() -> tuple[str, str]:
-    pairs = _decomposed_letters() | _ONE_TO_ONE
+    pairs = _decomposed_letters() | _ONE_TO_ONE | _SHORT
     # Bullets turn into '*' in the table above and are deleted with the other '*'.
     kept = {k: v for k, v in pairs.items() if v not in "*#"}
     deleted = "".join(k for k, v in pairs.items() if v in "*#") + "*#"
@@ -51,7 +83,19 @@ def _translate_strings() -> tuple[str, str]:
     return "".join(kept) + deleted, "".join(kept.values())
 
 
+_SCRIPTS = _other_scripts()
+_SHORT = {k: v for k, v in _SCRIPTS.items() if len(v) == 1}
+_LONG = _ONE_TO_MANY | {k: v for k, v in _SCRIPTS.items() if len(v) > 1}
 _FROM, _TO = _translate_strings()
+#: Marks without a letter of their own: they go without a trace.
+_SILENT = "\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufe00-\ufe0f\ufeff\u0300-\u036f"
+
+
+def unspelled(c: Column) -> Column:
+    """How many characters of ``c`` :func:`to_ascii` has nothing to put for."""
+    left = F.translate(c, _FROM + "".join(_LONG), "")
+    strange = F.regexp_replace(left, rf"[\x00-\x7F{_SILENT}]+", "")
+    return F.when(_is_ascii(c), F.lit(0)).otherwise(F.coalesce(F.char_length(strange), F.lit(0)))
 
 
 def _is_ascii(c: Column) -> Column:
@@ -61,14 +105,15 @@ def _is_ascii(c: Column) -> Column:
 def to_ascii(c: Column) -> Column:
     """Transliterate to ASCII, delete ``*`` and ``#``.
 
-    Pure ASCII text, most of it, only pays for two searches. Characters with no
-    Latin counterpart are deleted.
+    Pure ASCII text, most of it, only pays for two searches. Latin, Greek and Cyrillic
+    letters and general punctuation are spelled out; what is left of other scripts is
+    deleted, and :func:`unspelled` counts it.
     """
     letters = F.when(_is_ascii(c), F.replace(F.replace(c, F.lit("*")), F.lit("#"))).otherwise(
         F.translate(c, _FROM, _TO)
     )
     spelled = reduce(
-        lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), _ONE_TO_MANY.items(), letters
+        lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), _LONG.items(), letters
     )
     return F.when(_is_ascii(letters), letters).otherwise(
         F.regexp_replace(spelled, r"[^\x00-\x7F]+", "")

@@ -24,6 +24,8 @@ from pressmill.schema import PAGE_FIELDS
 from pressmill.session import computed_once
 
 _STAMP_LENGTH = 30
+#: Pages whose fields are held as Python objects at once.
+_PAGES = 64
 
 
 def with_origin(pages: DataFrame) -> DataFrame:
@@ -72,13 +74,13 @@ def _stamps(page: Page) -> list[str]:
     ]
 
 
-def _read(page: Page, layout: Layout) -> dict:
-    title = page.texts(*layout.title)
+def _read(page: Page, layout: Layout, title: list[str]) -> dict:
+    body = page.texts(*layout.body) if layout.body else []
     fields = {
         "layout": layout.name,
         "title_nodes": title,
         "date_nodes": _stamps(page) if layout.stamp else page.texts(*layout.date),
-        "body_nodes": page.texts(*layout.body) if layout.body else [],
+        "body_nodes": body,
         "body_text": None,
         "page_title": "".join(page.texts((Step("//", ("title",)),))),
         "reason": None,
@@ -86,7 +88,7 @@ def _read(page: Page, layout: Layout) -> dict:
     node = None
     if layout.main:
         node = page.main_node()
-    elif layout.fragment:
+    elif layout.fragment and len(body) < 2:  # else its text would not be used
         found = page.find(layout.fragment)
         node = found[0] if found else None
         if node is not None and layout.around:
@@ -101,9 +103,10 @@ def _read_page(source: str, html: str) -> dict:
     is reported, not raised."""
     try:
         page = Page(html)
-        layouts = LAYOUTS[source]
-        chosen = next((x for x in layouts if page.texts(*x.title)), layouts[-1])
-        return _read(page, chosen)
+        for layout in LAYOUTS[source]:
+            if title := page.texts(*layout.title):
+                break
+        return _read(page, layout, title)
     except Exception as e:  # noqa: BLE001 - any broken page is one rejected row
         return {"layout": source, "reason": f"{type(e).__name__}: {e}"}
 
@@ -111,9 +114,9 @@ def _read_page(source: str, html: str) -> dict:
 def extract_fields(pages: DataFrame) -> DataFrame:
     """Raw field texts of every page with a known source.
 
-    Only ``url``, ``query`` if there is one, and ``html`` travel to Python.
+    Only ``url``, ``query`` and ``fetched`` if there are any, and ``html`` travel to Python.
     """
-    keep = [c for c in ("url", "query") if c in pages.columns]
+    keep = [c for c in ("url", "query", "fetched") if c in pages.columns]
     source = F.when(
         (F.col("origin") == "BBC") & ~F.contains(F.col("url"), F.lit("www.bbc.co.uk")),
         F.lit("BBC old"),
@@ -125,7 +128,8 @@ def extract_fields(pages: DataFrame) -> DataFrame:
         drop_captions(F.col("origin"), F.col("html")).alias("html"),
     )
     schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in [*keep, "origin", "layout"]]
+        [narrow.schema[c] for c in keep]
+        + [T.StructField(c, T.StringType()) for c in ("origin", "layout")]
         + PAGE_FIELDS.fields
         + [T.StructField("reason", T.StringType())]
     )
@@ -133,11 +137,12 @@ def extract_fields(pages: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                {**{c: row[c] for c in [*keep, "origin"]}, **_read_page(row["variant"], row["html"] or "")}
-                for row in batch.to_pylist()
-            ]
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+            for k in range(0, batch.num_rows, _PAGES):
+                rows = [
+                    {**{c: row[c] for c in [*keep, "origin"]}, **_read_page(row["variant"], row["html"] or "")}
+                    for row in batch.slice(k, _PAGES).to_pylist()
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     return narrow.mapInArrow(read, schema)
 
@@ -222,8 +227,10 @@ def missing_field() -> Column:
 def articles_from_fields(fields: DataFrame, cfg: JobConfig) -> DataFrame:
     """E1-E22 on extracted fields: one row per page, incomplete ones with a reason."""
     keep = [c for c in ("query",) if c in fields.columns]
+    fetched = F.col("fetched") if "fetched" in fields.columns else F.lit(None).cast("timestamp")
     drafts = computed_once(fields.select(
         "url",
+        fetched.alias("fetched"),
         *keep,
         label(F.col("origin")).alias("source"),
         _title().alias("title"),
@@ -237,7 +244,7 @@ def articles_from_fields(fields: DataFrame, cfg: JobConfig) -> DataFrame:
         *keep,
         "title",
         dates.render_date(F.col("published"), cfg.date_format).alias("date"),
-        dates.scraped_at().alias("dateScraped"),
+        F.coalesce(dates.scraped_at(F.col("fetched")), dates.scraped_at()).alias("dateScraped"),
         "content",
         F.to_date("published").alias("published"),
         "reason",

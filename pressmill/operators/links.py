@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from pressmill.functions.html_nodes import Page
-from pressmill.functions.urls import host_in, host_of, resolve_url, url_date, url_year
+from pressmill.functions.urls import domain_of, host_of, resolve_url, url_date, url_year
 from pressmill.operators.extraction import with_origin
 from pressmill.operators.layouts import DOMAINS, LINK_RULES, LinkRule
 from pressmill.session import computed_once
@@ -83,7 +83,7 @@ def extract_links(pages: DataFrame, rules: dict[str, LinkRule] = LINK_RULES) ->
         F.struct(F.lit("article").alias("link_kind"), F.col("article").alias("hrefs")),
         F.struct(F.lit("follow").alias("link_kind"), F.col("follow").alias("hrefs")),
     )
-    links = (
+    links = computed_once(
         read_pages.select("origin", "page_url", F.inline(both))
         .select("origin", "page_url", "link_kind", F.posexplode("hrefs").alias("pos", "href"))
         .select(
@@ -105,9 +105,9 @@ def extract_links(pages: DataFrame, rules: dict[str, LinkRule] = LINK_RULES) ->
 
 def allow_domains(links: DataFrame, domains: dict[str, tuple[str, ...]] = DOMAINS) -> DataFrame:
     """L4: links that stay on their source's hosts or below them."""
-    host = host_of(F.col("url"))
-    tests = [(F.col("source") == s) & host_in(host, d) for s, d in domains.items()]
-    return links.where(reduce(lambda a, b: a | b, tests, F.lit(False)))
+    owner = F.create_map(*[F.lit(x) for s, ds in domains.items() for d in ds for x in (d, s)])
+    hosts = tuple(d for ds in domains.values() for d in ds)
+    return links.where(owner[domain_of(host_of(F.col("url")), hosts)] == F.col("source"))
 
 
 def exclude_sections(links: DataFrame, rules: dict[str, LinkRule] = LINK_RULES) -> DataFrame:

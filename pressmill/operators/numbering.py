@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from pressmill.session import checkpointed
 
-_BROADCAST_ROWS = 500_000  # of four short columns each
+#: Counts that every task may be sent, of four short columns each.
+_BROADCAST_ROWS = 500_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
@@ -34,11 +35,19 @@ def order_articles(
     return df.repartitionByRange(*key).sortWithinPartitions(*key)
 
 
-def number_ordered(df: DataFrame, batch: tuple[str, ...] = ("source", "query")) -> DataFrame:
+def number_ordered(
+    df: DataFrame,
+    batch: tuple[str, ...] = ("source", "query"),
+    broadcast_rows: int = _BROADCAST_ROWS,
+) -> DataFrame:
     """O2: ``article_no`` 1.. within each batch of an ordered table.
 
     Row ids are written down once, so the counts and the numbers taken from them
-    always speak of the same partitions.
+    always speak of the same partitions. Making the plan runs that much already: the
+    range sampling, the rows and their counts, below ``spark.checkpoint.dir``.
+
+    There are as many counts as partitions and batches. Where they are too many to be
+    sent to every task, the join shuffles the rows, and they are put in order again.
     """
     rows = checkpointed(df.withColumn("_row", F.monotonically_increasing_id()))
     part = F.shiftright("_row", _ROW_BITS)
@@ -57,15 +66,17 @@ def number_ordered(df: DataFrame, batch: tuple[str, ...] = ("source", "query"))
             (F.col("_first") - earlier - 1).alias("_base"),
         )
     )
-    if runs.count() <= _BROADCAST_ROWS:
-        # Keeps the wide rows where they are; more batches than this are shuffled.
+    stays = runs.count() <= broadcast_rows
+    if stays:
         runs = F.broadcast(runs)
     same = F.col("_part") == part
     for c in batch:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return rows.join(runs, same).select(
+    out = rows.join(runs, same).select(
         *df.columns, (F.col("_row") - F.col("_base")).alias("article_no")
     )
+    order = [*batch, "article_no"]
+    return out if stays else out.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def number_articles(

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pressmill.config import JobConfig
 from pressmill.operators.filters import clean_articles, keep_articles, split_articles
 from pressmill.operators.numbering import number_ordered, order_articles
-from pressmill.sources.articles import read_articles, rejects_of, usable
+from pressmill.session import stored
+from pressmill.sources.articles import read_articles, rejects_of, unspelled_of, usable
 from pressmill.sources.records import write_all
 
 
@@ -32,9 +33,11 @@ def numbered_articles(articles: DataFrame, cfg: JobConfig = JobConfig()) -> Data
 
 
 def format_articles(articles: DataFrame, cfg: JobConfig = JobConfig()) -> Formatted:
-    """Numbered articles, and the rows that could not be used."""
+    """Numbered articles, and the rows that could not be used or lost characters."""
+    good = usable(articles)
     return Formatted(
-        numbered_articles(usable(articles), cfg), rejects_of(articles, "read")
+        numbered_articles(good, cfg),
+        rejects_of(articles, "read").unionByName(unspelled_of(keep_articles(good), "clean")),
     )
 
 
@@ -45,5 +48,9 @@ def run_formatter(
     cfg: JobConfig = JobConfig(),
     lines: bool = False,
 ) -> None:
-    """JSON articles in, lead, sentence, index and reject files out."""
-    write_all(*format_articles(read_articles(spark, path, lines), cfg), out_dir)
+    """JSON articles in, lead, sentence, index and reject files out.
+
+    The JSON is parsed once, to a column table that everything else reads.
+    """
+    articles = stored(read_articles(spark, path, lines))
+    write_all(*format_articles(articles, cfg), out_dir)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back, without its order.
+
+    Later readers take only the columns they need. The files are marked for deletion
+    when the application ends: a read must find them after an executor was lost.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def computed_once(df: DataFrame) -> DataFrame:
     """The same rows, with every column computed before any later filter.
 
@@ -50,22 +65,12 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.select(F.explode(F.array(row)).alias("_row")).select("_row.*")
 
 
-#: Pages sent to a Python worker at once. Spark counts rows only, and its default
-#: would put gigabytes of HTML into one batch.
-PAGES_PER_BATCH = 500
-_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_ARROW_ROWS_DEFAULT = 10_000
-
-
 def prepare_workers(spark: SparkSession) -> None:
-    """Get the session ready for the HTML step.
+    """Make this package importable in Python workers when it was not submitted with
+    ``--py-files`` or installed, once per session.
 
-    Makes this package importable in Python workers when it was not submitted with
-    ``--py-files`` or installed, once per session, and lowers the Arrow batch size
-    unless the session already has its own.
+    Arrow batches are bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
-    if int(spark.conf.get(_ARROW_ROWS)) == _ARROW_ROWS_DEFAULT:
-        spark.conf.set(_ARROW_ROWS, str(PAGES_PER_BATCH))
     sc = spark.sparkContext
     if getattr(sc, "_pressmill_shipped", False):
         return

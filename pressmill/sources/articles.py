@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pressmill.functions.text import unspelled
 from pressmill.schema import ARTICLE, REJECT, REQUIRED
 
 _BROKEN = "_broken"
@@ -36,8 +37,9 @@ def read_articles(spark: SparkSession, path: str | list[str], lines: bool = Fals
         F.regexp_replace(F.col("_metadata.file_name"), r"\.json\z", "")
     )
     # A file's array is read by one task, front to back, and so is each split of a
-    # line file: (split, row) is the input order whatever else the task reads.
+    # line file: (file, split, row) is the input order whatever else the task reads.
     pos = F.struct(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -65,16 +67,27 @@ def usable(articles: DataFrame) -> DataFrame:
 
 
 def rejects_of(rows: DataFrame, stage: str) -> DataFrame:
-    """Rows with a reason, in the shape of the reject table."""
+    """Rows with a reason, in the shape of the reject table, with their place in the
+    input where ``pos`` is known: file, start of its split, row."""
     reason = missing_required()
     if "reason" in rows.columns:
         reason = F.coalesce("reason", reason)
+    known = "pos" in rows.columns and isinstance(rows.schema["pos"].dataType, T.StructType)
+    place = F.concat_ws(":", "pos.file", "pos.split", "pos.row") if known else F.lit(None)
     out = rows.select(
         F.lit(stage).alias("stage"),
         reason.alias("reason"),
         *[F.col(c) for c in ("source", "title", "url")],
+        place.cast("string").alias("place"),
     ).where(F.col("reason").isNotNull())
-    return out.select(*REJECT.names)
+    return out.select(*REJECT.names, *(["place"] if known else []))
+
+
+def unspelled_of(rows: DataFrame, stage: str) -> DataFrame:
+    """Articles that lost characters nothing spells out, and how many."""
+    lost = unspelled(F.col("title")) + unspelled(F.col("content"))
+    reason = F.concat(lost.cast("string"), F.lit(" characters not spelled out"))
+    return rejects_of(rows.withColumn("reason", F.when(lost > 0, reason)), stage)
 
 
 def write_articles(articles: DataFrame, path: str, mode: str = "append") -> None:

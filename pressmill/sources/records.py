@@ -61,9 +61,9 @@ def write_text(records: DataFrame, path: str) -> None:
     )
 
 
-def write_rejects(rejects: DataFrame, path: str) -> None:
-    """Append rejected rows as tab separated text."""
-    rejects.write.mode("append").option("sep", "\t").csv(path)
+def write_rejects(rejects: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Rejected rows as tab separated text; a run replaces what the last one left."""
+    rejects.write.mode(mode).option("sep", "\t").csv(path)
 
 
 def write_all(numbered: DataFrame, rejects: DataFrame, out_dir: str) -> None:

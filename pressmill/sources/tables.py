@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Tasks per core when a small table is spread: rows differ much in size.
-_TASKS_PER_CORE = 4
 
+def read_table(spark: SparkSession, path: str, parts: int | None = None) -> DataFrame:
+    """A Parquet table in the splits Spark makes of it.
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, spread over the cores if it has fewer parts than those.
-
-    Text work costs far more than reading, and a table of a few files or one row
-    group would leave most cores idle. A large table has more parts than the
-    cluster has cores and is never moved.
+    ``spark.sql.files.maxPartitionBytes`` sets how large those are. A single row group
+    cannot be split; for such a table ``parts`` deals the rows out evenly.
     """
     table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores * _TASKS_PER_CORE)
+    return table.repartition(parts) if parts else table

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pressmill.config import JobConfig
 from pressmill.plans.crawling import pages_to_articles
 from pressmill.schema import PAGE
+from pressmill.session import prepare_workers
 
 
 def stream_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +20,7 @@ def stream_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def article_stream(pages: DataFrame, out_dir: str, checkpoint: str, cfg: JobConfig) -> DataStreamWriter:
     """S3 on a stream: complete articles appended as JSON per source and query."""
+    prepare_workers(pages.sparkSession)
     articles = pages_to_articles(pages, cfg).articles
     if "query" not in articles.columns:
         articles = articles.withColumn("query", F.lit(""))
@@ -29,3 +31,17 @@ def article_stream(pages: DataFrame, out_dir: str, checkpoint: str, cfg: JobConf
         .partitionBy("source", "query")
         .outputMode("append")
     )
+
+
+def reject_stream(pages: DataFrame, out_dir: str, checkpoint: str, cfg: JobConfig) -> DataStreamWriter:
+    """S7 on a stream: pages that gave no article, with the reason. A query of its own,
+    so that either can be restarted; it needs its own ``checkpoint``."""
+    prepare_workers(pages.sparkSession)
+    return (
+        pages_to_articles(pages, cfg)
+        .rejects.writeStream.format("csv")
+        .option("sep", "\t")
+        .option("path", out_dir)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
