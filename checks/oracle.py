@@ -412,6 +412,17 @@ ORACLE = {
         f"WITH {V.ARTICLES_SQL} SELECT url, source, query, title, date, "
         "'2014-07-01 00:00:00' AS dateScraped, content, NULL::VARCHAR AS reason FROM articles"
     ),
+    "array_articles": (
+        f"WITH {V.ARTICLES_SQL}, named AS (SELECT *, source || '-' || doc_id // 500 AS search FROM articles) "
+        "SELECT url, source, search AS query, title, date, content, "
+        "row_number() OVER (PARTITION BY search ORDER BY doc_id) AS place FROM named"
+    ),
+    "reject_files": (
+        f"WITH {V.ARTICLES_SQL} SELECT 'read' AS stage, "
+        "CASE doc_id % 4 WHEN 1 THEN 'no url' WHEN 2 THEN 'no title' ELSE 'no content' END AS reason, "
+        "source, CASE WHEN doc_id % 4 <> 2 THEN title END AS title, "
+        "CASE WHEN doc_id % 4 <> 1 THEN url END AS url FROM articles WHERE doc_id % 4 <> 0"
+    ),
     "record_files": (
         f"{_NUMBERED} SELECT file, source, 'talks' AS query, unnest(string_split(line, {_NL})) AS value "
         f"FROM (SELECT 'lead' AS file, source, {_LEAD_LINE} AS line "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import views as V
@@ -18,7 +18,13 @@ from pressmill.plans.crawling import pages_to_articles, pages_to_links
 from pressmill.plans.formatting import numbered_articles
 from pressmill.session import computed_once, ensure_checkpoint_dir, prepare_workers
 from pressmill.sources.articles import read_articles, rejects_of, write_articles
-from pressmill.sources.records import index_records, lead_records, sentence_records, write_text
+from pressmill.sources.records import (
+    index_records,
+    lead_records,
+    sentence_records,
+    write_rejects,
+    write_text,
+)
 
 DOMAINS = ("example.com", "blog.ththan.example.net")
 WINDOW = JobConfig(start="2014-05-05", end="2014-05-20")
@@ -96,6 +102,33 @@ def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def array_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 on JSON arrays: a few hundred articles in each, read back in input order."""
+    folder = _shared_folder(spark)
+    articles = V.documents_as_articles(spark, sf_dir).withColumn(
+        "query", F.concat("source", F.lit("-"), F.floor(F.col("doc_id") / 500))
+    )
+    one = F.struct("doc_id", "url", "source", "title", "date", "content")
+    arrays = articles.groupBy("query").agg(F.to_json(F.sort_array(F.collect_list(one))).alias("value"))
+    # One array a file: a file of several would be read as its first.
+    arrays.write.option("maxRecordsPerFile", 1).partitionBy("query").text(folder)
+    back = read_articles(spark, folder).where(F.col("reason").isNull())
+    place = Window.partitionBy("query").orderBy("pos")
+    return back.select(
+        "url", "source", "query", "title", "date", "content",
+        F.row_number().over(place).cast("bigint").alias("place"),
+    )
+
+
+def reject_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file of rejects, written twice and read back."""
+    folder = _shared_folder(spark)
+    rejects = rejected_articles(spark, sf_dir)
+    for _ in range(2):
+        write_rejects(rejects, folder)
+    return spark.read.schema(rejects.schema).option("sep", "\t").csv(folder)
+
+
 def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of all three record files."""
     folder = _shared_folder(spark)
@@ -303,6 +336,8 @@ ALL = (
     lead_lines,
     index_lines,
     stored_articles,
+    array_articles,
+    reject_files,
     record_files,
     rejected_articles,
     page_links,

@@ -230,3 +230,18 @@ def test_dates_do_not_depend_on_the_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == "20140603 1605"
+
+
+def test_other_scripts_are_spelled_and_the_rest_is_counted(spark):
+    cases = {
+        "Президент Путин said": ("Prezident Putin said", 0),
+        "Щука, Ёж": ("Shchuka, Iozh", 0),
+        "Αθήνα": ("Athena", 0),
+        "a\u2003b\u2020": ("a b+", 0),
+        "東京 talks": (" talks", 2),
+        "e\u0301t\u00e9": ("ete", 0),
+        "plain": ("plain", 0),
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    rows = df.select("t", text.to_ascii(F.col("t")).alias("a"), text.unspelled(F.col("t")).alias("n")).collect()
+    assert {r.t: (r.a, r.n) for r in rows} == cases

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from pressmill.__main__ import main
 from pressmill.config import JobConfig
-from pressmill.operators.numbering import number_articles
+from pressmill.operators.numbering import number_articles, number_ordered, order_articles
 from pressmill.plans.crawling import run_extraction
 from pressmill.plans.formatting import format_articles, numbered_articles, run_formatter
 from pressmill.sources.articles import read_articles, write_articles
+from pressmill.sources.records import write_text
 from pressmill.streaming.ingest import article_stream, stream_pages
 from tests.test_pages import PAGES, WANT
 
@@ -140,6 +141,52 @@ def test_numbering_on_a_hot_day(spark, parts):
         assert max(sizes) < 3 * 3000 / parts
 
 
+def test_record_order_when_the_counts_are_not_sent_to_every_task(spark, tmp_path):
+    rows = [("AP", f"q{i % 40}", f"201406{i * 7 % 28 + 1:02d}", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "source string, query string, date string, pos int").repartition(9)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = []
+        for name, limit in (("sent", 10**6), ("shuffled", 0)):
+            numbered = number_ordered(order_articles(df), broadcast_rows=limit)
+            line = numbered.withColumn("value", F.concat_ws(" ", "query", "article_no", "pos"))
+            write_text(line, str(tmp_path / name))
+            found.append(text_of(str(tmp_path / name)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found[0] == found[1] and len(found[0]) == 40
+    for text in found[0].values():
+        assert [int(x.split()[1]) for x in text.splitlines()] == list(range(1, 51))
+
+
+def test_input_order_does_not_depend_on_splits(spark, tmp_path):
+    for name, n in (("a", 300), ("b", 900)):
+        lines = [json.dumps(article(url=f"http://{name}{i}")) for i in range(n)]
+        (tmp_path / f"{name}.json").write_text("\n".join(lines))
+    key, seen = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(key)
+    try:
+        for size in ("64k", "128m"):
+            spark.conf.set(key, size)
+            rows = read_articles(spark, str(tmp_path), lines=True).withColumn("query", F.lit("q"))
+            got = number_articles(rows).select("url", "article_no").collect()
+            seen.append({r.url: r.article_no for r in got})
+    finally:
+        spark.conf.set(key, before)
+    assert seen[0] == seen[1]
+    assert seen[0]["http://a0"] == 1 and seen[0]["http://b0"] == 301 and seen[0]["http://b899"] == 1200
+
+
+def test_rejects_of_a_second_run_replace_the_first(spark, articles):
+    out = str(articles / "out")
+    for _ in range(2):
+        run_formatter(spark, str(articles / "in"), out)
+    rejects = sorted(text_of(f"{out}/rejects")["."].splitlines())
+    assert [r.split("\t")[1] for r in rejects] == ["no content", "not JSON"]
+    assert "AP_talks.json:0:" in rejects[0]
+
+
 def test_result_does_not_depend_on_partitions(spark):
     rows = [
         (f"http://{i}", "UPI" if i % 3 else "AP", "q", f"t{i}", f"2014060{i % 9 + 1}", i,

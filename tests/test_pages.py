@@ -1,9 +1,12 @@
 """Hand-written pages of every layout, and result pages."""
 
+import time
+
 import pytest
 
 from pressmill.config import JobConfig
 from pressmill.functions.html_nodes import Page, Step
+from pressmill.operators.layouts import LAYOUTS
 from pressmill.operators.links import extract_links
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
 
@@ -167,3 +170,27 @@ def test_reader_survives_deep_and_broken_pages():
 def test_plain_text(html, want):
     page = Page(html)
     assert page.plain_text(1) == want
+
+
+def _seconds(n):
+    html = "<div>" * n + "<p>x</p>" * n + "</span>" * n
+    paths = [p for layout in LAYOUTS["BBC"] for p in layout.body]
+    best = 1e9
+    for _ in range(3):
+        start = time.perf_counter()
+        Page(html).find(*paths)
+        best = min(best, time.perf_counter() - start)
+    return best
+
+
+def test_selecting_is_linear_in_the_depth():
+    assert _seconds(64_000) < 40 * _seconds(4_000)
+
+
+def test_selectors_on_nested_nodes():
+    page = Page('<div id=a><p><b>1</b></p><div id=a><p>2</p></div></div><p>3</p><div><p>4</p></div>')
+    below = (Step("//", ("div",), "id", "=", "a"), Step("//", ("p",)))
+    inside = (Step("//", ("div",)), Step("/", ("p",)))
+    assert page.texts(below) == ["2"] and len(page.find(below)) == 2
+    assert page.texts(inside) == ["2", "4"]
+    assert page.texts((Step("//", (), "id", "=", "a"), Step("//", ("b",)))) == ["1"]
