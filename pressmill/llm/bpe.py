@@ -11,8 +11,8 @@ token and the first sub-tokens of the right one, each living from its own merge
 parent's. The seam gives way if some pair beside it has a merge while both live; of two
 equal merges the left one comes first.
 
-Texts are cut at the special strings, then at single spaces: the pre-tokenizer always cuts
-before a lone space. Such pieces repeat, so each task keeps a bounded table of them.
+Texts are cut at the special strings, then before lone spaces and line ends: there the
+pre-tokenizer always cuts. Such pieces repeat, so each worker keeps a bounded table of them.
 
 Cases: a null text counts as empty and has no ids. A text of any length is encoded whole.
 Every row gives one row, repeated ones too; an empty table gives an empty result. The added
@@ -30,6 +30,7 @@ from collections.abc import Iterable, Iterator
 import ahocorasick
 import pyarrow as pa
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,15 +115,41 @@ class PrefixEncoder:
         return ids
 
 
+#: Blanks side by side, about which the pre-tokenizer looks at what follows.
+_RUN = re.compile(r"\s\s|\n\Z")
+
+
+class RankEncoder:
+    """The same ids from the tokenizer library's merge loop, for callers that only need them.
+
+    It takes ids for merge ranks, so they must rise as the merges do.
+    """
+
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
+        made = [vocab[a + b] for a, b in merges]
+        if made != sorted(made) or any(i > made[0] for t, i in vocab.items() if len(t) == 1):
+            raise ValueError("ids don't follow the order of the merges")
+        self.byte = {c: b for b, c in _byte_letters().items()}
+        ranks = {bytes(self.byte[c] for c in t): i for t, i in vocab.items()}
+        plain = tiktoken.Encoding("plain", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+        self.of_text = plain.encode_ordinary
+
+    def encode(self, pretoken: str) -> list[int]:
+        return self.of_text(bytes(self.byte[c] for c in pretoken).decode())
+
+
 class _Pieces(dict):
-    """Piece after a space -> packed ids."""
+    """Piece behind a space, or with its line end before it, -> packed ids."""
 
     def __init__(self, encode):
         super().__init__()
         self._encode = encode
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._encode(f" {piece}")
+        if piece[-1:] in (".", ",") and piece[:-1].isalpha():  # letters and others part
+            ids = self[piece[:-1]] + self._encode(piece[-1])
+        else:
+            ids = self._encode(piece if piece[:1] == "\n" else f" {piece}")
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED:
                 self.clear()
@@ -133,27 +160,36 @@ class _Pieces(dict):
 class TextEncoder:
     """Whole texts to packed ids (little-endian unsigned 32-bit) and back."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, by_ranks: bool = False):
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
         tokenizer = Tokenizer.from_file(path)
         model = described["model"]
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
-        self.prefixes = PrefixEncoder(model["vocab"], map(tuple, model["merges"]))
+        kind = RankEncoder if by_ranks else PrefixEncoder
+        self.merged = kind(model["vocab"], [tuple(m) for m in model["merges"]])
+        self.of_text = getattr(self.merged, "of_text", self._of_letters)
         self.special = {x["content"]: x["id"] for x in described["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.pretokens: dict[str, bytes] = {}
         self.pieces = _Pieces(self._piece)
-        byte = {c: b for b, c in _byte_letters().items()}
+        self.letters = _byte_letters()
+        byte = {c: b for b, c in self.letters.items()}
         self.bytes = {i: bytes(byte[c] for c in t) for t, i in model["vocab"].items()}
         self.bytes |= {i: t.encode() for t, i in self.special.items()}
 
+    def _of_letters(self, text: str) -> list[int]:
+        return self.merged.encode("".join([self.letters[b] for b in text.encode()]))
+
     def _piece(self, piece: str) -> bytes:
+        bare = piece[1:] if piece[:1] == " " else piece
+        if bare.isalpha():  # one pre-token
+            return _packed(self.of_text(piece))
         out = []
         for pretoken, _ in self.split(piece):
             ids = self.pretokens.get(pretoken)
             if ids is None:
-                ids = _packed(self.prefixes.encode(pretoken))
+                ids = _packed(self.merged.encode(pretoken))
                 if len(pretoken) <= CACHED_CHARS:
                     if len(self.pretokens) >= CACHED:
                         self.pretokens.clear()
@@ -162,8 +198,11 @@ class TextEncoder:
         return b"".join(out)
 
     def _plain(self, text: str) -> bytes:
-        if "  " in text:  # what a run of spaces gives depends on what follows it
-            return self._piece(text)
+        if _RUN.search(text):
+            if "  " in text or " \n" in text:
+                return self._piece(text)
+        else:
+            text = text.replace("\n", " \n")
         first, *rest = text.split(" ")
         return self._piece(first) + b"".join(map(self.pieces.__getitem__, rest))
 
@@ -194,9 +233,9 @@ def _byte_letters() -> dict[int, str]:
 
 
 @functools.lru_cache(maxsize=2)
-def text_encoder(path: str) -> TextEncoder:
+def text_encoder(path: str, by_ranks: bool = False) -> TextEncoder:
     """One for a worker process: its tables serve all tasks that run there."""
-    return TextEncoder(path)
+    return TextEncoder(path, by_ranks)
 
 
 def _mapped(df: DataFrame, column: str, kind: T.DataType, function) -> DataFrame:

@@ -102,11 +102,12 @@ def _pieces(path: str, capacity: int):
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = text_encoder(path, by_ranks=True).encode
         for batch in batches:
             rows = []
             texts = batch.column("text")
             for k, row in enumerate(batch.column("row").to_pylist()):
-                ids = text_encoder(path).encode(texts[k].as_py() or "") + end
+                ids = encode(texts[k].as_py() or "") + end
                 at = (len(ids) % width) or min(width, len(ids))
                 bounds = [0, *range(at, len(ids) + 1, width)]
                 rows += [
