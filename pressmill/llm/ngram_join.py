@@ -177,7 +177,13 @@ def tiles(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     shared = spark.sparkContext.broadcast(counts)  # BUCKETS numbers
     found = stage(docs.select("text").mapInArrow(_rare(parts, shared), SCHEMA))
     both = members(found).select(F.col("key").alias("tile"), F.col("owner").alias("cls"))
-    return stage(both.distinct())
+    met = stage(both.distinct())
+    # Documents that share a passage meet in many tiles; one of the same classes is enough.
+    alike = met.groupBy("tile").agg(
+        F.bit_xor("cls").alias("x"), F.bit_xor(F.xxhash64("cls")).alias("y"), F.count("*").alias("n")
+    )
+    one = alike.groupBy("x", "y", "n").agg(F.min("tile").alias("tile")).select("tile")
+    return stage(met.join(one, "tile", "left_semi"))
 
 
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -250,11 +256,13 @@ def _labelled(met: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(told.join(several.select("tile"), "tile", "left_semi"))
 
 
-def _hub_pairs(met: DataFrame) -> DataFrame:
-    """Every class with the hub of its tile, if that is of another component."""
+def _hub_pairs(met: DataFrame, turn: int) -> DataFrame:
+    """Every class with the hub of its tile, if that is of another component. First the
+    hub is the class that meets most others, later any other one."""
     shared = met.groupBy("cls").agg(F.count("*").alias("shared"))
+    rank = F.col("shared") if turn == 0 else F.xxhash64("cls", "tile", F.lit(turn))
     ranked = met.join(shared, "cls").groupBy("tile").agg(
-        F.max(F.struct("shared", "cls", "label")).alias("hub")
+        F.max(F.struct(rank.alias("rank"), "cls", "label")).alias("hub")
     )
     return (
         met.join(ranked, "tile")
@@ -287,28 +295,51 @@ def _block_pairs(met: DataFrame, classes: DataFrame) -> DataFrame:
     all_ids = F.sequence(F.lit(0), F.col("minor_blocks") + F.col("main_blocks") - 1)
     left = rows.where("minor").select("*", F.col("block").alias("i"), F.explode(all_ids).alias("j"), F.lit(0).alias("side"))
     right = rows.select("*", F.explode(minor_ids).alias("i"), own.alias("j"), F.lit(1).alias("side"))
-    cells = left.unionByName(right).where("minor OR side = 1").where(
-        # Two minor blocks meet once.
-        (F.col("j") >= F.col("i"))
-    )
-    return (
+    cells = left.unionByName(right).where("j >= i")  # two minor blocks meet once
+    dealt = (
         cells.select("tile", "i", "j", "side", "cls", "label", "n", "sign")
-        .groupBy("tile", "i", "j")
-        .applyInPandas(_cell, "a long, b long")
-        .distinct()
+        .repartition(shuffle_parts(met.sparkSession), "tile", "i", "j")
+        .sortWithinPartitions("tile", "i", "j")
     )
+    return dealt.mapInPandas(_cells, "a long, b long").distinct()
+
+
+def _cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of every cell. The last cell of a frame may go on in the next."""
+    rest = None
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        keys = frame[["tile", "i", "j"]].to_numpy()
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+        rest = frame.iloc[starts[-1] :]
+        yield _pairs(_cell(frame.iloc[a:b]) for a, b in zip(starts, starts[1:], strict=False))
+    if rest is not None:
+        yield _pairs([_cell(rest)])
+
+
+def _pairs(found) -> pd.DataFrame:
+    rows = [x for x in found if len(x)]
+    rows = np.concatenate(rows) if rows else np.zeros((0, 2), dtype=_SIGNED)
+    return pd.DataFrame({"a": rows.min(axis=1), "b": rows.max(axis=1)})
 
 
-def _cell(cell: pd.DataFrame) -> pd.DataFrame:
-    signs = folded(list(cell["sign"]))
+def _cell(cell: pd.DataFrame) -> np.ndarray:
+    """Pairs of different components that sizes and signatures allow."""
     cls, label, n, side = (cell[c].to_numpy() for c in ("cls", "label", "n", "side"))
-    other, pairs = np.flatnonzero(side == 1), []
+    other = np.flatnonzero(side == 1)
+    signs, pairs = None, []
     for k in np.flatnonzero(side == 0):
-        bits = np.bitwise_count(signs[other] ^ signs[k]).sum(axis=1)
-        keep = (label[other] != label[k]) & may_agree(bits, n[other], n[k])
-        pairs += [(cls[k], cls[o]) for o in other[keep]]
-    frame = pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
-    return pd.DataFrame({"a": frame.min(axis=1), "b": frame.max(axis=1)}).astype("int64")
+        m = n[other]
+        near = other[
+            (label[other] != label[k])
+            & (100 * np.minimum(m, n[k]) >= PERCENT * np.maximum(m, n[k]))
+        ]
+        if len(near):
+            signs = folded(list(cell["sign"])) if signs is None else signs
+            bits = np.bitwise_count(signs[near] ^ signs[k]).sum(axis=1, dtype=_SIGNED)
+            near = near[may_agree(bits, n[near], n[k])]
+            pairs.append(np.stack([np.full(len(near), cls[k]), cls[near]], axis=1))
+    return np.concatenate(pairs) if pairs else np.zeros((0, 2), dtype=_SIGNED)
 
 
 def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -332,7 +363,7 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         met = _labelled(met, labels)
         if met.isEmpty():
             break
-        pairs = _hub_pairs(met) if k < HUB_ROUNDS else _block_pairs(met, classes)
+        pairs = _hub_pairs(met, k) if k < HUB_ROUNDS else _block_pairs(met, classes)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
         found = stage(_verified(texts, classes, pairs))
