@@ -251,10 +251,10 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     with start and stop in code points, words, the documents that keep it and its text."""
     kept = [c for c in docs.columns if c not in ("spans", "removed_words")]
     docs = docs.select(*kept)
-    drops = repeated_paragraphs(docs).groupBy("doc").agg(
+    drops = repeated_paragraphs(docs).groupBy(F.col("doc").alias("_doc")).agg(
         F.collect_set(F.struct("paragraph", "keeper")).alias("_drops")
     )
-    joined = docs.join(drops, F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("doc"), "left").drop("doc")
+    joined = docs.join(drops, F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("_doc"), "left")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("removed_words", T.LongType()), T.StructField("spans", _SPAN)]
     )
