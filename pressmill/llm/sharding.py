@@ -6,7 +6,7 @@ the items are cut into parts by hash and every part packs its own into bundles,
 longest first through a heap; the bundles are the next items. A part's smallest items
 stay single, so the last choices of the final heap can still even out the loads.
 Groups that alone are a noticeable share of a shard are never bundled: there can only be
-``shards * GIANTS`` of them.
+``shards * giants`` of them.
 
 Cases: a null text is empty and has size 1. Equal texts share a shard, so one group with
 over a sixteenth of all bytes makes its shard that large; the others even out among
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -27,12 +28,19 @@ from pyspark.sql import functions as F
 from pressmill.llm.common import numbered, stage, text_or_empty
 
 SHARDS = 16
-#: A group of at least a ``shards * GIANTS``-th of all bytes goes to the last heap alone.
-GIANTS = 1000
-#: Items in a part, bundles made of them, and smallest items that stay single.
-PART_ITEMS, PART_BUNDLES, PART_SINGLES = 50_000, 1_000, 200
-#: Items that the last heap may see besides the giants.
-HEAP_ITEMS = 100_000
+
+
+class Limits(NamedTuple):
+    """Sizes of the work; they must make fewer items of many."""
+
+    #: A group of at least a ``shards * giants``-th of all bytes goes to the last heap alone.
+    giants: int = 1000
+    #: Items in a part, bundles made of them, and smallest items that stay single.
+    part_items: int = 50_000
+    bundles: int = 1_000
+    singles: int = 200
+    #: Items that the last heap may see besides the giants.
+    heap_items: int = 100_000
 
 
 def longest_first(sizes: Iterable[int], bins: int) -> list[int]:
@@ -46,27 +54,32 @@ def longest_first(sizes: Iterable[int], bins: int) -> list[int]:
     return out
 
 
-def _bundled(items: pd.DataFrame) -> pd.DataFrame:
-    items = items.sort_values(["bytes", "item"], ascending=[False, True])
-    many = max(0, len(items) - PART_SINGLES)
-    bundle = np.arange(len(items)) - many + PART_BUNDLES
-    bundle[:many] = longest_first(items["bytes"].head(many).tolist(), PART_BUNDLES)
-    name = [f"{p}-{b}" for p, b in zip(items["part"], bundle, strict=True)]
-    return pd.DataFrame({"item": items["item"], "bundle": name, "bytes": items["bytes"]})
+def _bundled(limits: Limits):
+    def run(items: pd.DataFrame) -> pd.DataFrame:
+        items = items.sort_values(["bytes", "item"], ascending=[False, True])
+        many = max(0, len(items) - limits.singles)
+        bundle = np.arange(len(items)) - many + limits.bundles
+        bundle[:many] = longest_first(items["bytes"].head(many).tolist(), limits.bundles)
+        name = [f"{p}-{b}" for p, b in zip(items["part"], bundle, strict=True)]
+        return pd.DataFrame({"item": items["item"], "bundle": name, "bytes": items["bytes"]})
+
+    return run
 
 
-def assign_groups(items: DataFrame, shards: int = SHARDS) -> DataFrame:
+def assign_groups(items: DataFrame, shards: int = SHARDS, limits: Limits = Limits()) -> DataFrame:
     """``item string, bytes long`` with distinct items -> ``item, shard``."""
     spark = items.sparkSession
     items = stage(items)
     total = items.agg(F.sum("bytes")).first()[0] or 0
-    giant = F.col("bytes") * (shards * GIANTS) >= F.lit(total)
+    giant = F.col("bytes") * (shards * limits.giants) >= F.lit(total)
     chain, heads, rest = [], items.where(giant), items.where(~giant)
-    while (n := rest.count()) > HEAP_ITEMS:
-        parts = -(-n // PART_ITEMS)
+    while (n := rest.count()) > limits.heap_items:
+        parts = -(-n // limits.part_items)
         split = rest.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
         bundles = stage(
-            split.groupBy("part").applyInPandas(_bundled, "item string, bundle string, bytes long")
+            split.groupBy("part").applyInPandas(
+                _bundled(limits), "item string, bundle string, bytes long"
+            )
         )
         chain.append(bundles.select("item", "bundle"))
         rest = stage(
@@ -88,7 +101,9 @@ def _table(spark: SparkSession, rows: list[tuple[str, int]]) -> DataFrame:
     return spark.createDataFrame(frame, "item string, shard int")
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def shard_documents(
+    docs: DataFrame, shards: int = SHARDS, limits: Limits = Limits()
+) -> DataFrame:
     """Every document with size, checksum, shard and gapless slot in its shard."""
     text = text_or_empty()
     rows = stage(
@@ -101,7 +116,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         )
     )
     groups = rows.groupBy("item").agg(F.sum("size").alias("bytes"))
-    placed = stage(rows.join(assign_groups(groups, shards), "item").drop("item"))
+    placed = stage(rows.join(assign_groups(groups, shards, limits), "item").drop("item"))
     return numbered(placed, ["shard"], [F.col("doc_id"), F.col("row")], "slot").select(
         "doc_id",
         "size",
