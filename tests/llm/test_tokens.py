@@ -1,5 +1,6 @@
 """Token counts, encoding, decoding and packing against the library."""
 
+import functools
 import hashlib
 import random
 import zlib
@@ -19,6 +20,7 @@ ODD = [
 ]
 
 
+@functools.lru_cache
 def library(path):
     return Tokenizer.from_file(path)
 
@@ -35,11 +37,8 @@ def test_ids_are_the_librarys(by_ranks, text):
     assert mine.decode(packed) == theirs.decode(ids, skip_special_tokens=False)
 
 
-_LIBRARY = {}
-
-
 def library_bytes():
-    return _LIBRARY.setdefault("b", library(bpe.BYTE_BPE))
+    return library(bpe.BYTE_BPE)
 
 
 def test_long_pretokens_are_linear():
