@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressmill.llm.common import BLANKS, shuffle_parts, text_or_empty
+from pressmill.session import computed_once
 
 SAMPLES = 32
 _BITS = float(1 << 32)
@@ -56,13 +57,30 @@ def sample(word: Column, log_weight: Column, j: int) -> Column:
     return F.shiftleft(F.floor(key * _STEPS), 32) + name
 
 
+def bags(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, ``word`` (hashed) and ``weight``, the logarithm of its frequency.
+
+    Words are counted inside their row: equal ones stand side by side once sorted, and
+    run from one start to the next. No state is kept for the words of a task's documents.
+    """
+    hashed = F.sort_array(F.transform(words(F.col("text")), lambda w: F.xxhash64(w)))
+    rows = computed_once(texts.select(*keys, hashed.alias("_words")))
+    fresh = lambda w, k: (k == 0) | (w != F.get("_words", k - 1))
+    marked = F.transform("_words", lambda w, k: F.when(fresh(w, k), k))
+    rows = computed_once(rows.select(*keys, "_words", F.array_compact(marked).alias("_starts")))
+    end = lambda j: F.coalesce(F.get("_starts", j + 1), F.size("_words"))
+    found = F.transform(
+        "_starts",
+        lambda k, j: F.struct(F.get("_words", k).alias("word"), (end(j) - k).alias("times")),
+    )
+    return rows.select(*keys, F.explode(found).alias("_w")).select(
+        *keys, "_w.word", F.log(F.col("_w.times").cast("double")).alias("weight")
+    )
+
+
 def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """``texts`` (``keys`` and ``text``) -> ``keys`` and ``print``, an array of samples."""
-    exploded = texts.select(*keys, F.explode(words(F.col("text"))).alias("word"))
-    weights = exploded.groupBy(*keys, F.xxhash64("word").alias("word")).agg(
-        F.log(F.count("*").cast("double")).alias("weight")
-    )
-    least = weights.groupBy(*keys).agg(
+    least = bags(texts, keys).groupBy(*keys).agg(
         *(F.min(sample(F.col("word"), F.col("weight"), j)).alias(f"s{j}") for j in range(samples))
     )
     low = [F.col(f"s{j}").bitwiseAND(F.lit(_LOW)) for j in range(samples)]
