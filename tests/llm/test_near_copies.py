@@ -147,7 +147,8 @@ def test_planted_passages_go_and_clean_documents_stay(frame):
         if k < 10:
             assert r.text == text and not r.spans
         else:
-            assert r.removed_words >= 25 and all(s.kept_in == [k % 10] for s in r.spans)
+            # At its ends a passage may have a paragraph that only two of the copies share.
+            assert r.removed_words >= 25 and all({*s.kept_in} <= {k % 10, k % 10 + 10} for s in r.spans)
             for s in r.spans:
                 assert text[s.start : s.stop] == s.passage and len(s.passage.split()) == s.words
             assert len(r.text) == len(text) - sum(len(s.passage) for s in r.spans)
