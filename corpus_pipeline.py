@@ -17,8 +17,9 @@ from pressmill.llm import exact_dedup, language_id, ngram_join, packing, substri
 from pressmill.llm.common import table
 from pressmill.session import ensure_checkpoint_dir
 
-#: An ambiguous document is rejected if its best language is no likelier than this.
-DOUBTFUL = 0.5
+#: An ambiguous document is rejected if its best language is no likelier than this. Texts in
+#: two languages stay: each of the two is likelier.
+DOUBTFUL = 0.35
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
