@@ -21,19 +21,53 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Paths staged so far.
+_STAGED: list[str] = []
+
+
+def _target(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def stage(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back.
 
-    The files are marked for deletion when the application ends, not before: a later
-    read must find them after an executor was lost.
+    The files are marked for deletion when the application ends: a later read must find
+    them after an executor was lost.
     """
     spark = df.sparkSession
     prepare_workers(spark)
     path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    target, files = _target(spark, path)
+    files.deleteOnExit(target)
+    _STAGED.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def drop_stage(staged: DataFrame) -> None:
+    """Delete what :func:`stage` wrote, once nothing reads it any more."""
+    target, files = _target(staged.sparkSession, staged._staged)
+    files.delete(target, True)
+
+
+class StagedBy:
+    """What a step stages, until the next step begins and deletes it."""
+
+    def __init__(self) -> None:
+        self._made: list[str] = []
+
+    def step(self, spark: SparkSession, function, *args) -> DataFrame:
+        while self._made:
+            target, files = _target(spark, self._made.pop())
+            files.delete(target, True)
+        _STAGED.clear()
+        out = function(spark, *args)
+        self._made = list(_STAGED)
+        return out
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -1,9 +1,10 @@
 """Where owners of equal keys meet, with little said about keys that only one owner has.
 
-A map task sends one packed entry for every distinct key of a batch, and a row of its own
-for each owner of a key that several owners in the batch have. The task of a part unpacks
-its entries and gives the owners of keys that several batches sent. So a key that a third
-of all rows have is one entry for each batch, and its owners stay where they were found.
+A map task packs a batch into one row for each part: an entry for every distinct key of the
+part, and beside it, spread over all parts alike, the owners of keys that several owners in
+the batch have. The task of a part finds the keys that several batches sent and passes the
+others' owners through. So a key that a third of all rows have is one entry for each batch,
+and its owners are dealt evenly.
 """
 
 from __future__ import annotations
@@ -14,9 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-SCHEMA = "part int, packed binary, key long, owner long, extra long"
-_NAMES = ["part", "packed", "key", "owner", "extra"]
-_SLICE = 1 << 18
+SCHEMA = "part int, packed binary, met binary"
+NAMES = ["part", "packed", "met"]
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -25,56 +25,51 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(keys)))
 
 
-def _sorted(keys: np.ndarray, owners: np.ndarray, extra: np.ndarray) -> list[np.ndarray]:
-    """Distinct key and owner, the least ``extra`` of each."""
-    order = np.lexsort((extra, owners, keys))
-    keys, owners, extra = keys[order], owners[order], extra[order]
-    fresh = np.append(True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1]))
-    return [keys[fresh], owners[fresh], extra[fresh]]
+def _sorted(columns: np.ndarray) -> np.ndarray:
+    """Distinct key and owner, with the least of what else is said."""
+    columns = columns[:, np.lexsort(columns[::-1])]
+    keys, owners = columns[:2]
+    return columns[:, np.append(True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1]))]
 
 
-def entries(keys: np.ndarray, owners: np.ndarray, extra: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows of one batch: members of keys with several owners, then the packed entries."""
-    if not len(keys):
+def entries(columns: list[np.ndarray], parts: int, first_part: int = 0) -> Iterator[pa.RecordBatch]:
+    """Rows of one batch of equally long columns: key, owner and what else is told."""
+    if not len(columns[0]):
         return
-    columns = _sorted(keys, owners, extra)
+    columns = _sorted(np.stack([c.view(np.int64) for c in columns]))
     first, size = _runs(columns[0])
-    met = np.flatnonzero(np.repeat(size > 1, size))
-    for s in range(0, len(met), _SLICE):
-        i = met[s : s + _SLICE]
-        none = [pa.nulls(len(i), pa.int32()), pa.nulls(len(i), pa.binary())]
-        yield pa.RecordBatch.from_arrays([*none, *(pa.array(c[i]) for c in columns)], _NAMES)
-    columns = [c[first] for c in columns]
+    met = columns[:, np.repeat(size > 1, size)]
+    columns = columns[:, first]
     part = (columns[0].view(np.uint64) % np.uint64(parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")
-    part, columns = part[order], [c[order] for c in columns]
+    part, columns = part[order], columns[:, order]
     starts, size = _runs(part)
-    packed = [
-        b"".join(c[a : a + n].tobytes() for c in columns) for a, n in zip(starts, size, strict=True)
-    ]
-    none = [pa.nulls(len(packed), pa.int64())] * 3
+    rows = len(starts)
+    packed = [columns[:, a : a + n].tobytes() for a, n in zip(starts, size, strict=True)]
+    beside = [met[:, k::rows].tobytes() for k in range(rows)]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(part[starts]), pa.array(packed, pa.binary()), *none], _NAMES
+        [pa.array(part[starts] + np.int32(first_part)), pa.array(packed, pa.binary()), pa.array(beside, pa.binary())],
+        NAMES,
     )
 
 
-def _unpacked(blocks: pa.Table) -> pa.Table:
-    found = [np.frombuffer(x.as_buffer(), dtype=np.int64).reshape(3, -1) for x in blocks.column("packed")]
-    keys, owners, extra = _sorted(*np.concatenate(found, axis=1))
-    _, size = _runs(keys)
-    met = np.repeat(size > 1, size)
-    return pa.table({"key": keys[met], "owner": owners[met], "extra": extra[met]})
+def members(found: DataFrame, names: list[str]) -> DataFrame:
+    """``part`` and ``names`` (key, owner, ...) of all keys with several owners; rows may
+    come twice."""
 
+    def unpacked(blocks: pa.Table) -> pa.Table:
+        def read(column: str) -> np.ndarray:
+            cut = [
+                np.frombuffer(x.as_buffer(), dtype=np.int64).reshape(len(names), -1)
+                for x in blocks.column(column)
+            ]
+            return np.concatenate(cut, axis=1)
 
-def members(found: DataFrame) -> DataFrame:
-    """``key, owner, extra`` of all keys with several owners; rows may come twice.
+        columns = _sorted(read("packed"))
+        _, size = _runs(columns[0])
+        columns = np.concatenate([columns[:, np.repeat(size > 1, size)], read("met")], axis=1)
+        part = pa.array(np.full(columns.shape[1], blocks.column("part")[0].as_py(), np.int32))
+        return pa.table([part, *map(pa.array, columns)], ["part", *names])
 
-    ``found`` is read for the entries and for the rows, so it should be a staged table.
-    """
-    across = (
-        found.where("part IS NOT NULL")
-        .select("part", "packed")
-        .groupBy("part")
-        .applyInArrow(_unpacked, "key long, owner long, extra long")
-    )
-    return across.unionByName(found.where("part IS NULL").select("key", "owner", "extra"))
+    schema = ", ".join(["part int", *(f"{n} long" for n in names)])
+    return found.select(*NAMES).groupBy("part").applyInArrow(unpacked, schema)

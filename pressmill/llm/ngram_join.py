@@ -38,10 +38,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from pressmill.llm.common import numbered, shuffle_parts, stage
+from pressmill.llm.common import drop_stage, numbered, shuffle_parts, stage
 from pressmill.llm.components import components
-from pressmill.llm.meeting import SCHEMA, entries, members
+from pressmill.llm.meeting import NAMES, SCHEMA, entries, members
 from pressmill.llm.shingles import mixed, shingle_set
 from pressmill.session import prepare_workers
 
@@ -107,11 +108,17 @@ def _sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield shingle_set(text.as_py())
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, DOCUMENTS):
+            yield batch.slice(k, DOCUMENTS)
+
+
 def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, dtype=np.int64)
-    for batch in batches:
-        for found in _sets(batch):
-            np.add.at(total, (found >> np.uint64(46)).astype(_SIGNED), 1)
+    for part in _slices(batches):
+        found = np.concatenate(list(_sets(part)))
+        total += np.bincount((found >> np.uint64(46)).astype(_SIGNED), minlength=BUCKETS)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "times"])
 
@@ -130,54 +137,55 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, class, set size and signature of every document."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, DOCUMENTS):
-            part = batch.slice(k, DOCUMENTS)
-            rows = [(_class_id(s), len(s), signature(s) if len(s) else b"") for s in _sets(part)]
-            ids, sizes, signs = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(ids), pa.array(sizes), pa.array(signs, pa.binary())],
-                ["doc_id", "cls", "n", "sign"],
-            )
-
-
-def _rare(parts: int, counts):
-    """Documents to entries of their rare shingles in each of their tiles."""
+def _described(parts: int, counts, kind: pa.DataType):
+    """Every document with its class, set size and signature, and entries of its rare
+    shingles in each of its tiles."""
+    told = ["doc_id", "cls", "n", "sign"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts.value
-        for batch in batches:
-            for k in range(0, batch.num_rows, DOCUMENTS):
-                seen, keys, owners = set(), [], []
-                for found in _sets(batch.slice(k, DOCUMENTS)):
-                    cls = _class_id(found)
-                    if not cls or cls in seen:
-                        continue
-                    seen.add(cls)
-                    size = prefix_length(len(found))
-                    rank = often[(found >> np.uint64(46)).astype(_SIGNED)]
-                    first = found[np.lexsort((found, rank))[:size]]
-                    b = band(len(found))
-                    for tile in {b // 2, (b + 1) // 2}:
-                        keys.append(mixed(first + np.uint64(tile)))
-                        owners.append(np.full(len(first), cls, dtype=_SIGNED))
-                if keys:
-                    tile, cls = np.concatenate(keys).view(_SIGNED), np.concatenate(owners)
-                    yield from entries(tile, cls, np.zeros_like(cls), parts)
+        for part in _slices(batches):
+            rows, seen, keys, owners = [], set(), [], []
+            for found in _sets(part):
+                cls = _class_id(found)
+                rows.append((cls, len(found), signature(found) if cls else b""))
+                if not cls or cls in seen:
+                    continue
+                seen.add(cls)
+                rank = often[(found >> np.uint64(46)).astype(_SIGNED)]
+                first = found[np.lexsort((found, rank))[: prefix_length(len(found))]]
+                b = band(len(found))
+                for tile in {b // 2, (b + 1) // 2}:
+                    keys.append(mixed(first + np.uint64(tile)))
+                    owners.append(np.full(len(first), cls, dtype=_SIGNED))
+            ids, sizes, signs = zip(*rows, strict=True)
+            none = [pa.nulls(len(rows), t) for t in (pa.int32(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(ids), pa.array(sizes), pa.array(signs, pa.binary()), *none],
+                [*told, *NAMES],
+            )
+            if keys:
+                for x in entries([np.concatenate(keys), np.concatenate(owners)], parts):
+                    none = [pa.nulls(x.num_rows, t) for t in (kind, pa.int64(), pa.int64(), pa.binary())]
+                    yield pa.RecordBatch.from_arrays([*none, *x.columns], [*told, *NAMES])
 
     return run
 
 
-def tiles(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """``tile, cls`` for every tile with at least two classes."""
+def described(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+    """One pass over the texts for what :func:`tiles` and the classes need."""
     spark = docs.sparkSession
-    parts = shuffle_parts(spark)
     shared = spark.sparkContext.broadcast(counts)  # BUCKETS numbers
-    found = stage(docs.select("text").mapInArrow(_rare(parts, shared), SCHEMA))
-    both = members(found).select(F.col("key").alias("tile"), F.col("owner").alias("cls"))
-    met = stage(both.distinct())
+    field = docs.schema["doc_id"]
+    kind = to_arrow_type(field.dataType)
+    told = f"doc_id {field.dataType.simpleString()}, cls long, n long, sign binary"
+    run = _described(shuffle_parts(spark), shared, kind)
+    return stage(docs.select("doc_id", "text").mapInArrow(run, f"{told}, {SCHEMA}"))
+
+
+def tiles(found: DataFrame) -> DataFrame:
+    """``tile, cls`` for every tile with at least two classes."""
+    met = stage(members(found, ["tile", "cls"]).select("tile", "cls").distinct())
     # Documents that share a passage meet in many tiles; one of the same classes is enough.
     alike = met.groupBy("tile").agg(
         F.bit_xor("cls").alias("x"), F.bit_xor(F.xxhash64("cls")).alias("y"), F.count("*").alias("n")
@@ -234,13 +242,16 @@ def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFra
     found = docs.select("doc_id", "text").join(some, F.col("doc_id").eqNullSafe(F.col("rep")))
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # an id may stand for several texts
-            same = [_class_id(s) == c.as_py() for s, c in zip(_sets(batch), batch.column("cls"), strict=True)]
-            yield batch.filter(pa.array(same, pa.bool_()))
+        last = 0  # repeated rows of an id follow each other
+        for batch in batches:
+            keep = []
+            for found, cls in zip(_sets(batch), batch.column("cls").to_pylist(), strict=True):
+                # An id may stand for several texts.
+                keep.append(cls != last and _class_id(found) == cls)
+                last = cls if keep[-1] else last
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return stage(
-        found.select("cls", "text").mapInArrow(own, "cls long, text string").dropDuplicates(["cls"])
-    )
+    return stage(found.select("cls", "text").mapInArrow(own, "cls long, text string"))
 
 
 def _labelled(met: DataFrame, labels: DataFrame) -> DataFrame:
@@ -345,12 +356,13 @@ def _cell(cell: pd.DataFrame) -> np.ndarray:
 def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents with their class, and the component of every class but each least one."""
     prepare_workers(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
-    met = tiles(docs, shingle_counts(docs))
-    described = stage(docs.mapInArrow(_described, f"doc_id {kind}, cls long, n long, sign binary"))
+    found = described(docs, shingle_counts(docs))
+    met = tiles(found.where("cls IS NULL"))
+    told = stage(found.where("cls IS NOT NULL").select("doc_id", "cls", "n", "sign"))
+    drop_stage(found)  # what is left of the packed entries stands in ``met``
     classes = stage(
-        described.where("n > 0").groupBy("cls").agg(
+        told.where("n > 0").groupBy("cls").agg(
             F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sign").alias("sign")
         )
     )
@@ -366,17 +378,16 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = _hub_pairs(met, k) if k < HUB_ROUNDS else _block_pairs(met, classes)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
-        found = stage(_verified(texts, classes, pairs))
         tried = tried.unionByName(pairs)
-        links = links.unionByName(found)
+        links = links.unionByName(stage(_verified(texts, classes, pairs)))
         labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return described.select("doc_id", "cls", "n"), labels
+    return told.select("doc_id", "cls", "n"), labels
 
 
 def ngram_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    described, labels = linked_components(docs)
-    told = described.join(labels, F.col("cls") == F.col("vertex"), "left").select(
+    classed, labels = linked_components(docs)
+    told = classed.join(labels, F.col("cls") == F.col("vertex"), "left").select(
         "doc_id", "n", F.coalesce("component", "cls").alias("label")
     )
     least = told.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
