@@ -8,13 +8,14 @@ tables, as its operator describes.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressmill.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
-from pressmill.llm.common import table
+from pressmill.llm.common import StagedBy, table
 from pressmill.session import ensure_checkpoint_dir
 
 #: An ambiguous document is rejected if its best language is no likelier than this. Texts in
@@ -28,6 +29,21 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
 
+_STEPS = StagedBy()
+
+
+def _after_the_last(step):
+    """``step``, which begins by deleting what the stage before it staged on its way: the
+    result of that one has been written since. Other tables are left alone."""
+
+    @functools.wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return _STEPS.step(spark, step, docs, sf_dir)
+
+    return run_step
+
+
+@_after_the_last
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     found = language_id.identify(docs, language_id.train(docs))
@@ -36,17 +52,20 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return found.where(known & ~doubtful).select(*docs.columns)
 
 
+@_after_the_last
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document that stays of each group of equal texts."""
     return _only(docs, exact_dedup.exact_dedup(docs).where("kept"))
 
 
+@_after_the_last
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least id, of each group of linked ones."""
     found = ngram_join.ngram_components(docs)
     return _only(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+@_after_the_last
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that an earlier one has."""
     cut = substring_dedup.cut_repeats(docs)
@@ -54,6 +73,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return cut.withColumn("n_chars", length).select(*docs.columns)
 
 
+@_after_the_last
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequences."""
     return packing.pack_documents(docs)

@@ -41,7 +41,7 @@ from pressmill.session import prepare_workers
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: Entries that a worker's tables of pieces and pre-tokens hold before they start anew,
 #: and the longest piece that goes into them.
-CACHED, CACHED_CHARS = 600_000, 64
+CACHED, CACHED_CHARS = 250_000, 64
 NEVER = 1 << 60
 
 

@@ -34,7 +34,7 @@ from pressmill.session import prepare_workers
 BUCKETS = 1 << 16
 CALIBRATION_ROWS = 2000
 #: Bytes of text looked at together.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 UNKNOWN = "und"
 #: Two languages closer than this in probability are not told apart.
 CLOSE = 0.1

@@ -11,7 +11,7 @@ import xxhash
 
 WIDTH = 5
 #: Words whose hash a worker keeps before it starts anew, and the longest of them in bytes.
-CACHED, CACHED_BYTES = 500_000, 64
+CACHED, CACHED_BYTES = 200_000, 64
 _STEP = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,
