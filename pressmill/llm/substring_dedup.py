@@ -6,10 +6,10 @@ the text itself says so: at places whose five-word shingle has the least hash fo
 but for its ends. A paragraph is the set of shingles that start in it.
 
 Equal paragraphs are one class. Different ones that may agree collide in a band of their
-MinHash values; the bands are the fewest that find a pair at the threshold with at least
-the wanted probability. Colliding paragraphs are held against one of their bucket, not
-against each other; the exact Jaccard similarity of their shingles decides, and links join
-classes into components. Of a component the paragraphs of the document with the least id
+MinHash values; the bands are tuned to find a pair at the threshold with at least the wanted
+probability. Colliding paragraphs are held against one of their bucket, not against each
+other. Bitmaps of their shingles rule most out; the exact Jaccard similarity of the others'
+shingles decides, and links join classes into components. Of a component the paragraphs of the document with the least id
 stay; elsewhere, runs of removed paragraphs of at least ``MIN_WORDS`` words are cut out.
 
 Cases: a null text stays null and an empty one empty; a text of fewer than eleven words
@@ -46,11 +46,13 @@ MIN_SHINGLES, MIN_WORDS = REACH + 1, 16
 #: Documents of a map task that are looked at together.
 DOCUMENTS = 4096
 LAST_ID = (1 << 63) - 1
+#: Buckets of a paragraph's bitmap, and the size from which on it says nothing.
+BUCKETS, LARGE = 56, 255
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
-def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: int = 4) -> tuple[int, int]:
+def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: int = 2) -> tuple[int, int]:
     """Bands and rows of each: the strictest rows whose bands, at most ``most``, reach it."""
     for rows in range(8, 0, -1):
         bands = math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows))
@@ -77,6 +79,20 @@ class Paragraphs:
         total = np.add.reduceat(mixed(self.shingle + np.uint64(1)), self.start)
         return mixed(total + (self.stop - self.start).astype(np.uint64)).view(np.int64)
 
+    @property
+    def signs(self) -> np.ndarray:
+        """Size of every set, 255 for all larger ones, above the parities of its shingles
+        in 56 buckets."""
+        if not len(self.start):
+            return np.zeros(0, dtype=np.int64)
+        mine = np.repeat(np.arange(len(self.start)), self.stop - self.start)
+        order = np.lexsort((self.shingle, mine))
+        x = self.shingle[order]
+        fresh = np.append(True, (x[1:] != x[:-1]) | (mine[1:] != mine[:-1]))
+        flips = np.where(fresh, np.uint64(1) << (x % np.uint64(BUCKETS)), np.uint64(0))
+        size = np.minimum(np.add.reduceat(fresh.astype(np.uint64), self.start), np.uint64(LARGE))
+        return (np.bitwise_xor.reduceat(flips, self.start) | size << np.uint64(BUCKETS)).view(np.int64)
+
     def band_keys(self, bands: int, rows: int) -> list[np.ndarray]:
         out = []
         for b in range(bands):
@@ -105,50 +121,48 @@ def paragraphs(text: str | None) -> Paragraphs:
 
 
 def _collisions(bands: int, rows: int, parts: int):
-    """Documents to entries: for each band key the paragraphs that have it (``extra`` the
-    document), and, in parts of their own, for each paragraph the documents that have it."""
+    """Documents to entries: in the first ``parts`` for each paragraph the documents that
+    have it, in the others for each band key the paragraphs that have it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, DOCUMENTS):
                 part = batch.slice(k, DOCUMENTS)
-                keys, ids, docs = [[] for _ in range(bands)], [], []
+                keys, ids, docs, signs = [[] for _ in range(bands)], [], [], []
                 for text, doc in zip(part.column("text"), part.column("doc_id").to_pylist(), strict=True):
                     found = paragraphs(text.as_py())
                     if len(found.start):
                         ids.append(found.ids)
                         docs.append(np.full(len(found.start), LAST_ID if doc is None else doc, np.int64))
+                        signs.append(found.signs)
                         for mine, key in zip(keys, found.band_keys(bands, rows), strict=True):
                             mine.append(key)
                 if ids:
-                    ids, docs = np.concatenate(ids), np.concatenate(docs)
-                    for x in entries(ids, docs, np.zeros_like(docs), parts):
-                        yield _tagged(x, False, parts)
+                    ids, docs, signs = map(np.concatenate, (ids, docs, signs))
+                    yield from entries([ids, docs, docs, docs], parts)
                     # Equal paragraphs collide in every band; one of them stands for all.
                     _, one = np.unique(ids, return_index=True)
                     key = np.concatenate([np.concatenate(mine)[one] for mine in keys])
-                    for x in entries(key, np.tile(ids[one], bands), np.tile(docs[one], bands), parts):
-                        yield _tagged(x, True, parts)
+                    told = [np.tile(c[one], bands) for c in (ids, docs, signs)]
+                    yield from entries([key, *told], parts, first_part=parts)
 
     return run
 
 
-def _tagged(rows: pa.RecordBatch, band: bool, parts: int) -> pa.RecordBatch:
-    part = rows.column("part").to_numpy(zero_copy_only=False) + parts * band
-    part = pa.array(part, pa.int32(), from_pandas=True)
-    columns = [part, *rows.columns[1:], pa.array(np.full(rows.num_rows, band))]
-    return pa.RecordBatch.from_arrays(columns, [*rows.schema.names, "band"])
-
-
 def _bucket_pairs(met: DataFrame) -> DataFrame:
-    """Every paragraph with the one that stands for its bucket, and a document of each."""
-    hub = met.groupBy("key").agg(F.min(F.struct("owner", "extra")).alias("hub"))
-    other = F.col("owner") != F.col("hub.owner")
+    """Every paragraph with the one that stands for its bucket, where the bitmaps allow the
+    threshold, and a document of each."""
+    hub = met.groupBy("key").agg(F.min(F.struct("owner", "doc", "sign")).alias("hub"))
+    size = lambda c: F.shiftrightunsigned(c, BUCKETS)
+    n, m = size(F.col("sign")), size(F.col("hub.sign"))
+    both = F.col("sign").bitwiseXOR(F.col("hub.sign")).bitwiseAND(F.lit((1 << BUCKETS) - 1))
+    most = F.least(F.floor((n + m - F.bit_count(both)) / 2), n, m)
+    allowed = (most >= SIMILARITY * (n + m - most)) | (F.greatest(n, m) == LARGE)
     return (
         met.join(hub, "key")
-        .where(other)
+        .where((F.col("owner") != F.col("hub.owner")) & allowed)
         .groupBy(F.col("owner").alias("a"), F.col("hub.owner").alias("b"))
-        .agg(F.min("extra").alias("doc_a"), F.min("hub.extra").alias("doc_b"))
+        .agg(F.min("doc").alias("doc_a"), F.min("hub.doc").alias("doc_b"))
     )
 
 
@@ -174,12 +188,11 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare_workers(spark)
     bands, rows = tune_bands()
-    found = stage(
-        docs.select("text", "doc_id").mapInArrow(
-            _collisions(bands, rows, shuffle_parts(spark)), SCHEMA + ", band boolean"
-        )
-    )
-    pairs = stage(_bucket_pairs(members(found.where("band")).distinct()))
+    parts = shuffle_parts(spark)
+    found = docs.select("text", "doc_id").mapInArrow(_collisions(bands, rows, parts), SCHEMA)
+    met = stage(members(found, ["key", "owner", "doc", "sign"]))
+    alike, near = met.where(F.col("part") < parts), met.where(F.col("part") >= parts)
+    pairs = stage(_bucket_pairs(near.drop("part").distinct()))
     id_of = F.coalesce("doc_id", F.lit(LAST_ID))
     wanted = pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc")).distinct()
     texts = stage(
@@ -193,8 +206,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
         .mapInArrow(_agreeing, "a long, b long, doc_a long, doc_b long")
     )
     stands = (
-        members(found.where("NOT band"))
-        .select(F.col("key").alias("paragraph"), F.col("owner").alias("doc"))
+        alike.select(F.col("key").alias("paragraph"), F.col("owner").alias("doc"))
         .unionByName(links.select(F.col("a").alias("paragraph"), F.col("doc_a").alias("doc")))
         .unionByName(links.select(F.col("b").alias("paragraph"), F.col("doc_b").alias("doc")))
         .distinct()
