@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressmill.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
-from pressmill.llm.common import StagedBy, table
+from pressmill.llm.common import BLANKS, StagedBy, row_key, table, text_or_empty
 from pressmill.session import ensure_checkpoint_dir
 
 #: An ambiguous document is rejected if its best language is no likelier than this. Texts in
@@ -23,10 +23,11 @@ from pressmill.session import ensure_checkpoint_dir
 DOUBTFUL = 0.35
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` with an id in ``ids``; null is an id too."""
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` whose :func:`row_key` is in ``rows``; of rows that agree in everything, one."""
+    keyed = docs.withColumn("_row", row_key(docs))
+    chosen = keyed.join(rows.select(F.col("row").alias("_row")), "_row", "left_semi")
+    return chosen.dropDuplicates(["_row"]).drop("_row")
 
 
 _STEPS = StagedBy()
@@ -55,14 +56,17 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 @_after_the_last
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document that stays of each group of equal texts."""
-    return _only(docs, exact_dedup.exact_dedup(docs).where("kept"))
+    found = exact_dedup.exact_dedup(docs.withColumn("_row", row_key(docs)), carried=("_row",))
+    return _only(docs, found.where("kept").select(F.col("_row").alias("row")))
 
 
 @_after_the_last
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least id, of each group of linked ones."""
-    found = ngram_join.ngram_components(docs)
-    return _only(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """One document, that with the least id, of each group of linked ones, and all without
+    words."""
+    found = ngram_join.representatives(docs, row_key(docs))
+    blank = F.translate(text_or_empty(), BLANKS, "") == ""
+    return _only(docs.where(~blank), found).unionByName(docs.where(blank))
 
 
 @_after_the_last

@@ -79,6 +79,12 @@ def id_rank(column: str = "doc_id") -> Column:
     return F.struct(F.col(column).isNotNull(), F.bitwise_not(F.col(column)))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """64 bits for all that a row says; rows that agree in everything have the same."""
+    columns = [F.col(c) for c in docs.columns]
+    return F.xxhash64(*(c.isNull() for c in columns), *columns)
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     """Gapless numbers from 0 inside every group of ``keys``, however large a group is.
 

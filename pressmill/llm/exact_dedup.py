@@ -34,7 +34,7 @@ INDEX_SCHEMA = (
 )
 
 
-def digests(docs: DataFrame, is_old: Column) -> DataFrame:
+def digests(docs: DataFrame, is_old: Column, carried: tuple[str, ...] = ()) -> DataFrame:
     """One narrow row per document; ``row`` tells rows apart that agree in everything."""
     text = text_or_empty()
     squeezed = F.translate(text, BLANKS, "")
@@ -44,6 +44,7 @@ def digests(docs: DataFrame, is_old: Column) -> DataFrame:
         F.char_length(text).alias("chars"),
         F.unhex(F.sha2(squeezed, 256)).alias("digest"),
         F.coalesce(is_old, F.lit(False)).alias("old"),
+        *carried,
     )
 
 
@@ -176,15 +177,17 @@ def verdicts(old: DataFrame, new: DataFrame) -> DataFrame:
     return known.unionByName(fresh)
 
 
-def exact_dedup(docs: DataFrame, is_old: Column | None = None) -> DataFrame:
-    """Every document with the document that stays for it.
+def exact_dedup(
+    docs: DataFrame, is_old: Column | None = None, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """Every document with the document that stays for it, and its columns ``carried``.
 
     ``is_old`` says of a row whether it belongs to the earlier crawl; without it half of
     the doc_ids, by hash, are taken as that crawl. The result is the same either way.
     """
     if is_old is None:
         is_old = F.xxhash64("doc_id") < 0
-    rows = stage(digests(docs, is_old))
+    rows = stage(digests(docs, is_old, carried))
     found = verdicts(rows.where("old"), rows.where("NOT old"))
     best = F.col("best")
     return rows.join(found, "digest").select(
@@ -193,4 +196,5 @@ def exact_dedup(docs: DataFrame, is_old: Column | None = None) -> DataFrame:
         "group_size",
         (F.col("row") == F.bitwise_not(best["unread"])).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        *carried,
     )

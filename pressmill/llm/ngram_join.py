@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -140,7 +140,7 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
 def _described(parts: int, counts, kind: pa.DataType):
     """Every document with its class, set size and signature, and entries of its rare
     shingles in each of its tiles."""
-    told = ["doc_id", "cls", "n", "sign"]
+    told = ["doc_id", "row", "cls", "n", "sign"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts.value
@@ -161,12 +161,12 @@ def _described(parts: int, counts, kind: pa.DataType):
             ids, sizes, signs = zip(*rows, strict=True)
             none = [pa.nulls(len(rows), t) for t in (pa.int32(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(ids), pa.array(sizes), pa.array(signs, pa.binary()), *none],
+                [part.column("doc_id"), part.column("row"), pa.array(ids), pa.array(sizes), pa.array(signs, pa.binary()), *none],
                 [*told, *NAMES],
             )
             if keys:
                 for x in entries([np.concatenate(keys), np.concatenate(owners)], parts):
-                    none = [pa.nulls(x.num_rows, t) for t in (kind, pa.int64(), pa.int64(), pa.binary())]
+                    none = [pa.nulls(x.num_rows, t) for t in (kind, *[pa.int64()] * 3, pa.binary())]
                     yield pa.RecordBatch.from_arrays([*none, *x.columns], [*told, *NAMES])
 
     return run
@@ -178,9 +178,9 @@ def described(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     shared = spark.sparkContext.broadcast(counts)  # BUCKETS numbers
     field = docs.schema["doc_id"]
     kind = to_arrow_type(field.dataType)
-    told = f"doc_id {field.dataType.simpleString()}, cls long, n long, sign binary"
+    told = f"doc_id {field.dataType.simpleString()}, row long, cls long, n long, sign binary"
     run = _described(shuffle_parts(spark), shared, kind)
-    return stage(docs.select("doc_id", "text").mapInArrow(run, f"{told}, {SCHEMA}"))
+    return stage(docs.select("doc_id", "row", "text").mapInArrow(run, f"{told}, {SCHEMA}"))
 
 
 def tiles(found: DataFrame) -> DataFrame:
@@ -353,13 +353,15 @@ def _cell(cell: pd.DataFrame) -> np.ndarray:
     return np.concatenate(pairs) if pairs else np.zeros((0, 2), dtype=_SIGNED)
 
 
-def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents with their class, and the component of every class but each least one."""
+def linked_components(docs: DataFrame, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents with their class and ``row``, and the component of every class but each
+    least one."""
     prepare_workers(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    row = F.lit(None).cast("long") if row is None else row
+    docs = docs.select("doc_id", "text", row.alias("row"))
     found = described(docs, shingle_counts(docs))
     met = tiles(found.where("cls IS NULL"))
-    told = stage(found.where("cls IS NOT NULL").select("doc_id", "cls", "n", "sign"))
+    told = stage(found.where("cls IS NOT NULL").select("doc_id", "row", "cls", "n", "sign"))
     drop_stage(found)  # what is left of the packed entries stands in ``met``
     classes = stage(
         told.where("n > 0").groupBy("cls").agg(
@@ -381,7 +383,7 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         tried = tried.unionByName(pairs)
         links = links.unionByName(stage(_verified(texts, classes, pairs)))
         labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return told.select("doc_id", "cls", "n"), labels
+    return told.select("doc_id", "row", "cls", "n"), labels
 
 
 def ngram_components(docs: DataFrame) -> DataFrame:
@@ -396,3 +398,12 @@ def ngram_components(docs: DataFrame) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame, row: Column) -> DataFrame:
+    """``row`` of one document of each component that has words: that with the least id, a
+    null id last, and the least ``row``."""
+    classed, labels = linked_components(docs, row)
+    told = classed.where("n > 0").join(labels, F.col("cls") == F.col("vertex"), "left")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]
+    return told.groupBy(F.coalesce("component", "cls").alias("label")).agg(first.alias("row")).select("row")

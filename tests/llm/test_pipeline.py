@@ -51,3 +51,28 @@ def test_run_is_registered(spark, sf_dir):
 
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert len([q for q in __spark_entry__.queries() if re.match(r"op\d+_", q)]) == 10
+
+
+def test_copies_under_one_id_go(spark, frame):
+    """Repeated rows, null ids, and one id with several texts: the rows that stay, not their ids."""
+    base = prose(1, 80)
+    near, other = f"{base} one more word", f"near {base}"
+    rows = [
+        (1, base), (1, base), (1, prose(2, 50)), (1, prose(2, 50).replace(" ", "  ")), (2, near), (None, base),
+        (None, prose(3, 60)), (None, prose(3, 60)), (None, prose(4, 60)), (None, f"{prose(4, 60)} end"),
+        (None, other), (3, None), (None, ""),
+    ]
+    docs = stage(frame(rows).select("doc_id", "text", "lang", "source", "n_chars"))
+    exact = stage(corpus_pipeline.drop_exact_copies(spark, docs, ""))
+    want = [
+        (1, base), (1, prose(2, 50).replace(" ", "  ")), (2, near), (None, prose(3, 60)), (None, prose(4, 60)),
+        (None, f"{prose(4, 60)} end"), (None, other), (3, None),
+    ]
+    assert sorted(((r.doc_id, r.text) for r in exact.collect()), key=str) == sorted(want, key=str)
+    for df in (docs, exact):
+        found = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()]
+        with_words = [t for _, t in found if t]
+        assert [t for t in with_words if t in (base, near, other)] == [base]
+        assert sum(t.split() == prose(2, 50).split() for t in with_words) == 1
+        assert with_words.count(prose(3, 60)) == 1 and sum(t.startswith(prose(4, 60)) for t in with_words) == 1
+        assert len(with_words) == 4 and len(found) - 4 == (2 if df is docs else 1)
