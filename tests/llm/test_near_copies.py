@@ -134,6 +134,11 @@ def test_bands_reach_the_recall():
     assert 1 - (1 - 0.8**rows) ** bands >= 0.95 and bands <= 4
 
 
+def test_bands_are_strict():
+    """One-row bands fill buckets with paragraphs that share one frequent shingle."""
+    assert substring_dedup.tune_bands() == (3, 2)
+
+
 def test_planted_passages_go_and_clean_documents_stay(frame):
     rows = []
     for k in range(30):
