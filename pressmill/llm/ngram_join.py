@@ -185,7 +185,10 @@ def described(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 def tiles(found: DataFrame) -> DataFrame:
     """``tile, cls`` for every tile with at least two classes."""
-    met = stage(members(found, ["tile", "cls"]).select("tile", "cls").distinct())
+    return distinct_tiles(stage(members(found, ["tile", "cls"]).select("tile", "cls").distinct()))
+
+
+def distinct_tiles(met: DataFrame) -> DataFrame:
     # Documents that share a passage meet in many tiles; one of the same classes is enough.
     alike = met.groupBy("tile").agg(
         F.bit_xor("cls").alias("x"), F.bit_xor(F.xxhash64("cls")).alias("y"), F.count("*").alias("n")
@@ -353,6 +356,26 @@ def _cell(cell: pd.DataFrame) -> np.ndarray:
     return np.concatenate(pairs) if pairs else np.zeros((0, 2), dtype=_SIGNED)
 
 
+def settled(met: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Components of the classes that meet in tiles, ``vertex, component``: of ``met (tile,
+    cls)``, ``classes (cls, n, sign)`` and ``texts (cls, text)``. No pair of a tile is lost."""
+    spark = met.sparkSession
+    labels = spark.createDataFrame([], "vertex long, component long")
+    tried = spark.createDataFrame([], "a long, b long")
+    links = tried
+    for k in range(HUB_ROUNDS + 1):
+        met = _labelled(met, labels)
+        if met.isEmpty():
+            break
+        pairs = _hub_pairs(met, k) if k < HUB_ROUNDS else _block_pairs(met, classes)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = tried.unionByName(pairs)
+        links = links.unionByName(stage(_verified(texts, classes, pairs)))
+        labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return labels
+
+
 def linked_components(docs: DataFrame, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Documents with their class and ``row``, and the component of every class but each
     least one."""
@@ -369,21 +392,7 @@ def linked_components(docs: DataFrame, row: Column | None = None) -> tuple[DataF
         )
     )
     texts = _texts_of(docs, classes, met)
-    spark = docs.sparkSession
-    labels = spark.createDataFrame([], "vertex long, component long")
-    tried = spark.createDataFrame([], "a long, b long")
-    links = tried
-    for k in range(HUB_ROUNDS + 1):
-        met = _labelled(met, labels)
-        if met.isEmpty():
-            break
-        pairs = _hub_pairs(met, k) if k < HUB_ROUNDS else _block_pairs(met, classes)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = tried.unionByName(pairs)
-        links = links.unionByName(stage(_verified(texts, classes, pairs)))
-        labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return told.select("doc_id", "row", "cls", "n"), labels
+    return told.select("doc_id", "row", "cls", "n"), settled(met, classes, texts)
 
 
 def ngram_components(docs: DataFrame) -> DataFrame:

@@ -32,7 +32,10 @@ _HASHES = _Hashes()
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    words = (text or "").encode("utf-8", "replace").lower().split()
+    return hashes_of((text or "").encode("utf-8", "replace").lower().split())
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 

@@ -1,19 +1,21 @@
-"""Substring dedup: repeated paragraphs found by MinHash banding and cut out.
-
-A repeated passage need not start or end where a line does, so paragraphs are cut where
-the text itself says so: at places whose five-word shingle has the least hash for
-``REACH`` places around. A passage that stands in two documents is cut alike in both,
-but for its ends. A paragraph is the set of shingles that start in it.
-
-Equal paragraphs are one class. Different ones that may agree collide in a band of their
-MinHash values; the bands are tuned to find a pair at the threshold with at least the wanted
-probability. Colliding paragraphs are held against one of their bucket, not against each
-other. Bitmaps of their shingles rule most out; the exact Jaccard similarity of the others'
-shingles decides, and links join classes into components. Of a component the paragraphs of the document with the least id
-stay; elsewhere, runs of removed paragraphs of at least ``MIN_WORDS`` words are cut out.
-
-Cases: a null text stays null and an empty one empty; a text of fewer than eleven words
-has no paragraph and stays as it is. A paragraph repeated only inside one document stays.
+"""Substring dedup: repeated passages and near-equal paragraphs are found and cut out.
+
+A passage may be pasted anywhere, so every window of ``MIN_WORDS`` words that stands in two
+documents counts. Not all windows are sent around: each has a seed, the least hash of the
+eight-word pieces in it, which is the same wherever the window stands. Documents meet by
+seeds; only windows whose seed several documents have are then compared by themselves, all
+of them. The document with the least id keeps a window; in the others, the words of
+such windows go, up to the last word that is repeated.
+
+Paragraphs are the lines of at least ``MIN_WORDS`` words, as sets of five-word shingles.
+Different ones that may agree collide in a band of their MinHash values; the bands are tuned
+to find a pair at the threshold with at least the wanted probability. What collides is settled
+as in the n-gram join: hubs first, then all that is left of a bucket across components, by
+bitmaps and exact Jaccard similarity. Of a component the paragraphs of the document with the
+least id stay. Runs of removed words shorter than ``MIN_WORDS`` stay.
+
+Cases: a null text stays null and an empty one empty; a text of fewer than sixteen words
+stays as it is. What is repeated only inside one document stays.
 Documents with the same id count as one; a null id comes after all others and is never
 the one that keeps a passage while another could. Texts of any length are read whole. An
 empty table gives an empty result. Other columns are kept; ``spans`` and ``removed_words``
@@ -28,26 +30,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressmill.llm.common import shuffle_parts, stage
-from pressmill.llm.components import components
-from pressmill.llm.meeting import SCHEMA, entries, members
-from pressmill.llm.ngram_join import agree
-from pressmill.llm.shingles import WIDTH, mixed, shingles, word_hashes
+from pressmill.llm.common import drop_stage, shuffle_parts, stage
+from pressmill.llm.meeting import NAMES, SCHEMA, entries, members
+from pressmill.llm.ngram_join import distinct_tiles, settled, signature
+from pressmill.llm.shingles import WIDTH, hashes_of, mixed, shingles
 from pressmill.session import prepare_workers
 
 SIMILARITY, RECALL = 0.8, 0.95
-REACH = 6
-#: Shingles of the shortest paragraph, words of the shortest passage that is cut out.
-MIN_SHINGLES, MIN_WORDS = REACH + 1, 16
+#: Words of a window, of the shortest paragraph and of the shortest passage that is cut out.
+MIN_WORDS = 16
 #: Documents of a map task that are looked at together.
 DOCUMENTS = 4096
 LAST_ID = (1 << 63) - 1
-#: Buckets of a paragraph's bitmap, and the size from which on it says nothing.
-BUCKETS, LARGE = 56, 255
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -63,13 +61,14 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: int
 
 @dataclass
 class Paragraphs:
-    """Shingles of a text's paragraphs side by side, each ``start`` to ``stop - 1``, and the
-    place in the text of each one's first."""
+    """Shingles of a text's paragraphs side by side, each ``start`` to ``stop - 1``, the
+    place in the text of each one's first, and the paragraphs themselves."""
 
     shingle: np.ndarray
     start: np.ndarray
     stop: np.ndarray
     place: np.ndarray
+    lines: list[bytes]
 
     @property
     def ids(self) -> np.ndarray:
@@ -79,170 +78,204 @@ class Paragraphs:
         total = np.add.reduceat(mixed(self.shingle + np.uint64(1)), self.start)
         return mixed(total + (self.stop - self.start).astype(np.uint64)).view(np.int64)
 
-    @property
-    def signs(self) -> np.ndarray:
-        """Size of every set, 255 for all larger ones, above the parities of its shingles
-        in 56 buckets."""
-        if not len(self.start):
-            return np.zeros(0, dtype=np.int64)
-        mine = np.repeat(np.arange(len(self.start)), self.stop - self.start)
-        order = np.lexsort((self.shingle, mine))
-        x = self.shingle[order]
-        fresh = np.append(True, (x[1:] != x[:-1]) | (mine[1:] != mine[:-1]))
-        flips = np.where(fresh, np.uint64(1) << (x % np.uint64(BUCKETS)), np.uint64(0))
-        size = np.minimum(np.add.reduceat(fresh.astype(np.uint64), self.start), np.uint64(LARGE))
-        return (np.bitwise_xor.reduceat(flips, self.start) | size << np.uint64(BUCKETS)).view(np.int64)
-
-    def band_keys(self, bands: int, rows: int) -> list[np.ndarray]:
+    def band_keys(self, bands: int, rows: int, some: np.ndarray) -> list[np.ndarray]:
+        """Of the paragraphs ``some``, for each band."""
         out = []
         for b in range(bands):
             key = np.full(len(self.start), b, dtype=np.uint64)
             for r in range(rows):
                 own = np.uint64(2 + b * rows + r)
                 key = mixed(key + np.minimum.reduceat(mixed(self.shingle ^ mixed(own[None])[0]), self.start))
-            out.append(key.view(np.int64))
+            out.append(key[some].view(np.int64))
         return out
 
 
+def read_words(text: str | None) -> tuple[np.ndarray, Paragraphs]:
+    """Hashes of a text's words, and its lines of at least ``MIN_WORDS`` words."""
+    lines = (text or "").encode("utf-8", "replace").lower().split(b"\n")
+    words = [line.split() for line in lines]
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    hashes = hashes_of([w for line in words for w in line])
+    place = np.cumsum(size) - size
+    long = np.flatnonzero(size >= MIN_WORDS)
+    place, size = place[long], size[long] - WIDTH + 1
+    ends = np.cumsum(size)
+    if not len(long):
+        return hashes, Paragraphs(hashes[:0], ends, ends, place, [])
+    at = np.repeat(place - (ends - size), size) + np.arange(ends[-1])
+    return hashes, Paragraphs(shingles(hashes)[at], ends - size, ends, place, [lines[i] for i in long])
+
+
 def paragraphs(text: str | None) -> Paragraphs:
-    """Cut before every shingle that is the least of its surroundings, the first of equals."""
-    found = shingles(word_hashes(text))
-    n = len(found)
-    cut = np.ones(n, dtype=bool)
-    for k in range(1, min(REACH, n - 1) + 1):
-        cut[k:] &= found[k:] < found[:-k]
-        cut[:-k] &= found[:-k] <= found[k:]
-    start = np.unique(np.append(np.flatnonzero(cut), 0)) if n else np.zeros(0, dtype=np.int64)
-    stop = np.append(start[1:], n) if n else start
-    long = stop - start >= MIN_SHINGLES
-    size = (stop - start)[long]
-    ends = np.cumsum(size, dtype=np.int64)
-    return Paragraphs(found[np.repeat(long, stop - start)], ends - size, ends, start[long])
-
-
-def _collisions(bands: int, rows: int, parts: int):
-    """Documents to entries: in the first ``parts`` for each paragraph the documents that
-    have it, in the others for each band key the paragraphs that have it."""
+    return read_words(text)[1]
+
+
+def windows(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``MIN_WORDS`` words from every place on as a number each, and the seed of each."""
+    n = len(words) - MIN_WORDS + 1
+    if n < 1:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    five = shingles(words)
+    whole = np.zeros(n, dtype=np.uint64)
+    for k in (0, 5, 10, MIN_WORDS - WIDTH):
+        whole = mixed(whole + five[k : k + n])
+    seed = mixed(mixed(five[:-3]) + five[3:])  # eight words
+    for step in (1, 2, 4, 1):  # the least of nine
+        seed = np.minimum(seed[:-step], seed[step:])
+    return whole.view(np.int64), seed.view(np.int64)
+
+
+def _owner() -> Column:
+    """What tells documents apart."""
+    return F.coalesce("doc_id", F.lit(LAST_ID))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, DOCUMENTS):
+            yield batch.slice(k, DOCUMENTS)
+
+
+def _meeting_keys(bands: int, rows: int, parts: int):
+    """Documents to entries of their seeds and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, DOCUMENTS):
-                part = batch.slice(k, DOCUMENTS)
-                keys, ids, docs, signs = [[] for _ in range(bands)], [], [], []
-                for text, doc in zip(part.column("text"), part.column("doc_id").to_pylist(), strict=True):
-                    found = paragraphs(text.as_py())
-                    if len(found.start):
-                        ids.append(found.ids)
-                        docs.append(np.full(len(found.start), LAST_ID if doc is None else doc, np.int64))
-                        signs.append(found.signs)
-                        for mine, key in zip(keys, found.band_keys(bands, rows), strict=True):
-                            mine.append(key)
-                if ids:
-                    ids, docs, signs = map(np.concatenate, (ids, docs, signs))
-                    yield from entries([ids, docs, docs, docs], parts)
-                    # Equal paragraphs collide in every band; one of them stands for all.
-                    _, one = np.unique(ids, return_index=True)
-                    key = np.concatenate([np.concatenate(mine)[one] for mine in keys])
-                    told = [np.tile(c[one], bands) for c in (ids, docs, signs)]
-                    yield from entries([key, *told], parts, first_part=parts)
+        for part in _slices(batches):
+            keys, owners = [], []
+            for text, owner in zip(part.column("text"), part.column("owner").to_pylist(), strict=True):
+                words, found = read_words(text.as_py())
+                keys.append(np.unique(windows(words)[1]))
+                owners.append(np.full(len(keys[-1]), owner, np.int64))
+                if found.lines:
+                    _, one = np.unique(found.ids, return_index=True)
+                    key, times = np.unique(np.concatenate(found.band_keys(bands, rows, one)), return_counts=True)
+                    # Different paragraphs of one document meet too: it counts as two.
+                    twice = key[times > 1]
+                    keys += [key, twice]
+                    owners += [np.full(len(key), owner, np.int64), np.full(len(twice), ~owner, np.int64)]
+            if keys:
+                yield from entries([np.concatenate(keys), np.concatenate(owners)], parts)
 
     return run
 
 
-def _bucket_pairs(met: DataFrame) -> DataFrame:
-    """Every paragraph with the one that stands for its bucket, where the bitmaps allow the
-    threshold, and a document of each."""
-    hub = met.groupBy("key").agg(F.min(F.struct("owner", "doc", "sign")).alias("hub"))
-    size = lambda c: F.shiftrightunsigned(c, BUCKETS)
-    n, m = size(F.col("sign")), size(F.col("hub.sign"))
-    both = F.col("sign").bitwiseXOR(F.col("hub.sign")).bitwiseAND(F.lit((1 << BUCKETS) - 1))
-    most = F.least(F.floor((n + m - F.bit_count(both)) / 2), n, m)
-    allowed = (most >= SIMILARITY * (n + m - most)) | (F.greatest(n, m) == LARGE)
-    return (
-        met.join(hub, "key")
-        .where((F.col("owner") != F.col("hub.owner")) & allowed)
-        .groupBy(F.col("owner").alias("a"), F.col("hub.owner").alias("b"))
-        .agg(F.min("doc").alias("doc_a"), F.min("hub.doc").alias("doc_b"))
-    )
+_SHARED = "cls long, owner long, doc long, keys array<long>, n long, sign binary, text string"
+_SHARED_NAMES = [c.split()[0] for c in _SHARED.split(", ")]
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of paragraphs whose shingle sets reach the threshold."""
-    for batch in batches:
-        sides = []
-        for side in "ab":
-            texts, ids = batch.column(f"text_{side}"), batch.column(side).to_pylist()
-            sides.append([_set_of(t.as_py(), i) for t, i in zip(texts, ids, strict=True)])
-        keep = [u is not None and v is not None and agree(u, v) for u, v in zip(*sides, strict=True)]
-        yield batch.select(["a", "b", "doc_a", "doc_b"]).filter(pa.array(keep, pa.bool_()))
+def _shared(bands: int, rows: int, parts: int):
+    """Documents with the ``keys`` that others have too: entries of the windows with such a
+    seed, and a row for each paragraph with such a band key. Of equal paragraphs of a batch
+    one has its text."""
+    kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.string()]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            keys, owners, docs, lines, seen = [], [], [], [], set()
+            told = (part.column(c).to_pylist() for c in ("owner", "doc"))
+            for text, met, owner, doc in zip(part.column("text"), part.column("keys"), *told, strict=True):
+                met = met.values.to_numpy()
+                words, found = read_words(text.as_py())
+                whole, seed = windows(words)
+                keys.append(np.unique(whole[np.isin(seed, met)]))
+                owners.append(np.full(len(keys[-1]), owner, np.int64))
+                docs.append(np.full(len(keys[-1]), doc, np.int64))
+                if found.lines:
+                    ids, one = np.unique(found.ids, return_index=True)
+                    key = np.stack(found.band_keys(bands, rows, one))
+                    here = np.isin(key, met)
+                    for k in np.flatnonzero(here.any(axis=0)):
+                        at, cls, shingle, line = one[k], int(ids[k]), (), None
+                        mine = key[here[:, k], k].tolist()
+                        if cls not in seen:
+                            seen.add(cls)
+                            shingle = np.unique(found.shingle[found.start[at] : found.stop[at]])
+                            line = found.lines[at].decode()
+                        sign = None if line is None else signature(shingle)
+                        lines.append((cls, owner, doc, mine, len(shingle), sign, line))
+            if lines:
+                columns = [pa.array(c, t) for c, t in zip(zip(*lines, strict=True), kinds, strict=True)]
+                none = [pa.nulls(len(lines), t) for t in (pa.int32(), pa.binary(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, *none], [*_SHARED_NAMES, *NAMES])
+            if keys:
+                for x in entries([np.concatenate(c) for c in (keys, owners, docs)], parts):
+                    none = [pa.nulls(x.num_rows, t) for t in kinds]
+                    yield pa.RecordBatch.from_arrays([*none, *x.columns], [*_SHARED_NAMES, *NAMES])
 
-def _set_of(text: str | None, wanted: int) -> np.ndarray | None:
-    found = paragraphs(text)
-    at = np.flatnonzero(found.ids == wanted)
-    return np.unique(found.shingle[found.start[at[0]] : found.stop[at[0]]]) if len(at) else None
+    return run
 
 
-def repeated_paragraphs(docs: DataFrame) -> DataFrame:
-    """``doc, paragraph, keeper``: what goes from a document and which document has it."""
+def _gone(told: DataFrame, group: str) -> DataFrame:
+    """``owner, piece, keeper``: all of each group but what the first document has."""
+    first = F.min(F.struct("doc", "owner")).alias("first")
+    keepers = told.groupBy(group).agg(first)
+    return told.join(keepers, group).where(F.col("owner") != F.col("first.owner")).select(
+        "owner", "piece", F.col("first.doc").alias("keeper")
+    )
+
+
+def repeated_pieces(docs: DataFrame) -> DataFrame:
+    """``owner, piece, keeper``: the windows and paragraphs that go from a document and which
+    document has them."""
     spark = docs.sparkSession
     prepare_workers(spark)
     bands, rows = tune_bands()
     parts = shuffle_parts(spark)
-    found = docs.select("text", "doc_id").mapInArrow(_collisions(bands, rows, parts), SCHEMA)
-    met = stage(members(found, ["key", "owner", "doc", "sign"]))
-    alike, near = met.where(F.col("part") < parts), met.where(F.col("part") >= parts)
-    pairs = stage(_bucket_pairs(near.drop("part").distinct()))
-    id_of = F.coalesce("doc_id", F.lit(LAST_ID))
-    wanted = pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc")).distinct()
-    texts = stage(
-        docs.select(id_of.alias("doc"), "text").join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
-    )
-    of = lambda x: texts.select(F.col("doc").alias(f"doc_{x}"), F.col("text").alias(f"text_{x}"))
-    links = stage(
-        pairs.join(of("a"), "doc_a")
-        .join(of("b"), "doc_b")
-        .select("a", "b", "doc_a", "doc_b", "text_a", "text_b")
-        .mapInArrow(_agreeing, "a long, b long, doc_a long, doc_b long")
+    docs = docs.select("text", _owner().alias("owner"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"))
+    found = docs.select("text", "owner").mapInArrow(_meeting_keys(bands, rows, parts), SCHEMA)
+    met = stage(members(found, ["key", "owner"]).select("key", "owner"))
+    wanted = met.groupBy("owner").agg(F.collect_set("key").alias("keys"))
+    shared = stage(
+        docs.join(wanted, "owner")
+        .select("owner", "doc", "text", "keys")
+        .mapInArrow(_shared(bands, rows, parts), f"{_SHARED}, {SCHEMA}")
     )
-    stands = (
-        alike.select(F.col("key").alias("paragraph"), F.col("owner").alias("doc"))
-        .unionByName(links.select(F.col("a").alias("paragraph"), F.col("doc_a").alias("doc")))
-        .unionByName(links.select(F.col("b").alias("paragraph"), F.col("doc_b").alias("doc")))
-        .distinct()
+    drop_stage(met)
+    pieces = members(shared.where("part IS NOT NULL"), ["piece", "owner", "doc"])
+    gone = _gone(stage(pieces.select("piece", "owner", "doc").distinct()), "piece")
+    lines = shared.where("cls IS NOT NULL")
+    tiles = distinct_tiles(stage(lines.select(F.explode("keys").alias("tile"), "cls").distinct()))
+    classes = stage(
+        lines.where("text IS NOT NULL").groupBy("cls").agg(
+            F.max("n").alias("n"), F.max("sign").alias("sign"), F.min("text").alias("text")
+        )
     )
-    labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    labels = settled(tiles, classes, classes.select("cls", "text"))
+    stands = lines.select(F.col("cls").alias("piece"), "owner", "doc").distinct()
     told = stage(
-        stands.join(labels, F.col("paragraph") == F.col("vertex"), "left").select(
-            "doc", "paragraph", F.coalesce("component", "paragraph").alias("label")
+        stands.join(labels, F.col("piece") == F.col("vertex"), "left").select(
+            "piece", "owner", "doc", F.coalesce("component", "piece").alias("label")
         )
     )
-    keepers = told.groupBy("label").agg(F.min("doc").alias("keeper"))
-    return told.join(keepers, "label").where("doc <> keeper").select("doc", "paragraph", "keeper")
-
-
-def passages(text: str, drops: dict[int, int]) -> list[tuple[int, int, int, list[int]]]:
-    """Runs of dropped paragraphs: first and last byte plus one, words, keepers."""
-    found = paragraphs(text)
-    first, last = found.place, found.place + (found.stop - found.start) + WIDTH - 1
-    at = np.flatnonzero(np.isin(found.ids, np.fromiter(drops, np.int64, len(drops))))
+    return gone.unionByName(_gone(told, "label"))
+
+
+def passages(text: str, pieces: np.ndarray, keepers: np.ndarray) -> list[tuple[int, int, int, list[int]]]:
+    """Runs of repeated words: first and last byte plus one, words, keepers."""
+    words, found = read_words(text)
+    whole, _ = windows(words)
+    first = np.concatenate([np.arange(len(whole)), found.place])
+    last = np.concatenate([first[: len(whole)] + MIN_WORDS, found.place + found.stop - found.start + WIDTH - 1])
+    ids = np.concatenate([whole, found.ids])
+    order = np.argsort(pieces)
+    pieces, keepers = pieces[order], keepers[order]
+    to = np.minimum(np.searchsorted(pieces, ids), len(pieces) - 1)
+    at = np.flatnonzero(pieces[to] == ids)
     if not len(at):
         return []
+    at = at[np.argsort(first[at], kind="stable")]
     data = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
     blank = _BLANK[data]
     starts = np.flatnonzero(~blank & np.append(True, blank[:-1]))
     ends = np.flatnonzero(~blank & np.append(blank[1:], True)) + 1
-    runs: list[list] = []
-    for i in at:
-        if not runs or first[i] > runs[-1][1]:
-            runs.append([first[i], last[i], []])
-        runs[-1][1] = max(runs[-1][1], last[i])
-        runs[-1][2].append(drops[int(found.ids[i])])
-    return [
-        (int(starts[a]), int(ends[b - 1]), int(b - a), sorted(set(keepers)))
-        for a, b, keepers in runs
-        if b - a >= MIN_WORDS
-    ]
+    far = np.maximum.accumulate(last[at])
+    cut = np.flatnonzero(np.append(True, first[at][1:] > far[:-1]))
+    out = []
+    for i, j in zip(cut, np.append(cut[1:], len(at)), strict=True):
+        a, b = first[at[i]], far[j - 1]
+        if b - a >= MIN_WORDS:
+            out.append((int(starts[a]), int(ends[b - 1]), int(b - a), np.unique(keepers[to[at[i:j]]]).tolist()))
+    return out
 
 
 _SPAN = T.ArrayType(
@@ -263,10 +296,10 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     with start and stop in code points, words, the documents that keep it and its text."""
     kept = [c for c in docs.columns if c not in ("spans", "removed_words")]
     docs = docs.select(*kept)
-    drops = repeated_paragraphs(docs).groupBy(F.col("doc").alias("_doc")).agg(
-        F.collect_set(F.struct("paragraph", "keeper")).alias("_drops")
+    drops = repeated_pieces(docs).groupBy(F.col("owner").alias("_owner")).agg(
+        F.collect_list(F.struct("piece", "keeper")).alias("_drops")
     )
-    joined = docs.join(drops, F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("_doc"), "left")
+    joined = docs.join(drops, _owner() == F.col("_owner"), "left")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("removed_words", T.LongType()), T.StructField("spans", _SPAN)]
     )
@@ -277,7 +310,8 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
             for text, drops in zip(batch.column("text"), batch.column("_drops"), strict=True):
                 text, found = text.as_py(), []
                 if text and drops.is_valid:
-                    text, found = _cut(text, {d["paragraph"]: d["keeper"] for d in drops.as_py()})
+                    pairs = [drops.values.field(k).to_numpy() for k in ("piece", "keeper")]
+                    text, found = _cut(text, *pairs)
                 texts.append(text)
                 words.append(sum(s["words"] for s in found))
                 spans.append(found)
@@ -296,14 +330,14 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     return joined.select(*kept, "_drops").mapInArrow(run, schema)
 
 
-def _cut(text: str, drops: dict[int, int]) -> tuple[str, list[dict]]:
+def _cut(text: str, pieces: np.ndarray, keepers: np.ndarray) -> tuple[str, list[dict]]:
     data, parts, spans, at = text.encode("utf-8", "replace"), [], [], 0
-    for start, stop, words, keepers in passages(text, drops):
+    for start, stop, words, kept_in in passages(text, pieces, keepers):
         before = len(data[:start].decode())
         passage = data[start:stop].decode()
         spans.append(
             {"start": before, "stop": before + len(passage), "words": words,
-             "kept_in": keepers, "passage": passage}
+             "kept_in": [None if k == LAST_ID else k for k in kept_in], "passage": passage}
         )
         parts.append(data[at:start])
         at = stop

@@ -184,6 +184,41 @@ def test_odd_documents_keep_their_text(frame, odd_rows):
     assert substring_dedup.removed_passages(frame([(1, "a")]).limit(0)).count() == 0
 
 
+def test_passages_go_whole(frame):
+    """Pasted into running text, of any length from 16 words on, also where a third text has
+    parts of them."""
+    rows, planted = [], {}
+    for k in range(40):
+        passage = prose(3000 + k, 16 + 2 * k)
+        head = " ".join(passage.split()[: 8 + k])
+        rows.append((k, f"{prose(4000 + k, 30)} first{k} {head} cut{k} {prose(5000 + k, 30)}"))
+        rows.append((100 + k, f"{prose(6000 + k, 40)} second{k} {passage} to{k} {prose(7000 + k, 20)}"))
+        rows.append((200 + k, f"{prose(8000 + k, 25)} third{k} {passage} on{k} {prose(9000 + k, 45)}"))
+        planted[200 + k] = passage
+    cut = {r.doc_id: r for r in substring_dedup.cut_repeats(frame(rows)).collect()}
+    for doc, passage in planted.items():
+        assert [s.passage for s in cut[doc].spans] == [passage]
+    assert all(cut[k].removed_words == 0 for k in range(40))
+
+
+@pytest.mark.parametrize("hubs", [0, 2])
+def test_families_of_paragraphs_are_linked(frame, monkeypatch, hubs):
+    """Of many variants of a line only one stays whole for each component of all pairs."""
+    monkeypatch.setattr(ngram_join, "HUB_ROUNDS", hubs)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    rng, rows = random.Random(3), []
+    for family in range(5):
+        base = f"one and the same five words {prose(40 + family, 130)}"
+        rows += [edited(base, rng, 1 + (k % 3 == 0)) for k in range(36)]
+    rows = list(enumerate(rows))
+    least = {d: c for d, _, c in brute_components(rows)}
+    texts = [(d, f"{prose(20_000 + d, 12)}\n{t}\n{prose(30_000 + d, 12)}") for d, t in rows]
+    cut = {r.doc_id: r for r in substring_dedup.cut_repeats(frame(texts)).collect()}
+    whole = {d for d, t in rows if any(t in s.passage for s in cut[d].spans)}
+    want = {d for d in least if least[d] != d}
+    assert len(want) > 100 and whole <= want and len(want - whole) <= 0.05 * len(want)
+
+
 # -- lines ----------------------------------------------------------------------
 
 
