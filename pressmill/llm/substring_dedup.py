@@ -16,8 +16,8 @@ least id stay. Runs of removed words shorter than ``MIN_WORDS`` stay.
 
 Cases: a null text stays null and an empty one empty; a text of fewer than sixteen words
 stays as it is. What is repeated only inside one document stays.
-Documents with the same id count as one; a null id comes after all others and is never
-the one that keeps a passage while another could. Texts of any length are read whole. An
+Rows with the same id and text count as one document, others are documents of their own; a
+null id comes after all others and is never the one that keeps a passage while another could. Texts of any length are read whole. An
 empty table gives an empty result. Other columns are kept; ``spans`` and ``removed_words``
 replace columns of that name.
 """
@@ -126,8 +126,8 @@ def windows(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _owner() -> Column:
-    """What tells documents apart."""
-    return F.coalesce("doc_id", F.lit(LAST_ID))
+    """What tells documents apart: 64 bits for id and text, as an id may repeat or be null."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -201,6 +201,16 @@ def test_passages_go_whole(frame):
     assert all(cut[k].removed_words == 0 for k in range(40))
 
 
+def test_passages_under_one_id_and_without_ids_go(frame):
+    a, b = prose(71, 60), prose(72, 60)
+    rows = [(1, f"x1 {a} y1"), (1, f"x2 {b} {a} y2"), (None, f"x3 {b} y3"), (None, f"x4 {prose(73, 60)} y4"),
+            (None, f"x5 {prose(73, 60)} y5")]
+    cut = [(r.doc_id, r.text, [s.kept_in for s in r.spans]) for r in substring_dedup.cut_repeats(frame(rows)).collect()]
+    assert sum(a in t for _, t, _ in cut) == sum(b in t for _, t, _ in cut) == 1
+    assert sum(prose(73, 60) in t for _, t, _ in cut) == 1
+    assert sorted((k for _, _, k in cut if k), key=str) == [[[1]], [[1]], [[None]]]
+
+
 @pytest.mark.parametrize("hubs", [0, 2])
 def test_families_of_paragraphs_are_linked(frame, monkeypatch, hubs):
     """Of many variants of a line only one stays whole for each component of all pairs."""
