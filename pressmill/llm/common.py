@@ -54,6 +54,12 @@ def drop_stage(staged: DataFrame) -> None:
     files.delete(target, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that are done: it does so only once the
+    driver collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 class StagedBy:
     """What a step stages, until the next step begins and deletes it."""
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressmill.llm.common import drop_stage, shuffle_parts, stage
+from pressmill.llm.common import drop_stage, free_shuffles, shuffle_parts, stage
 from pressmill.llm.meeting import NAMES, SCHEMA, entries, members
 from pressmill.llm.ngram_join import distinct_tiles, settled, signature
 from pressmill.llm.shingles import WIDTH, hashes_of, mixed, shingles
@@ -231,9 +231,12 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
         .mapInArrow(_shared(bands, rows, parts), f"{_SHARED}, {SCHEMA}")
     )
     drop_stage(met)
+    free_shuffles(spark)
     pieces = members(shared.where("part IS NOT NULL"), ["piece", "owner", "doc"])
-    gone = _gone(stage(pieces.select("piece", "owner", "doc").distinct()), "piece")
-    lines = shared.where("cls IS NOT NULL")
+    gone = _gone(stage(pieces.select("piece", "owner", "doc")), "piece")
+    lines = stage(shared.where("cls IS NOT NULL").select(*_SHARED_NAMES))
+    drop_stage(shared)
+    free_shuffles(spark)
     tiles = distinct_tiles(stage(lines.select(F.explode("keys").alias("tile"), "cls").distinct()))
     classes = stage(
         lines.where("text IS NOT NULL").groupBy("cls").agg(
@@ -297,7 +300,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("spans", "removed_words")]
     docs = docs.select(*kept)
     drops = repeated_pieces(docs).groupBy(F.col("owner").alias("_owner")).agg(
-        F.collect_list(F.struct("piece", "keeper")).alias("_drops")
+        F.collect_set(F.struct("piece", "keeper")).alias("_drops")
     )
     joined = docs.join(drops, _owner() == F.col("_owner"), "left")
     schema = T.StructType(
