@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pressmill.llm.bpe import digests
+from pressmill.llm.collocations import mine_phrases
 from pressmill.llm.common import table
 from pressmill.llm.exact_dedup import exact_dedup
 from pressmill.llm.fingerprints import compare_edits
@@ -12,9 +13,11 @@ from pressmill.llm.language_id import predict
 from pressmill.llm.line_dedup import remove_wide_lines
 from pressmill.llm.ngram_join import ngram_components
 from pressmill.llm.packing import pack_documents
+from pressmill.llm.periodic_runs import run_digests
 from pressmill.llm.sharding import shard_documents
 from pressmill.llm.substring_dedup import removed_passages
 from pressmill.llm.token_counts import count_tokens
+from pressmill.llm.toxicity import predict as predict_toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +61,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,5 +86,8 @@ QUERIES = {
         op8_language_id,
         op9_packing,
         op10_bpe,
+        op11_periodic_runs,
+        op12_toxicity,
+        op13_phrases,
     )
 }

@@ -72,8 +72,58 @@ SELECT s.doc_id, len(s.s) AS n_shingles, min(r.c) AS component_id
 FROM sets s JOIN reach r ON r.d = s.doc_id GROUP BY s.doc_id, s.s
 """
 
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT doc_no, coalesce(lang, 'und') AS lang, unnest(split) AS piece, generate_subscripts(split, 1) AS piece_no FROM (
+    SELECT row_number() OVER () AS doc_no, lang, string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]') AS split
+    FROM documents)
+), words AS (
+  SELECT doc_no, piece_no, lang, unnest(found) AS w1, generate_subscripts(found, 1) AS place
+  FROM (SELECT *, regexp_extract_all(piece, '[^\x20\x09]+') AS found FROM pieces)
+), grown AS (
+  SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4
+  FROM words WINDOW p AS (PARTITION BY doc_no, piece_no ORDER BY place)
+), spoken AS (
+  SELECT lang, w1 AS phrase, 1 AS size FROM grown
+  UNION ALL SELECT lang, w1 || ' ' || w2, 2 FROM grown WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3 FROM grown WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, 4 FROM grown WHERE w4 IS NOT NULL
+), counts AS (
+  SELECT lang, phrase, size, count(*) AS f FROM spoken GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, count(*) AS n FROM words GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1
+), cuts AS (
+  SELECT lang, phrase, size, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM candidates)
+), weighed AS (
+  SELECT c.lang, c.phrase, c.size, c.a, c.k, x.f AS l, y.f AS r,
+         CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head
+       JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+), scored AS (
+  SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+  SELECT lang, a AS outer_a, size, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(generate_series(1, size - m + 1)) AS i
+        FROM (SELECT *, unnest(generate_series(2, size - 1)) AS m FROM candidates WHERE size > 2))
+), outer_counts AS (
+  SELECT lang, phrase, max(outer_a) AS outer_a FROM inner_phrases GROUP BY ALL
+), survivors AS (
+  SELECT s.* FROM scored s LEFT JOIN outer_counts o USING (lang, phrase)
+  WHERE o.outer_a IS NULL OR CAST(100 AS HUGEINT) * o.outer_a < CAST(80 AS HUGEINT) * s.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM survivors
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op1_exact_dedup": _EXACT,
     "op4_ngram_join": _NGRAM,
     "op5_line_dedup": _LINES,
+    "op13_phrases": _PHRASES,
 }
