@@ -5,10 +5,11 @@ between them. Every bucket has its own learning rate, which falls with the gradi
 seen, and L1 keeps buckets of little use at exactly zero, so the weights are small and can
 be sent to every task.
 
-Training takes a bounded sample of labelled rows, dealt out to shards. In a round every
-shard starts from the common state, learns from its rows and tells how the state of the
-buckets it touched has moved; a bucket's moves are averaged over the shards that have it.
-State and weights have ``BUCKETS`` places, whatever the corpus.
+Training takes a bounded sample of labelled rows, dealt out to shards, each of which is packed
+into one row of a staged table. In a round every shard starts from the common state, learns
+from its rows and tells how the state of the buckets it touched has moved; a bucket's moves are
+averaged over the shards that have it. State and weights have ``BUCKETS`` places and there are
+four shards at most, whatever the corpus, so the driver gets at most 12 bytes for each of both.
 """
 
 from __future__ import annotations
@@ -29,10 +30,11 @@ from pressmill.session import prepare_workers
 
 BITS = 20
 BUCKETS = 1 << BITS
-#: Labelled documents that a model is fitted on at most, by a hash of their ids.
-TRAIN_ROWS = 40_000
+#: The sample a model is fitted on: at most so many labelled documents, by a hash of their ids,
+#: of which those with longer texts than TRAIN_CHARS are left out.
+TRAIN_ROWS, TRAIN_CHARS = 32_000, 50_000
 #: Rows that a shard should have; there are no more than TRAIN_ROWS / SHARD_ROWS shards.
-SHARD_ROWS, ROUNDS = 5_000, 4
+SHARD_ROWS, ROUNDS = 8_000, 4
 #: Bytes of the texts that are scored together; a longer text is scored by itself.
 BLOCK = 2_000_000
 
@@ -98,8 +100,8 @@ def held_out(column: str = "doc_id") -> Column:
 
 
 def _samples(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Distinct buckets and label of at most ``rows`` documents, one text for each id. A
-    document with several labels is toxic if one of them says so."""
+    """``place, label, buckets`` of at most ``rows`` documents, one text for each id. A document
+    with several labels is toxic if one of them says so."""
     marks = (
         labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .groupBy("doc_id")
@@ -108,10 +110,9 @@ def _samples(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     )
     bounded = marks.orderBy("place", "doc_id").limit(rows)
     # Of several texts under one id the one with the least hash is taken, before any shuffle.
-    text = F.col("text").cast("binary")
     found = (
-        docs.where(F.col("text").isNotNull())
-        .select("doc_id", text.alias("text"))
+        docs.where(F.length("text") <= TRAIN_CHARS)
+        .select("doc_id", F.encode("text", "UTF-8").alias("text"))
         .join(F.broadcast(bounded), "doc_id")
         .groupBy("doc_id", "label", "place")
         .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
@@ -129,32 +130,45 @@ def _samples(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return found.mapInArrow(cut, "place long, label int, buckets binary")
 
 
-def _moves(samples: DataFrame, z: np.ndarray, n: np.ndarray, rates: Rates) -> tuple[np.ndarray, ...]:
-    """Buckets and how their state moves in one round: the mean over the shards that touched
-    them, so at most one row a place of the state."""
-    state = samples.sparkSession.sparkContext.broadcast((z, n))
+def _packed(samples: DataFrame, shards: int) -> DataFrame:
+    """One row a shard: labels, sizes and buckets of its samples, by place."""
 
-    def moved(mine: pd.DataFrame) -> pd.DataFrame:
-        (z, n), (old_z, old_n) = (tuple(x.copy() for x in state.value) for _ in range(2))
+    def pack(mine: pd.DataFrame) -> pd.DataFrame:
         mine = mine.sort_values(["place", "buckets"])
-        rows = [(np.frombuffer(b, np.int32), y) for b, y in zip(mine["buckets"], mine["label"], strict=True)]
-        learn(rows, z, n, rates)
-        at = np.flatnonzero(n != old_n)
-        return pd.DataFrame({"at": at, "dz": (z - old_z)[at], "dn": (n - old_n)[at]})
-
-    def mean(name: str) -> Column:  # in the order of the values, so that it has one result
-        return F.aggregate(f"moves.{name}", F.lit(0.0), lambda a, x: a + x) / F.size("moves")
-
-    moves = (
-        samples.groupBy("shard")
-        .applyInPandas(moved, "at long, dz double, dn double")
-        .groupBy("at")
-        .agg(F.sort_array(F.collect_list(F.struct("dz", "dn"))).alias("moves"))
-        .select("at", mean("dz").alias("dz"), mean("dn").alias("dn"))
-        .toArrow()
-    )
+        labels, sizes = mine["label"].to_numpy(np.int32), mine["buckets"].map(len).to_numpy(np.int32)
+        one = {"labels": labels.tobytes(), "sizes": sizes.tobytes(), "buckets": b"".join(mine["buckets"])}
+        return pd.DataFrame([one])
+
+    shard = F.pmod("place", F.lit(shards)).alias("shard")
+    return samples.groupBy(shard).applyInPandas(pack, "labels binary, sizes binary, buckets binary")
+
+
+def _moves(packed: DataFrame, z: np.ndarray, n: np.ndarray, rates: Rates) -> tuple[np.ndarray, np.ndarray]:
+    """How the state moves in one round: the mean over the shards that touched a place."""
+    state = packed.sparkSession.sparkContext.broadcast((z, n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                labels, sizes, buckets = (np.frombuffer(row[c], np.int32) for c in ("labels", "sizes", "buckets"))
+                sets = np.split(buckets, np.cumsum(sizes // 4)[:-1])
+                z, n = (x.copy() for x in state.value)
+                learn(list(zip(sets, labels.tolist(), strict=True)), z, n, rates)
+                at = np.flatnonzero(n != state.value[1])
+                found = at.astype(np.int32), *((x - old)[at].astype(np.float32) for x, old in zip((z, n), state.value))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x.tobytes()], pa.binary()) for x in found], ["at", "dz", "dn"]
+                )
+
+    told = packed.mapInArrow(run, "at binary, dz binary, dn binary").collect()
     state.unpersist()
-    return tuple(moves[c].to_numpy() for c in ("at", "dz", "dn"))
+    dz, dn, touched = np.zeros(len(z)), np.zeros(len(n)), np.zeros(len(z), dtype=np.int64)
+    for row in sorted(told, key=lambda r: bytes(r["dz"])):  # in an order that is always the same
+        at = np.frombuffer(row["at"], np.int32)
+        dz[at] += np.frombuffer(row["dz"], np.float32)
+        dn[at] += np.frombuffer(row["dn"], np.float32)
+        touched[at] += 1
+    return dz / np.maximum(1, touched), dn / np.maximum(1, touched)
 
 
 def train(
@@ -167,16 +181,15 @@ def train(
 ) -> Model:
     """A model of ``labels.toxic``, from documents that are not :func:`held_out`. Without
     labels it says 0.5 to everything."""
-    spark = docs.sparkSession
-    prepare_workers(spark)
-    samples = stage(_samples(docs, labels, rows))
-    shards = max(1, samples.count() // shard_rows)
-    samples = samples.withColumn("shard", F.pmod("place", F.lit(shards)))
+    prepare_workers(docs.sparkSession)
+    samples = _samples(docs, labels, rows)
+    known = labels.where(F.col("toxic").isNotNull()).select("doc_id").distinct().limit(rows).count()
+    packed = stage(_packed(samples, max(1, known // shard_rows)))
     z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     for _ in range(rounds):
-        at, dz, dn = _moves(samples, z, n, rates)
-        z[at] += dz
-        n[at] += dn
+        dz, dn = _moves(packed, z, n, rates)
+        z += dz
+        n += dn
     w = weights_of(z[:-1], n[:-1], rates)
     bias = -z[-1] / ((rates.beta + np.sqrt(n[-1])) / rates.alpha + rates.l2)
     at = np.flatnonzero(w)
