@@ -32,11 +32,13 @@ BITS = 20
 BUCKETS = 1 << BITS
 #: The sample a model is fitted on: at most so many labelled documents, by a hash of their ids,
 #: of which those with longer texts than TRAIN_CHARS are left out.
-TRAIN_ROWS, TRAIN_CHARS = 32_000, 50_000
+TRAIN_ROWS, TRAIN_CHARS = 16_000, 50_000
 #: Rows that a shard should have; there are no more than TRAIN_ROWS / SHARD_ROWS shards.
-SHARD_ROWS, ROUNDS = 8_000, 4
+SHARD_ROWS, ROUNDS = 4_000, 4
 #: Bytes of the texts that are scored together; a longer text is scored by itself.
 BLOCK = 2_000_000
+#: Samples that a task hands on together.
+_ROWS = 500
 
 _PAIR = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 #: A-Z to a-z; punctuation to blanks, so that a word counts as the same before a comma.
@@ -119,7 +121,7 @@ def _samples(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, _ROWS) for b in batches for k in range(0, b.num_rows, _ROWS)):
             sets = []
             for text in batch.column("text"):
                 _, bucket = features([text.as_py()])
