@@ -40,7 +40,7 @@ LONGEST, LEAST, TOP = 4, 30, 2000
 #: every further round.
 AHEAD, STEP = 4, 8
 #: Bytes of one language's texts counted together; a longer text is counted by itself.
-BLOCK = 8_000_000
+BLOCK = 2_000_000
 MAX_BITS = 1 << 29
 UNKNOWN = "und"
 
