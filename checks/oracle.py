@@ -223,6 +223,23 @@ result_links AS (
   FROM pages WHERE page_id % 6 = 2
 )"""
 
+_REACHABLE = f"""
+WITH RECURSIVE stored AS (
+  SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http://www.bbc.co.uk/search?list=' || page_id
+    ELSE 'http://www.reuters.com/us/' || page_id || '.html' END AS url FROM pages
+), leads AS (
+  SELECT page_id, CASE WHEN page_id % {2 * V.LIST_LENGTH} = {2 * V.LIST_LENGTH - 2}
+    THEN page_id - {2 * V.LIST_LENGTH - 2} ELSE page_id + 2 END AS target FROM pages WHERE page_id % 2 = 0
+  UNION ALL SELECT page_id, 2 * page_id + 3 FROM pages WHERE page_id % 2 = 1
+  UNION ALL SELECT page_id, 3 * page_id FROM pages WHERE page_id % 2 = 1
+  UNION ALL SELECT page_id, 1 FROM pages WHERE page_id % 2 = 1
+), reached AS (
+  SELECT page_id FROM pages WHERE page_id % {2 * V.LIST_LENGTH * V.LIST_STARTS} = 0 OR page_id = 5
+  UNION
+  SELECT target FROM reached JOIN leads USING (page_id) WHERE target IN (SELECT page_id FROM pages)
+)
+SELECT url FROM stored JOIN reached USING (page_id)"""
+
 # -- E -------------------------------------------------------------------------
 
 _MOMENT = V.MOMENT_SQL
@@ -465,6 +482,7 @@ ORACLE = {
         "AND NOT (source = 'XNA' AND contains(url, '/video/')) "
         "AND (source NOT IN ('Reuters', 'UPI') OR day BETWEEN '2014-05-05' AND '2014-05-20'))"
     ),
+    "reachable_pages": _REACHABLE,
     "simple_pages": f"WITH {_SIMPLE} SELECT url, title, content FROM simple",
     "page_articles": (
         f"WITH {_PAGES} SELECT url, source, title, date, content FROM judged WHERE reason IS NULL"

@@ -13,7 +13,7 @@ from pressmill.functions import datelines, dates, text
 from pressmill.functions.sentences import lead_sentence, split_sentences
 from pressmill.functions.text import to_ascii
 from pressmill.functions.urls import host_in, host_of, url_date
-from pressmill.operators import extraction, filters, links, numbering
+from pressmill.operators import extraction, filters, following, links, numbering
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
 from pressmill.plans.formatting import numbered_articles
 from pressmill.session import computed_once, ensure_checkpoint_dir, prepare_workers
@@ -206,6 +206,14 @@ def links_to_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_to_links(V.pages_as_results(spark, sf_dir), WINDOW)
 
 
+def reachable_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 to the end: stored pages that some start pages lead to by follow-up links."""
+    prepare_workers(spark)
+    pages = V.pages_as_archive(spark, sf_dir)
+    found = links.extract_links(pages).where(F.col("link_kind") == "follow")
+    return following.reachable_pages(pages, found, V.archive_starts(pages))
+
+
 def simple_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.simple_articles(V.table(spark, sf_dir, "pages"))
 
@@ -346,6 +354,7 @@ ALL = (
     url_date_window,
     result_links,
     links_to_fetch,
+    reachable_pages,
     simple_pages,
     page_articles,
     page_rejects,

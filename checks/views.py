@@ -345,3 +345,46 @@ def pages_as_results(spark: SparkSession, sf_dir: str) -> DataFrame:
             html.alias("html"),
         )
     )
+
+
+# -- stored archives -----------------------------------------------------------
+
+#: Pages of a result list before it leads back to its first, and how far apart lists start.
+LIST_LENGTH, LIST_STARTS = 40, 3
+
+
+def pages_as_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a stored result page, its own markup included. Pages with even ids are BBC
+    lists: each leads to the next, the last of a list back to its first. Those with odd ids are
+    Reuters archives: each leads to two others, all of them to the first, and some to pages that
+    are not stored."""
+    page_id = F.col("page_id")
+    step = 2 * LIST_LENGTH
+    after = F.when(page_id % step == step - 2, page_id - (step - 2)).otherwise(page_id + 2)
+    listed = F.concat(F.lit('<a id="next" href="?list='), after, F.lit('#top">next</a>'), "html")
+
+    def day(target: Column) -> Column:
+        return F.concat(F.lit('<a href="../us/'), target, F.lit('.html">day</a>'))
+
+    archive = F.concat(
+        F.lit('<div class="moduleBody"><p>'),
+        day(2 * page_id + 3), day(3 * page_id), day(F.lit(1)),
+        F.lit('<a href="/about.htm">about</a></p></div>'), "html",
+    )
+    even = page_id % 2 == 0
+    return computed_once(
+        table(spark, sf_dir, "pages").select(
+            "page_id",
+            F.when(even, F.concat(F.lit("http://www.bbc.co.uk/search?list="), page_id))
+            .otherwise(F.concat(F.lit("http://www.reuters.com/us/"), page_id, F.lit(".html")))
+            .alias("url"),
+            F.when(even, listed).otherwise(archive).alias("html"),
+        )
+    )
+
+
+def archive_starts(pages: DataFrame) -> DataFrame:
+    """The first page of every third list, and one archive."""
+    page_id = F.col("page_id")
+    lists = page_id % (2 * LIST_LENGTH * LIST_STARTS) == 0
+    return pages.where(lists | (page_id == 5)).select("url")
