@@ -463,6 +463,11 @@ ORACLE = {
         f"WITH {_ALL_LINKS} SELECT DISTINCT url FROM resolved WHERE url NOT IN "
         "(SELECT regexp_extract(url, '^https?://[^/]*') || '/the' FROM pages)"
     ),
+    "remembered_links": (
+        f"WITH {_ALL_LINKS}, first_run AS (SELECT DISTINCT url FROM resolved WHERE md5(page_url) < '8') "
+        "SELECT 'first' AS run, url FROM first_run UNION ALL "
+        "SELECT DISTINCT 'second', url FROM resolved WHERE url NOT IN (SELECT url FROM first_run)"
+    ),
     "url_date_window": (
         "WITH found AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, "
         f"{V.pick_sql(V.LIST_SOURCES, 'o_orderkey')} AS source, "

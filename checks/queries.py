@@ -14,6 +14,7 @@ from pressmill.functions.sentences import lead_sentence, split_sentences
 from pressmill.functions.text import to_ascii
 from pressmill.functions.urls import host_in, host_of, url_date
 from pressmill.operators import extraction, filters, following, links, numbering
+from pressmill.operators.history import HistoryShape, LinkHistory
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
 from pressmill.plans.formatting import numbered_articles
 from pressmill.session import computed_once, ensure_checkpoint_dir, prepare_workers
@@ -175,6 +176,19 @@ def fresh_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.new_links(found, seen).select("url")
 
 
+def remembered_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L10 over two runs that share a history: an earlier crawl of about half of the pages, by
+    a hash of their URLs, then a crawl of all of them."""
+    history = LinkHistory(spark, _shared_folder(spark), HistoryShape(buckets=64, bits=1 << 24))
+    pages = V.table(spark, sf_dir, "pages")
+    earlier = F.md5("url") < "8"
+    found = []
+    for run, some in (("first", pages.where(earlier)), ("second", pages)):
+        fresh = history.admit(links.all_links(some).withColumn("source", F.lit("web")), run)
+        found.append(fresh.select(F.lit(run).alias("run"), "url"))
+    return found[0].unionByName(found[1])
+
+
 def url_date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     found = V.table(spark, sf_dir, "orders").select(
@@ -351,6 +365,7 @@ ALL = (
     page_links,
     link_domains,
     fresh_links,
+    remembered_links,
     url_date_window,
     result_links,
     links_to_fetch,

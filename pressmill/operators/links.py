@@ -41,8 +41,11 @@ def _page_links(rule: LinkRule, html: str) -> dict:
     }
 
 
-def extract_links(pages: DataFrame, rules: dict[str, LinkRule] = LINK_RULES) -> DataFrame:
-    """Article and follow-up links by each source's selectors.
+def extract_links(
+    pages: DataFrame, rules: dict[str, LinkRule] = LINK_RULES, kept: tuple[str, ...] = ()
+) -> DataFrame:
+    """Article and follow-up links by each source's selectors, with the ``kept``
+    columns of their pages.
 
     Pages that must show a pager are checked before they are parsed.
     """
@@ -57,6 +60,7 @@ def extract_links(pages: DataFrame, rules: dict[str, LinkRule] = LINK_RULES) ->
             T.StructField("page_url", T.StringType()),
             T.StructField("article", T.ArrayType(T.StringType())),
             T.StructField("follow", T.ArrayType(T.StringType())),
+            *(pages.schema[c] for c in kept),
         ]
     )
     arrow = to_arrow_schema(schema)
@@ -68,6 +72,7 @@ def extract_links(pages: DataFrame, rules: dict[str, LinkRule] = LINK_RULES) ->
                     "origin": row["origin"],
                     "page_url": row["url"],
                     **_page_links(rules[row["origin"]], row["html"] or ""),
+                    **{c: row[c] for c in kept},
                 }
                 for row in batch.to_pylist()
             ]
@@ -76,7 +81,7 @@ def extract_links(pages: DataFrame, rules: dict[str, LinkRule] = LINK_RULES) ->
     read_pages = (
         with_origin(pages)
         .where(reduce(lambda a, b: a | b, tests))
-        .select("origin", "url", "html")
+        .select("origin", "url", "html", *kept)
         .mapInArrow(read, schema)
     )
     both = F.array(
@@ -84,14 +89,15 @@ def extract_links(pages: DataFrame, rules: dict[str, LinkRule] = LINK_RULES) ->
         F.struct(F.lit("follow").alias("link_kind"), F.col("follow").alias("hrefs")),
     )
     links = computed_once(
-        read_pages.select("origin", "page_url", F.inline(both))
-        .select("origin", "page_url", "link_kind", F.posexplode("hrefs").alias("pos", "href"))
+        read_pages.select("origin", "page_url", *kept, F.inline(both))
+        .select("origin", "page_url", *kept, "link_kind", F.posexplode("hrefs").alias("pos", "href"))
         .select(
             F.col("origin").alias("source"),
             "page_url",
             "pos",
             "link_kind",
             resolve_url(F.trim("href"), F.col("page_url")).alias("url"),
+            *kept,
         )
     )
     patterns = {n: r.follow_pattern for n, r in rules.items() if r.follow_pattern}

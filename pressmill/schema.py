@@ -18,6 +18,9 @@ REQUIRED = ("url", "source", "title", "date", "content")
 #: A fetched page.
 PAGE = T.StructType(_strings("url", "html"))
 
+#: A fetched page with the time it was fetched.
+FETCHED_PAGE = T.StructType([*PAGE.fields, T.StructField("fetched", T.TimestampType())])
+
 #: A link found on a result page.
 LINK = T.StructType(
     _strings("source", "page_url")
