@@ -505,6 +505,10 @@ ORACLE = {
         "SELECT doc_id FROM documents WHERE "
         + " OR ".join(f"contains(text, {V.quoted(k)})" for k in V.KEYWORDS)
     ),
+    "keyword_index": (
+        f"WITH {V.KEYWORDS_SQL} SELECT doc_id, keyword FROM documents, listed "
+        "WHERE keyword <> '' AND contains(text, keyword)"
+    ),
     "whitespace_rules": (
         f"WITH {V.ARTICLES_SQL} SELECT doc_id, {_squeeze('content')} AS squeezed, "
         f"{_space_out('content')} AS spaced, "

@@ -13,7 +13,7 @@ from pressmill.functions import datelines, dates, text
 from pressmill.functions.sentences import lead_sentence, split_sentences
 from pressmill.functions.text import to_ascii
 from pressmill.functions.urls import host_in, host_of, url_date
-from pressmill.operators import extraction, filters, following, links, numbering
+from pressmill.operators import extraction, filters, following, keywords, links, numbering
 from pressmill.operators.history import HistoryShape, LinkHistory
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
 from pressmill.plans.formatting import numbered_articles
@@ -297,6 +297,12 @@ def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyword_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E19 for a list of some ten thousand keywords in a table."""
+    docs = V.table(spark, sf_dir, "documents")
+    return keywords.keyword_hits(docs, V.keyword_table(spark, sf_dir), "doc_id")
+
+
 def whitespace_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.col("content")
     return V.documents_as_articles(spark, sf_dir).select(
@@ -377,6 +383,7 @@ ALL = (
     scrape_times,
     dateline_cut,
     keyword_match,
+    keyword_index,
     whitespace_rules,
     complete_articles,
     missing_fields,

@@ -140,6 +140,25 @@ PAGE_HOSTS = (
 )
 KEYWORDS = ("tion ", "que l")
 
+#: Pieces that are cut from each benchmark text as keywords, and how far apart.
+KEYWORD_PIECES, KEYWORD_STEP = 240, 1
+
+
+def keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of 9 to 11 characters of all benchmark texts, and the names of all parts."""
+    last = (KEYWORD_PIECES - 1) * KEYWORD_STEP + 1
+    start = F.explode(F.sequence(F.lit(1), F.lit(last), F.lit(KEYWORD_STEP)))
+    items = read_table(spark, f"{sf_dir}/benchmark.parquet").select("text", "item_id", start.alias("start"))
+    piece = F.substring("text", F.col("start"), (9 + F.col("item_id") % 3).cast("int"))
+    parts = read_table(spark, f"{sf_dir}/part.parquet").select(F.col("p_name").alias("keyword"))
+    return items.select(piece.alias("keyword")).where("keyword <> ''").unionByName(parts)
+
+
+KEYWORDS_SQL = (
+    f"listed AS (SELECT DISTINCT substr(text, CAST(i * {KEYWORD_STEP} + 1 AS BIGINT), 9 + item_id % 3) AS keyword "
+    f"FROM benchmark, range(0, {KEYWORD_PIECES}) r(i) UNION SELECT p_name FROM part)"
+)
+
 _NAV = (
     '<html><head><script>var t="</p>";track("2014-01-01 00:00:00 is a stamp");</script></head>'
     '<body><div class="nav"><ul><li><a href="/a">One<li><a href="/b">Two</ul></div>'
