@@ -26,6 +26,7 @@ from pressmill.sources.records import (
     write_rejects,
     write_text,
 )
+from pressmill.sources.tables import read_table
 
 DOMAINS = ("example.com", "blog.ththan.example.net")
 WINDOW = JobConfig(start="2014-05-05", end="2014-05-20")
@@ -299,7 +300,7 @@ def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyword_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E19 for a list of some ten thousand keywords in a table."""
-    docs = V.table(spark, sf_dir, "documents")
+    docs = read_table(spark, f"{sf_dir}/documents.parquet")
     return keywords.keyword_hits(docs, V.keyword_table(spark, sf_dir), "doc_id")
 
 

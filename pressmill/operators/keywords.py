@@ -5,15 +5,22 @@ them, its anchor: the one that is rarest. Texts say which trigrams they have, ea
 an anchor is among them, the keyword is looked for itself. A text is read once however long the
 list is, and what is looked for in it is what shares its rarest trigram with it.
 
-* The index travels to the texts if its size, which is counted, allows it: texts don't move.
+* The index travels to the texts if its size, which is counted, allows it. Texts don't move: an
+  Arrow task looks up a text's trigrams and tries the keywords they lead to.
 * A longer list is joined by shuffle: only numbers and trigrams that are anchors travel, then
   pairs of text and keyword, and the texts are read once more for the proof.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pressmill.session import prepare_workers, stored
 
 #: Keywords that are sent to every task at most.
 MOST_SENT = 200_000
@@ -49,6 +56,8 @@ def anchors(keywords: DataFrame, texts: DataFrame) -> DataFrame:
     short = F.char_length("keyword") < 3
     grams = F.when(short, F.array("keyword")).otherwise(_grams(F.col("keyword"), 3))
     told = known.select("keyword", F.explode(grams).alias("gram"))
+    # The search by places can begin inside a character of two units; such are no anchors.
+    told = told.where(F.contains(F.col("keyword"), F.col("gram")))
     shared = told.groupBy("gram").agg(F.count("*").alias("shared"))
     common = _text_grams(texts.select("text").limit(SAMPLE), [3]).groupBy("gram").agg(F.count("*").alias("common"))
     weighed = told.join(shared, "gram").join(common, "gram", "left")
@@ -56,6 +65,54 @@ def anchors(keywords: DataFrame, texts: DataFrame) -> DataFrame:
     return weighed.groupBy("keyword").agg(F.min(cost)["gram"].alias("gram"))
 
 
+def _here(text: str, size: int) -> Iterator[set[str]]:
+    """The substrings of ``size`` characters, piece by piece."""
+    for start in range(0, len(text), PIECE):
+        end = min(start + PIECE, len(text) - size + 1)
+        yield {text[i : i + size] for i in range(start, end)}
+
+
+def _sent(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Hits by an index that every task has."""
+    spark = rows.sparkSession
+    prepare_workers(spark)
+    listed: dict[str, list[str]] = {}
+    for row in index.toLocalIterator():
+        listed.setdefault(row.gram, []).append(row.keyword)
+    shared = spark.sparkContext.broadcast(listed)
+    schema = T.StructType([rows.schema["key"], T.StructField("keyword", T.StringType())])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        sizes = sorted({len(g) for g in index})
+        for batch in batches:
+            at, found = [], []
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                grams: set[str] = set()
+                for size in sizes:
+                    for here in _here(text, size):
+                        grams |= index.keys() & here
+                hits = [w for g in grams for w in index[g] if w in text]
+                at += [k] * len(hits)
+                found += hits
+            keys = batch.column("key").take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(found, pa.string())], ["key", "keyword"])
+
+    return rows.mapInArrow(look, schema)
+
+
+def _met(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Hits by an index that is joined by shuffle."""
+    sizes = [r.size for r in index.select(F.char_length("gram").alias("size")).distinct().collect()]
+    by_gram = index.groupBy("gram").agg(F.collect_list("keyword").alias("keywords"))
+    # Rows are told apart by key and text, which is all that the proof depends on.
+    named = rows.withColumn("row", F.xxhash64("key", "text"))
+    grams = _text_grams(named.select("row", "text"), sizes).select("row", "gram")
+    pairs = grams.join(by_gram, "gram").select("row", F.explode("keywords").alias("keyword")).distinct()
+    found = named.join(pairs, "row").where(F.contains(F.col("text"), F.col("keyword")))
+    return found.select("key", "keyword")
+
+
 def keyword_hits(texts: DataFrame, keywords: DataFrame, key: str, most_sent: int = MOST_SENT) -> DataFrame:
     """``key, keyword`` of all keywords that stand in a row's ``text``, case-sensitive, each pair
     once.
@@ -64,23 +121,10 @@ def keyword_hits(texts: DataFrame, keywords: DataFrame, key: str, most_sent: int
     every other text; a null keyword nowhere. Rows with the same key count as one text each.
     """
     rows = texts.select(F.col(key).alias("key"), "text").where(F.col("text").isNotNull())
-    index = anchors(keywords, rows)
-    sizes = [r.size for r in index.select(F.char_length("gram").alias("size")).distinct().collect()]
-    empty = rows.join(F.broadcast(keywords.where(F.col("keyword") == "").select("keyword").limit(1)))
-    hits = empty.select("key", "keyword")
-    if sizes:
-        proof = F.contains(F.col("text"), F.col("keyword"))
-        by_gram = index.groupBy("gram").agg(F.collect_list("keyword").alias("keywords"))
-        if index.count() <= most_sent:
-            met = _text_grams(rows, sizes).join(F.broadcast(by_gram), "gram")
-            found = met.select("key", "text", F.explode("keywords").alias("keyword")).where(proof)
-        else:
-            # Rows are told apart by key and text, which is all that the proof depends on.
-            named = rows.withColumn("row", F.xxhash64("key", "text"))
-            met = _text_grams(named.select("row", "text"), sizes).select("row", "gram").join(by_gram, "gram")
-            pairs = met.select("row", F.explode("keywords").alias("keyword")).distinct()
-            found = named.join(pairs, "row").where(proof)
-        hits = hits.unionByName(found.select("key", "keyword"))
+    index = stored(anchors(keywords, rows))
+    hits = _sent(rows, index) if index.count() <= most_sent else _met(rows, index)
+    if not keywords.where(F.col("keyword") == "").isEmpty():
+        hits = hits.unionByName(rows.select("key", F.lit("").alias("keyword")))
     return hits.distinct().withColumnRenamed("key", key)
 
 
