@@ -240,6 +240,28 @@ WITH RECURSIVE stored AS (
 )
 SELECT url FROM stored JOIN reached USING (page_id)"""
 
+_SITES = f"""
+WITH paged AS (
+  SELECT doc_id, CASE WHEN doc_id < 2 THEN 'alone' || doc_id ELSE 'site' || doc_id % {V.SITES} END AS site,
+         string_split(text, chr(10)) AS lines FROM documents
+), blocks AS (
+  SELECT doc_id, site, place, trim(regexp_replace(line, '[ \\t\\r\\f\\v]+', ' ', 'g')) AS block
+  FROM (SELECT doc_id, site, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM paged)
+  UNION ALL SELECT doc_id, site, 0, {V.quoted(V.SITE_SPECIAL)} FROM paged WHERE (doc_id // {V.SITES}) % 10 = 0
+), sized AS (
+  SELECT site, count(*) AS pages FROM paged GROUP BY site
+), template AS (
+  SELECT site, block FROM blocks JOIN sized USING (site) GROUP BY site, block, pages
+  HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT doc_id) >= pages * 0.3
+), stories AS (
+  SELECT b.doc_id, string_agg(b.block, chr(10) ORDER BY b.place) AS story
+  FROM blocks b LEFT JOIN template t ON t.site = b.site AND t.block = b.block
+  WHERE t.block IS NULL AND length(b.block) >= 25 GROUP BY b.doc_id
+)
+SELECT 'http://' || site || '.example.com/' || doc_id AS url, pages >= 3 AS by_site,
+       CASE WHEN pages >= 3 THEN coalesce(story, '') END AS story
+FROM paged JOIN sized USING (site) LEFT JOIN stories USING (doc_id)"""
+
 # -- E -------------------------------------------------------------------------
 
 _MOMENT = V.MOMENT_SQL
@@ -496,6 +518,7 @@ ORACLE = {
         f"WITH {_PAGES} SELECT 'extract' AS stage, reason, source, url FROM judged "
         "WHERE reason IS NOT NULL"
     ),
+    "site_stories": _SITES,
     "raw_dates": _raw_dates(),
     "dateline_cut": (
         f"WITH {V.ARTICLES_SQL} SELECT doc_id, {_cut_upi('content')} AS upi, "

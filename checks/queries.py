@@ -13,7 +13,7 @@ from pressmill.functions import datelines, dates, text
 from pressmill.functions.sentences import lead_sentence, split_sentences
 from pressmill.functions.text import to_ascii
 from pressmill.functions.urls import host_in, host_of, url_date
-from pressmill.operators import extraction, filters, following, keywords, links, numbering
+from pressmill.operators import extraction, filters, following, keywords, links, numbering, sites
 from pressmill.operators.history import HistoryShape, LinkHistory
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
 from pressmill.plans.formatting import numbered_articles
@@ -245,6 +245,13 @@ def page_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.rejects.select("stage", "reason", "source", "url")
 
 
+def site_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E12 from whole sites: what is left of every page without its site's template. Pages of sites
+    with too few pages say so."""
+    found = sites.site_articles(V.documents_as_site(spark, sf_dir))
+    return found.select("url", "by_site", F.when(F.col("by_site"), F.col("story")).alias("story"))
+
+
 def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     moment = F.col("o_orderdate") + F.make_dt_interval(
@@ -380,6 +387,7 @@ ALL = (
     simple_pages,
     page_articles,
     page_rejects,
+    site_stories,
     raw_dates,
     scrape_times,
     dateline_cut,

@@ -407,3 +407,37 @@ def archive_starts(pages: DataFrame) -> DataFrame:
     page_id = F.col("page_id")
     lists = page_id % (2 * LIST_LENGTH * LIST_STARTS) == 0
     return pages.where(lists | (page_id == 5)).select("url")
+
+
+# -- whole sites ---------------------------------------------------------------
+
+#: Blocks that every page of a site has, some of them longer than many stories.
+SITE_MENU = (
+    "Home and world and all the other sections of this site in one long line",
+    "Sign in, subscribe, read the terms of use and the notes on privacy",
+)
+SITE_NOTE = "All rights reserved, and nothing of this may be published, broadcast or rewritten"
+#: Share of its pages, in tenths, that carries the site's special notice.
+SITE_SPECIAL = "A special notice that stands on some of the pages of this site only, for a while"
+SITES = 20
+
+
+def documents_as_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a page of one of a few sites, each line a paragraph, between blocks that
+    all pages of the site share. A notice stands on a tenth of them. Two documents have a site
+    each of their own."""
+    doc_id = F.col("doc_id")
+    alone = doc_id < 2
+    host = F.when(alone, F.concat(F.lit("alone"), doc_id)).otherwise(F.concat(F.lit("site"), doc_id % SITES))
+    menu = "".join(f"<div><p>{m} " for m in SITE_MENU)
+    special = F.when(F.floor(doc_id / SITES) % 10 == 0, F.lit(f"<p>{SITE_SPECIAL}</p>")).otherwise("")
+    paragraphs = F.replace(_escaped(F.col("text")), F.lit("\n"), F.lit("</p><p>"))
+    html = F.concat(
+        F.lit("<html><body>"), F.lit(menu), F.lit("</div></div>"), special, F.lit('<div id="story"><p>'), paragraphs,
+        F.lit(f"</p></div><p>{SITE_NOTE}</p></body></html>"),
+    )
+    return computed_once(
+        table(spark, sf_dir, "documents").select(
+            "doc_id", F.concat(F.lit("http://"), host, F.lit(".example.com/"), doc_id).alias("url"), html.alias("html")
+        )
+    )

@@ -195,6 +195,38 @@ class Page(HTMLParser):
         text = re.sub(r" *\n *", "\n", "".join(out))
         return re.sub(r"\n{3,}", "\n\n", text).strip() + "\n\n"
 
+    def blocks(self) -> list[tuple[str, int]]:
+        """Texts between the borders of blocks, whitespace squeezed, with the number of their
+        characters that stand inside links. Inline marks don't divide a text."""
+        out: list[tuple[str, int]] = []
+        parts: list[str] = []
+        linked = depth = 0
+        hidden_until = -1
+
+        def end() -> None:
+            nonlocal linked
+            text = _SPACES.sub(" ", "".join(parts)).strip()
+            if text:
+                out.append((text, min(linked, len(text))))
+            parts.clear()
+            linked = 0
+
+        for at, (n, text) in enumerate(self.events):
+            if at < hidden_until:
+                continue
+            tag = self.tag[n]
+            if text is not None:
+                parts.append(text)
+                linked += len(text.strip()) if depth else 0
+            elif tag in _HIDDEN:
+                hidden_until = max(hidden_until, self.span[n][1])
+            elif tag == "a":
+                depth += 1 if self.span[n][0] == at else -1
+            elif tag in _BLOCK or tag in _SELF_CLOSING or tag == "br" or not n:
+                end()
+        end()
+        return out
+
     def main_node(self) -> int:
         """The node holding most of the prose.
 

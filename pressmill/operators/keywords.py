@@ -1,13 +1,14 @@
 """Long keyword lists: E19 by an inverted index.
 
-A keyword can only stand in a text that has all its trigrams, so each keyword waits under one of
-them, its anchor: the one that is rarest. Texts say which trigrams they have, each once; where
-an anchor is among them, the keyword is looked for itself. A text is read once however long the
-list is, and what is looked for in it is what shares its rarest trigram with it.
+A keyword can only stand in a text that has all its pieces, so each keyword waits under one of
+them, its anchor: the rarest of eight characters, of three if it is shorter than eight. (Three
+alone are too few: a text of some length has most trigrams of its language.) Texts say which pieces
+they have, each once; where an anchor is among them, the keyword is looked for itself. A text is
+read once however long the list is, and little is looked for in it that is not there.
 
 * The index travels to the texts if its size, which is counted, allows it. Texts don't move: an
-  Arrow task looks up a text's trigrams and tries the keywords they lead to.
-* A longer list is joined by shuffle: only numbers and trigrams that are anchors travel, then
+  Arrow task looks up a text's pieces and tries the keywords they lead to.
+* A longer list is joined by shuffle: only numbers and pieces that are anchors travel, then
   pairs of text and keyword, and the texts are read once more for the proof.
 """
 
@@ -24,9 +25,11 @@ from pressmill.session import prepare_workers, stored
 
 #: Keywords that are sent to every task at most.
 MOST_SENT = 200_000
-#: Characters of a text that are cut into trigrams at once.
+#: Characters of an anchor, of keywords that have as many; shorter ones wait under all of theirs.
+LONG, SHORT = 8, 3
+#: Characters of a text that are cut into anchors at once.
 PIECE = 1 << 16
-#: Texts that tell which trigrams are common. Any choice of anchors gives the same result.
+#: Texts that tell which pieces are common. Any choice of anchors gives the same result.
 SAMPLE = 500
 
 
@@ -36,10 +39,10 @@ def _grams(text: Column, size: int) -> Column:
 
 
 def _pieces(text: Column) -> Column:
-    """The text in pieces of bounded length that share two characters with the next."""
+    """The text in pieces of bounded length that share with the next what an anchor may need."""
     count = F.floor(F.char_length(text) / PIECE).cast("int")
     return F.transform(
-        F.sequence(F.lit(0), count), lambda i: F.substring(text, i * F.lit(PIECE) + 1, F.lit(PIECE + 2))
+        F.sequence(F.lit(0), count), lambda i: F.substring(text, i * F.lit(PIECE) + 1, F.lit(PIECE + LONG - 1))
     )
 
 
@@ -50,16 +53,20 @@ def _text_grams(texts: DataFrame, sizes: list[int]) -> DataFrame:
 
 
 def anchors(keywords: DataFrame, texts: DataFrame) -> DataFrame:
-    """``keyword, gram``: each keyword under its rarest trigram, one with fewer than three
-    characters under itself. Empty keywords and null are left out."""
+    """``keyword, gram``: each keyword under its anchor, one with fewer than three characters under
+    itself. Empty keywords and null are left out."""
     known = keywords.where(F.length("keyword") > 0).select("keyword").distinct()
-    short = F.char_length("keyword") < 3
-    grams = F.when(short, F.array("keyword")).otherwise(_grams(F.col("keyword"), 3))
+    size = F.char_length("keyword")
+    grams = (
+        F.when(size < SHORT, F.array("keyword"))
+        .when(size < LONG, _grams(F.col("keyword"), SHORT))
+        .otherwise(_grams(F.col("keyword"), LONG))
+    )
     told = known.select("keyword", F.explode(grams).alias("gram"))
     # The search by places can begin inside a character of two units; such are no anchors.
     told = told.where(F.contains(F.col("keyword"), F.col("gram")))
     shared = told.groupBy("gram").agg(F.count("*").alias("shared"))
-    common = _text_grams(texts.select("text").limit(SAMPLE), [3]).groupBy("gram").agg(F.count("*").alias("common"))
+    common = _text_grams(texts.select("text").limit(SAMPLE), [SHORT, LONG]).groupBy("gram").agg(F.count("*").alias("common"))
     weighed = told.join(shared, "gram").join(common, "gram", "left")
     cost = F.struct(F.coalesce("common", F.lit(0)).alias("common"), "shared", "gram")
     return weighed.groupBy("keyword").agg(F.min(cost)["gram"].alias("gram"))
