@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,34 +73,41 @@ def anchors(keywords: DataFrame, texts: DataFrame) -> DataFrame:
     return weighed.groupBy("keyword").agg(F.min(cost)["gram"].alias("gram"))
 
 
-def _here(text: str, size: int) -> Iterator[set[str]]:
-    """The substrings of ``size`` characters, piece by piece."""
-    for start in range(0, len(text), PIECE):
-        end = min(start + PIECE, len(text) - size + 1)
-        yield {text[i : i + size] for i in range(start, end)}
+def _codes(text: str, size: int) -> np.ndarray:
+    """A number for the substring of ``size`` characters at each place."""
+    units = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    out = np.full(max(0, len(units) - size + 1), size, dtype=np.uint64)
+    for k in range(size):
+        out = (out ^ units[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
 
 
 def _sent(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Hits by an index that every task has."""
     spark = rows.sparkSession
     prepare_workers(spark)
-    listed: dict[str, list[str]] = {}
+    # Anchors are looked up by number, many at once; what two of them share is only work.
+    listed: dict[int, dict[int, list[str]]] = {}
     for row in index.toLocalIterator():
-        listed.setdefault(row.gram, []).append(row.keyword)
+        size = len(row.gram)
+        listed.setdefault(size, {}).setdefault(int(_codes(row.gram, size)[0]), []).append(row.keyword)
     shared = spark.sparkContext.broadcast(listed)
     schema = T.StructType([rows.schema["key"], T.StructField("keyword", T.StringType())])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        sizes = sorted({len(g) for g in index})
+        known = {size: np.sort(np.fromiter(codes, np.uint64, len(codes))) for size, codes in index.items()}
         for batch in batches:
             at, found = [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
-                grams: set[str] = set()
-                for size in sizes:
-                    for here in _here(text, size):
-                        grams |= index.keys() & here
-                hits = [w for g in grams for w in index[g] if w in text]
+                hits: set[str] = set()
+                for size, anchors in known.items():
+                    for start in range(0, len(text), PIECE):
+                        codes = _codes(text[start : start + PIECE + size - 1], size)
+                        place = np.minimum(np.searchsorted(anchors, codes), len(anchors) - 1)
+                        met = set(codes[anchors[place] == codes].tolist())
+                        hits.update(w for code in met for w in index[size][code] if w in text)
                 at += [k] * len(hits)
                 found += hits
             keys = batch.column("key").take(pa.array(at, pa.int64()))
