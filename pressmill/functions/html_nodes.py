@@ -32,6 +32,12 @@ _HIDDEN = frozenset("script style noscript template title".split())
 _EMPHASIS = {"em": "_", "i": "_", "u": "_", "b": "**", "strong": "**"}
 _BOGUS = re.compile(r"<!\[[^>]*>?")
 _SPACES = re.compile(r"[ \t\n\r\f\v]+")
+_LOOSE = re.compile(r"[\t\n\r\f\v]|  ")
+
+
+def _squeezed(text: str) -> str:
+    """Runs of whitespace as one space; most texts have none to change."""
+    return _SPACES.sub(" ", text) if _LOOSE.search(text) else text
 
 
 class Page(HTMLParser):
@@ -177,7 +183,7 @@ class Page(HTMLParser):
                 continue
             tag = self.tag[n]
             if text is not None:
-                out.append(_SPACES.sub(" ", text))
+                out.append(_squeezed(text))
                 continue
             opens = self.span[n][0] == at
             if opens and tag in _HIDDEN:
@@ -205,7 +211,7 @@ class Page(HTMLParser):
 
         def end() -> None:
             nonlocal linked
-            text = _SPACES.sub(" ", "".join(parts)).strip()
+            text = _squeezed("".join(parts)).strip()
             if text:
                 out.append((text, min(linked, len(text))))
             parts.clear()

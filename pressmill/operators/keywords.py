@@ -14,7 +14,7 @@ read once however long the list is, and little is looked for in it that is not t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -83,31 +83,55 @@ def _codes(text: str, size: int) -> np.ndarray:
     return out
 
 
+class _Numbers:
+    """A set of numbers: a table of their first bits turns most others away."""
+
+    def __init__(self, numbers: Iterable[int]) -> None:
+        self._sorted = np.sort(np.fromiter(numbers, np.uint64))
+        bits = max(16, (32 * len(self._sorted)).bit_length())
+        self._shift = np.uint64(64 - bits)
+        self._some = np.zeros(1 << bits, dtype=bool)
+        self._some[self._sorted >> self._shift] = True
+
+    def met(self, codes: np.ndarray) -> tuple[list[int], list[int]]:
+        """Places of those of ``codes`` that are in the set, and what they are."""
+        places = np.flatnonzero(self._some[codes >> self._shift])
+        codes = codes[places]
+        near = np.minimum(np.searchsorted(self._sorted, codes), len(self._sorted) - 1)
+        same = self._sorted[near] == codes
+        return places[same].tolist(), codes[same].tolist()
+
+
 def _sent(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Hits by an index that every task has."""
     spark = rows.sparkSession
     prepare_workers(spark)
-    # Anchors are looked up by number, many at once; what two of them share is only work.
-    listed: dict[int, dict[int, list[str]]] = {}
+    # Anchors are looked up by number, many at once; what two of them share is only work. A keyword
+    # says where in it the anchor stands, so it is compared at that place alone.
+    listed: dict[int, dict[int, list[tuple[int, str]]]] = {}
     for row in index.toLocalIterator():
         size = len(row.gram)
-        listed.setdefault(size, {}).setdefault(int(_codes(row.gram, size)[0]), []).append(row.keyword)
+        waiting = listed.setdefault(size, {}).setdefault(int(_codes(row.gram, size)[0]), [])
+        waiting.append((row.keyword.find(row.gram), row.keyword))
     shared = spark.sparkContext.broadcast(listed)
     schema = T.StructType([rows.schema["key"], T.StructField("keyword", T.StringType())])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        known = {size: np.sort(np.fromiter(codes, np.uint64, len(codes))) for size, codes in index.items()}
+        known = {size: _Numbers(codes) for size, codes in index.items()}
         for batch in batches:
             at, found = [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
                 hits: set[str] = set()
                 for size, anchors in known.items():
+                    waiting = index[size]
                     for start in range(0, len(text), PIECE):
-                        codes = _codes(text[start : start + PIECE + size - 1], size)
-                        place = np.minimum(np.searchsorted(anchors, codes), len(anchors) - 1)
-                        met = set(codes[anchors[place] == codes].tolist())
-                        hits.update(w for code in met for w in index[size][code] if w in text)
+                        places, codes = anchors.met(_codes(text[start : start + PIECE + size - 1], size))
+                        for place, code in zip(places, codes):
+                            for before, word in waiting[code]:
+                                first = start + place - before
+                                if word not in hits and first >= 0 and text.startswith(word, first):
+                                    hits.add(word)
                 at += [k] * len(hits)
                 found += hits
             keys = batch.column("key").take(pa.array(at, pa.int64()))

@@ -48,9 +48,10 @@ _BLOCKS = T.StructType(
 )
 
 
-def page_blocks(pages: DataFrame) -> DataFrame:
+def page_blocks(pages: DataFrame, own: bool = True) -> DataFrame:
     """``url``, ``blocks`` (text, characters inside links) in page order, and ``own``, the main
-    content as far as the page by itself tells. A page that cannot be read has neither."""
+    content as far as the page by itself tells: null unless wanted. A page that cannot be read has
+    neither."""
     prepare_workers(pages.sparkSession)
     arrow = to_arrow_schema(_BLOCKS)
 
@@ -58,7 +59,8 @@ def page_blocks(pages: DataFrame) -> DataFrame:
         try:
             page = Page(html or "")
             blocks = [{"text": text, "linked": linked} for text, linked in page.blocks()]
-            return {"url": url, "own": page.plain_text(page.main_node()).strip(), "blocks": blocks}
+            story = page.plain_text(page.main_node()).strip() if own else None
+            return {"url": url, "own": story, "blocks": blocks}
         except Exception:  # noqa: BLE001 - a broken page has no content
             return {"url": url, "own": None, "blocks": []}
 
@@ -101,11 +103,12 @@ def site_articles(pages: DataFrame, share: float = SHARE, least: int = PAGES) ->
     Nothing is left of a page that is all template: its story is empty. A page without host, or
     that cannot be read, is taken by itself, and repeated rows count as pages of their own.
     """
-    blocks = stored(page_blocks(pages).withColumn("host", host_of(F.col("url"))))
-    known = templates(blocks.where(F.col("host").isNotNull()), share, least)
-    salted = blocks.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(SALTS)))
+    host = host_of(F.col("url"))
+    blocks = stored(page_blocks(pages, own=False).withColumn("host", host))
+    known = stored(templates(blocks.where(F.col("host").isNotNull()), share, least))
+    salt = F.pmod(F.xxhash64("url"), F.lit(SALTS)).alias("salt")
     spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    met = salted.join(spread, ["host", "salt"], "left")
+    met = blocks.select("*", salt).join(spread, ["host", "salt"])
     template = F.coalesce("template", F.array().cast("array<bigint>"))
 
     def prose(block: Column) -> Column:
@@ -113,7 +116,9 @@ def site_articles(pages: DataFrame, share: float = SHARE, least: int = PAGES) ->
         return (size >= PROSE) & (block["linked"] <= size * LINKED) & ~F.array_contains(template, F.xxhash64(block["text"]))
 
     left = F.array_join(F.transform(F.filter("blocks", prose), lambda b: b["text"]), "\n")
-    by_site = F.col("seen").isNotNull()
-    return met.select(
-        "url", F.when(by_site, left).otherwise(F.coalesce("own", F.lit(""))).alias("story"), by_site.alias("by_site")
+    # Only the pages of hosts without a template are read a second time.
+    alone = pages.select("url", "html", host.alias("host"), salt).join(spread, ["host", "salt"], "left_anti")
+    story = F.coalesce("own", F.lit("")).alias("story")
+    return met.select("url", left.alias("story"), F.lit(True).alias("by_site")).unionByName(
+        page_blocks(alone).select("url", story, F.lit(False).alias("by_site"))
     )
