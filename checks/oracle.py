@@ -469,6 +469,14 @@ ORACLE = {
         f"SELECT 'sentences', source, {_SENTENCE_LINE} FROM article JOIN kept USING (doc_id) "
         f"UNION ALL SELECT 'index', source, {_INDEX_LINE} FROM article)"
     ),
+    "published_records": (
+        f"{_NUMBERED}, line AS (SELECT 'lead' AS file, date, source, {_LEAD_LINE} AS line "
+        "FROM article JOIN kept USING (doc_id) WHERE sentence_no = 1 UNION ALL "
+        f"SELECT 'sentences', date, source, {_SENTENCE_LINE} FROM article JOIN kept USING (doc_id) "
+        f"UNION ALL SELECT 'index', date, source, {_INDEX_LINE} FROM article) "
+        "SELECT file, CASE WHEN date < '20140601' THEN 'may' ELSE 'june' END AS run, source, 'talks' AS query, "
+        f"unnest(string_split(line, {_NL})) AS value FROM line"
+    ),
     "rejected_articles": (
         f"WITH {V.ARTICLES_SQL} SELECT 'read' AS stage, "
         "CASE doc_id % 4 WHEN 1 THEN 'no url' WHEN 2 THEN 'no title' ELSE 'no content' END AS reason, "

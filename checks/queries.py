@@ -16,9 +16,10 @@ from pressmill.functions.urls import host_in, host_of, url_date
 from pressmill.operators import extraction, filters, following, keywords, links, numbering, sites
 from pressmill.operators.history import HistoryShape, LinkHistory
 from pressmill.plans.crawling import pages_to_articles, pages_to_links
-from pressmill.plans.formatting import numbered_articles
+from pressmill.plans.formatting import numbered_articles, publish_articles
 from pressmill.session import computed_once, ensure_checkpoint_dir, prepare_workers
 from pressmill.sources.articles import read_articles, rejects_of, write_articles
+from pressmill.sources.published import OUTPUTS, Published
 from pressmill.sources.records import (
     index_records,
     lead_records,
@@ -147,6 +148,18 @@ def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].union(found[1]).union(found[2])
 
 
+def published_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4-S6, S8 and O2 over runs: two months published one after the other, the second of them
+    twice; all published lines."""
+    store = Published(spark, _shared_folder(spark))
+    articles = V.documents_as_articles(spark, sf_dir)
+    june = F.col("date") >= "20140601"
+    for run, month in (("may", articles.where(~june)), ("june", articles.where(june)), ("june", articles)):
+        publish_articles(month, store, run)
+    found = [store.records(f).select(F.lit(f).alias("file"), "*") for f in OUTPUTS]
+    return found[0].union(found[1]).union(found[2])
+
+
 def rejected_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without a required field, one in four each without another."""
     doc_id = F.col("doc_id")
@@ -375,6 +388,7 @@ ALL = (
     array_articles,
     reject_files,
     record_files,
+    published_records,
     rejected_articles,
     page_links,
     link_domains,

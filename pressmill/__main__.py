@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from pressmill.config import JobConfig
 from pressmill.plans.crawling import pages_to_links, run_extraction
-from pressmill.plans.formatting import run_formatter
+from pressmill.plans.formatting import run_formatter, run_published
 from pressmill.session import prepare_workers
 from pressmill.sources.pages import read_pages
 
@@ -23,11 +23,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lines", action="store_true", help="articles are JSON lines")
     parser.add_argument("--date-format", default=JobConfig.date_format)
     parser.add_argument("--batch", nargs="+", default=JobConfig.batch, help="numbers restart here")
+    parser.add_argument("--run", help="format: publish the outputs together as this run, numbers go on")
     parser.add_argument("--seen", help="links: table of source and url already fetched")
     args = parser.parse_args(argv)
     cfg = JobConfig(tuple(args.keywords), args.start, args.end, args.date_format, tuple(args.batch))
     spark = SparkSession.builder.appName(f"pressmill-{args.job}").getOrCreate()
-    if args.job == "format":
+    if args.job == "format" and args.run:
+        print(run_published(spark, args.path, args.out_dir, args.run, cfg, args.lines))
+    elif args.job == "format":
         run_formatter(spark, args.path, args.out_dir, cfg, args.lines)
     elif args.job == "extract":
         run_extraction(spark, args.path, args.out_dir, cfg)

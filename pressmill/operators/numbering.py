@@ -8,7 +8,9 @@ those counts are added up across partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressmill.session import checkpointed
@@ -39,8 +41,10 @@ def number_ordered(
     df: DataFrame,
     batch: tuple[str, ...] = ("source", "query"),
     broadcast_rows: int = _BROADCAST_ROWS,
+    ledger: DataFrame | None = None,
 ) -> DataFrame:
-    """O2: ``article_no`` 1.. within each batch of an ordered table.
+    """O2: ``article_no`` 1.. within each batch of an ordered table, or on from ``last`` of its
+    row in ``ledger``.
 
     Row ids are written down once, so the counts and the numbers taken from them
     always speak of the same partitions. Making the plan runs that much already: the
@@ -59,13 +63,17 @@ def number_ordered(
     )
     # At most one row per batch and partition, written down so that it can be counted.
     earlier = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    runs = checkpointed(
-        runs.select(
-            *[F.col(c).alias(f"_{c}") for c in batch],
-            "_part",
-            (F.col("_first") - earlier - 1).alias("_base"),
-        )
+    runs = runs.select(
+        *[F.col(c).alias(f"_{c}") for c in batch],
+        "_part",
+        (F.col("_first") - earlier - 1).alias("_base"),
     )
+    if ledger is not None:
+        given = ledger.select(*[F.col(c).alias(f"_of_{c}") for c in batch], F.col("last").alias("_last"))
+        alike = reduce(Column.__and__, [F.col(f"_{c}").eqNullSafe(F.col(f"_of_{c}")) for c in batch])
+        base = F.col("_base") - F.coalesce("_last", F.lit(0))
+        runs = runs.join(given, alike, "left").select(*[f"_{c}" for c in batch], "_part", base.alias("_base"))
+    runs = checkpointed(runs)
     stays = runs.count() <= broadcast_rows
     if stays:
         runs = F.broadcast(runs)

@@ -58,12 +58,15 @@ def missing_required() -> Column:
     )
 
 
+def usable_row(articles: DataFrame) -> Column:
+    """Whether the formatter can work on a row."""
+    ok = missing_required().isNull()
+    return ok & F.col("reason").isNull() if "reason" in articles.columns else ok
+
+
 def usable(articles: DataFrame) -> DataFrame:
     """Rows the formatter can work on."""
-    ok = missing_required().isNull()
-    if "reason" in articles.columns:
-        ok = ok & F.col("reason").isNull()
-    return articles.where(ok)
+    return articles.where(usable_row(articles))
 
 
 def rejects_of(rows: DataFrame, stage: str) -> DataFrame:
