@@ -39,8 +39,10 @@ def components(links: DataFrame) -> DataFrame:
     component."""
     down = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges, before = stage(down.distinct()), None
+    edge = F.xxhash64("u", "v")
     while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+        # Unchanged in count, sum and exclusive or of 64-bit hashes: the same edges.
+        state = edges.agg(F.count("*"), F.sum(edge.cast("decimal(20,0)")), F.bit_xor(edge)).first()
         if state == before or not state[0]:
             return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
         before = state

@@ -31,8 +31,9 @@ def _lines(text: Column) -> Column:
 
 
 def _keys(line: Column) -> list[Column]:
-    """128 bits that stand for a line."""
-    return [F.xxhash64(line).alias("k1"), F.xxhash64(line, F.lit("line")).alias("k2")]
+    """128 bits that stand for a line. The second hash starts from another seed: what follows the
+    line would only hash the first once more."""
+    return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit("line"), line).alias("k2")]
 
 
 def wide_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
@@ -60,23 +61,23 @@ def remove_wide_lines(docs: DataFrame, site: str = "source", min_sites: int = MI
     """``docs`` without boilerplate lines, and the numbers of lines before and removed."""
     docs = docs.drop("n_lines", "n_removed")
     wide = wide_lines(docs, site, min_sites)
-    same = [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_text")]
-    at = docs.select(*same, F.posexplode(_lines(F.col("text"))).alias("_at", "line"))
+    same = [F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash")]
+    at = docs.select(*same, F.posexplode(_lines(F.col("text"))).alias("at", "line"))
     drops = (
         at.where("line <> ''")
-        .select("_id", "_text", "_at", *_keys(F.col("line")))
+        .select("id", "hash", "at", *_keys(F.col("line")))
         .join(wide, ["k1", "k2"], "left_semi")
-        .groupBy("_id", "_text")
-        .agg(F.collect_set("_at").alias("_drops"))
+        .groupBy("id", "hash")
+        .agg(F.collect_set("at").alias("drops"))
     )
-    here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_text"))
-    lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x, k: ~F.array_contains("_drops", k))
-    return docs.join(drops, here, "left").select(
-        *(c for c in docs.columns if c != "text"),
-        F.when(F.col("_drops").isNull(), F.col("text"))
-        .otherwise(F.array_join(kept, "\n"))
-        .alias("text"),
+    # Told apart by their side: a document's own columns may have any name.
+    here = F.col("doc.doc_id").eqNullSafe(F.col("gone.id")) & (F.xxhash64("doc.text") == F.col("gone.hash"))
+    text, drop = F.col("doc.text"), F.col("gone.drops")
+    lines = F.split(text, "\n")
+    kept = F.filter(lines, lambda x, k: ~F.array_contains(drop, k))
+    return docs.alias("doc").join(drops.alias("gone"), here, "left").select(
+        *(F.col(f"doc.`{c}`") for c in docs.columns if c != "text"),
+        F.when(drop.isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_removed"),
     )

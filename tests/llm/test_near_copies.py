@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from pressmill.llm import line_dedup, ngram_join, substring_dedup
 from pressmill.llm.components import components
@@ -252,3 +253,27 @@ def test_lines_at_the_threshold_are_counted_exactly(frame, sites):
     rows = [(k, f"line\nown {k}", "en", f"s{k}") for k in range(sites)]
     gone = line_dedup.remove_wide_lines(frame(rows)).where("n_removed = 1").count()
     assert gone == (sites if sites >= 10 else 0)
+
+
+def test_line_keys_are_two_hashes(frame):
+    """The second is no function of the first."""
+    k1, k2 = line_dedup._keys(F.col("text"))
+    chained = F.xxhash64("text", F.lit("line"))
+    rows = frame([(k, f"line {k}") for k in range(20)]).select(k1, k2, chained.alias("chained")).collect()
+    assert all(len({r.k1, r.k2, r.chained}) == 3 for r in rows)
+
+
+def test_line_dedup_odd_rows_and_names(frame):
+    """Very long texts, repeated rows and null ids; columns may have the names used on the way."""
+    text = "wide\n" + "\n".join(f"own {k}" for k in range(20_000))
+    rows = [(k, f"wide\nmine {k}", "en", f"s{k}") for k in range(12)]
+    rows += [(None, "wide\nno id", "en", "s1"), (None, "wide\nnor this", "en", "s2"), (50, text, "en", "s3")] * 2
+    names = ("_id", "_text", "_drops", "_at", "id", "hash", "drops", "line", "k1", "k2", "at", "doc", "gone")
+    docs = frame(rows)
+    for name in names:
+        docs = docs.withColumn(name, F.lit(name))
+    found = line_dedup.remove_wide_lines(docs).collect()
+    assert len(found) == len(rows) and all(r[name] == name for r in found for name in names)
+    assert all(r.n_removed == 1 and not r.text.startswith("wide") for r in found)
+    assert sorted(r.text for r in found if r.doc_id is None) == ["no id"] * 2 + ["nor this"] * 2
+    assert {len(r.text) for r in found if r.doc_id == 50} == {len(text) - 5}
