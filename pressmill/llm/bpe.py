@@ -119,6 +119,13 @@ class PrefixEncoder:
 _RUN = re.compile(r"\s\s|\n\Z")
 
 
+#: The byte-level pre-tokenizer's pattern. Fixed value.
+_PRETOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: What libraries may class differently, as their Unicode versions do beyond the first Latin
+#: blocks, and blank runs long enough for a matcher to give up on.
+_BEYOND = re.compile(r"[^\x00-\u024f]|(?<!\s)\s{10000}")
+
+
 class RankEncoder:
     """The same ids from the tokenizer library's merge loop, for callers that only need them.
 
@@ -133,6 +140,8 @@ class RankEncoder:
         ranks = {bytes(self.byte[c] for c in t): i for t, i in vocab.items()}
         plain = tiktoken.Encoding("plain", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
         self.of_text = plain.encode_ordinary
+        whole = tiktoken.Encoding("whole", pat_str=_PRETOKEN, mergeable_ranks=ranks, special_tokens={})
+        self.of_whole = whole.encode_ordinary
 
     def encode(self, pretoken: str) -> list[int]:
         return self.of_text(bytes(self.byte[c] for c in pretoken).decode())
@@ -169,6 +178,7 @@ class TextEncoder:
         kind = RankEncoder if by_ranks else PrefixEncoder
         self.merged = kind(model["vocab"], [tuple(m) for m in model["merges"]])
         self.of_text = getattr(self.merged, "of_text", self._of_letters)
+        self.of_whole = getattr(self.merged, "of_whole", None)
         self.special = {x["content"]: x["id"] for x in described["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.pretokens: dict[str, bytes] = {}
@@ -198,6 +208,8 @@ class TextEncoder:
         return b"".join(out)
 
     def _plain(self, text: str) -> bytes:
+        if self.of_whole and not _BEYOND.search(text):
+            return _packed(self.of_whole(text))
         if _RUN.search(text):
             if "  " in text or " \n" in text:
                 return self._piece(text)
