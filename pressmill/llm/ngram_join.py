@@ -137,10 +137,10 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _described(parts: int, counts, kind: pa.DataType):
+def _described(parts: int, counts, kind: pa.DataType, row: pa.DataType):
     """Every document with its class, set size and signature, and entries of its rare
     shingles in each of its tiles."""
-    told = ["doc_id", "row", "cls", "n", "sign"]
+    told = ["doc_id", "row", "key", "key2", "cls", "n", "sign"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts.value
@@ -161,12 +161,12 @@ def _described(parts: int, counts, kind: pa.DataType):
             ids, sizes, signs = zip(*rows, strict=True)
             none = [pa.nulls(len(rows), t) for t in (pa.int32(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("row"), pa.array(ids), pa.array(sizes), pa.array(signs, pa.binary()), *none],
+                [*map(part.column, told[:4]), pa.array(ids), pa.array(sizes), pa.array(signs, pa.binary()), *none],
                 [*told, *NAMES],
             )
             if keys:
                 for x in entries([np.concatenate(keys), np.concatenate(owners)], parts):
-                    none = [pa.nulls(x.num_rows, t) for t in (kind, *[pa.int64()] * 3, pa.binary())]
+                    none = [pa.nulls(x.num_rows, t) for t in (kind, row, *[pa.int64()] * 4, pa.binary())]
                     yield pa.RecordBatch.from_arrays([*none, *x.columns], [*told, *NAMES])
 
     return run
@@ -176,11 +176,11 @@ def described(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     """One pass over the texts for what :func:`tiles` and the classes need."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(counts)  # BUCKETS numbers
-    field = docs.schema["doc_id"]
-    kind = to_arrow_type(field.dataType)
-    told = f"doc_id {field.dataType.simpleString()}, row long, cls long, n long, sign binary"
-    run = _described(shuffle_parts(spark), shared, kind)
-    return stage(docs.select("doc_id", "row", "text").mapInArrow(run, f"{told}, {SCHEMA}"))
+    kinds = [docs.schema[c].dataType for c in ("doc_id", "row")]
+    told = "doc_id {}, row {}".format(*(k.simpleString() for k in kinds))
+    run = _described(shuffle_parts(spark), shared, *map(to_arrow_type, kinds))
+    schema = f"{told}, key long, key2 long, cls long, n long, sign binary, {SCHEMA}"
+    return stage(docs.select("doc_id", "row", "key", "key2", "text").mapInArrow(run, schema))
 
 
 def tiles(found: DataFrame) -> DataFrame:
@@ -240,21 +240,21 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text for each class in ``wanted``."""
-    some = classes.join(wanted.select("cls").distinct(), "cls", "left_semi").select("cls", "rep")
-    found = docs.select("doc_id", "text").join(some, F.col("doc_id").eqNullSafe(F.col("rep")))
+    """One text for each class in ``wanted``, fetched by the key of one of its rows; rows that
+    agree in id and text give one for each task that finds them."""
+    some = classes.join(wanted.select("cls").distinct(), "cls", "left_semi").select("cls", "rep.key", "rep.key2")
+    found = docs.select("key", "key2", "text").join(some, ["key", "key2"])
 
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = 0  # repeated rows of an id follow each other
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             keep = []
-            for found, cls in zip(_sets(batch), batch.column("cls").to_pylist(), strict=True):
-                # An id may stand for several texts.
-                keep.append(cls != last and _class_id(found) == cls)
-                last = cls if keep[-1] else last
+            for cls in batch.column("cls").to_pylist():
+                keep.append(cls not in seen)
+                seen.add(cls)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return stage(found.select("cls", "text").mapInArrow(own, "cls long, text string"))
+    return stage(found.select("cls", "text").mapInArrow(once, "cls long, text string"))
 
 
 def _labelled(met: DataFrame, labels: DataFrame) -> DataFrame:
@@ -381,14 +381,18 @@ def linked_components(docs: DataFrame, row: Column | None = None) -> tuple[DataF
     least one."""
     prepare_workers(docs.sparkSession)
     row = F.lit(None).cast("long") if row is None else row
-    docs = docs.select("doc_id", "text", row.alias("row"))
+    told_apart = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text")]
+    docs = docs.select(
+        "doc_id", "text", row.alias("row"),
+        F.xxhash64(*told_apart).alias("key"), F.xxhash64(F.lit("second"), *told_apart).alias("key2"),
+    )
     found = described(docs, shingle_counts(docs))
     met = tiles(found.where("cls IS NULL"))
-    told = stage(found.where("cls IS NOT NULL").select("doc_id", "row", "cls", "n", "sign"))
+    told = stage(found.where("cls IS NOT NULL").select("doc_id", "row", "key", "key2", "cls", "n", "sign"))
     drop_stage(found)  # what is left of the packed entries stands in ``met``
     classes = stage(
         told.where("n > 0").groupBy("cls").agg(
-            F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sign").alias("sign")
+            F.min(F.struct("key", "key2")).alias("rep"), F.max("n").alias("n"), F.max("sign").alias("sign")
         )
     )
     texts = _texts_of(docs, classes, met)
