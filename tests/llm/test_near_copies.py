@@ -89,6 +89,26 @@ def test_odd_rows(frame, odd_rows):
     assert [tuple(r) for r in ngram_join.ngram_components(frame([(3, None)])).collect()] == [(3, 0, 3)]
 
 
+def test_texts_of_rows_without_ids_are_fetched_once(frame, monkeypatch):
+    """Not once for each other row without an id, and one for rows that repeat."""
+    base = prose(7, 60).split()
+    texts = [" ".join([*base, f"own{k}"]) for k in range(40)]
+    rows = [(None, x) for x in texts] + [(None, texts[0])] * 5 + [(3, texts[1] + " b"), (3, texts[2] + " c")]
+    fetched = []
+    real = ngram_join._texts_of
+
+    def counted(*args):
+        found = real(*args)
+        fetched.append((found.count(), found.select("cls").distinct().count()))
+        return found
+
+    monkeypatch.setattr(ngram_join, "_texts_of", counted)
+    found = ngram_join.ngram_components(frame(rows)).collect()
+    assert {r["component_id"] for r in found} == {3} and len(found) == len(rows)
+    rows_fetched, classes = fetched[0]
+    assert classes == 42 and rows_fetched <= 42 + 5
+
+
 @given(st.integers(1, 300), st.integers(0, 300), st.integers(0, 300), st.integers(0, 2**32))
 @settings(max_examples=200, deadline=None)
 def test_signatures_bound_the_overlap(common, only_a, only_b, seed):

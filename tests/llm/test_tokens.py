@@ -129,3 +129,16 @@ def test_packing(frame, odd_rows):
             at += length
         assert at <= 2048
     assert len(held) <= 1.1 * sum(r.length for r in found) / 2048 + 1
+
+
+def test_whole_texts_of_the_first_latin_blocks():
+    """Texts that go through the merge loop whole have the library's ids, others as well."""
+    rng = random.Random(4)
+    own, library = bpe.TextEncoder(bpe.BYTE_BPE, by_ranks=True), Tokenizer.from_file(bpe.BYTE_BPE)
+    letters = [chr(k) for k in range(0x250)] + ["ɐ", "あ", " "]
+    common = list("  \n\t'sdmtlvre09.,!a\u0085ª")
+    texts = ["".join(rng.choice(common if rng.random() < 0.7 else letters) for _ in range(k % 40)) for k in range(3000)]
+    texts += [" " * 9_999 + "x", " " * 20_000 + "x", "a" * 100_000, "<|endoftext|> a<|endoftext|>"]
+    for text in texts:
+        want = array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+        assert own.encode(text) == want, ascii(text[:40])
