@@ -9,7 +9,8 @@ Training takes a bounded sample of labelled rows, dealt out to shards, each of w
 into one row of a staged table. In a round every shard starts from the common state, learns
 from its rows and tells how the state of the buckets it touched has moved; a bucket's moves are
 averaged over the shards that have it. State and weights have ``BUCKETS`` places and there are
-four shards at most, whatever the corpus, so the driver gets at most 12 bytes for each of both.
+four shards at most, whatever the corpus. The state is a staged table of its slices, which
+meets the shards in their tasks; the driver gets the weights that are not zero, once.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressmill.llm.common import stage, text_or_empty
+from pressmill.llm.common import drop_stage, stage, text_or_empty
 from pressmill.llm.shingles import hashes_of, mixed
 from pressmill.session import prepare_workers
 
@@ -33,6 +34,8 @@ BUCKETS = 1 << BITS
 #: The sample a model is fitted on: at most so many labelled documents, by a hash of their ids,
 #: of which those with longer texts than TRAIN_CHARS are left out.
 TRAIN_ROWS, TRAIN_CHARS = 16_000, 50_000
+#: Places of the state in a row of its table.
+SLICE = 1 << 14
 #: Rows that a shard should have; there are no more than TRAIN_ROWS / SHARD_ROWS shards.
 SHARD_ROWS, ROUNDS = 4_000, 4
 #: Bytes of the texts that are scored together; a longer text is scored by itself.
@@ -135,42 +138,91 @@ def _samples(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 def _packed(samples: DataFrame, shards: int) -> DataFrame:
     """One row a shard: labels, sizes and buckets of its samples, by place."""
 
-    def pack(mine: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, mine: pd.DataFrame) -> pd.DataFrame:
         mine = mine.sort_values(["place", "buckets"])
         labels, sizes = mine["label"].to_numpy(np.int32), mine["buckets"].map(len).to_numpy(np.int32)
-        one = {"labels": labels.tobytes(), "sizes": sizes.tobytes(), "buckets": b"".join(mine["buckets"])}
-        return pd.DataFrame([one])
+        one = {"shard": key[0], "labels": labels.tobytes(), "sizes": sizes.tobytes()}
+        return pd.DataFrame([one | {"buckets": b"".join(mine["buckets"])}])
 
     shard = F.pmod("place", F.lit(shards)).alias("shard")
-    return samples.groupBy(shard).applyInPandas(pack, "labels binary, sizes binary, buckets binary")
+    return samples.groupBy(shard).applyInPandas(pack, "shard long, labels binary, sizes binary, buckets binary")
 
 
-def _moves(packed: DataFrame, z: np.ndarray, n: np.ndarray, rates: Rates) -> tuple[np.ndarray, np.ndarray]:
-    """How the state moves in one round: the mean over the shards that touched a place."""
-    state = packed.sparkSession.sparkContext.broadcast((z, n))
+#: Places ``SLICE * part`` to ``SLICE * (part + 1) - 1`` of the state; a part that is not there is zero.
+_STATE = "part int, z binary, n binary"
+_MOVES = "part int, shard long, at binary, dz binary, dn binary"
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+    return pa.table([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], list(names))
+
+
+def _numbers(row: dict, *columns: str) -> tuple[np.ndarray, ...]:
+    return tuple(np.frombuffer(row[c], np.float64) for c in columns)
+
+
+def _moves(packed: DataFrame, state: DataFrame, shards: int, rates: Rates) -> DataFrame:
+    """How the state moves in the shards, each of which begins with all of it."""
+
+    def run(mine: pa.Table, parts: pa.Table) -> pa.Table:
+        z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
+        for row in parts.to_pylist():
+            for whole, some in zip((z, n), _numbers(row, "z", "n"), strict=True):
+                whole[SLICE * row["part"] :][: len(some)] = some
+        before, out = (z.copy(), n.copy()), []
+        for row in mine.to_pylist():
+            labels, sizes, buckets = (np.frombuffer(row[c], np.int32) for c in ("labels", "sizes", "buckets"))
+            sets = np.split(buckets, np.cumsum(sizes // 4)[:-1])
+            learn(list(zip(sets, labels.tolist(), strict=True)), z, n, rates)
+            at = np.flatnonzero(n != before[1]).astype(np.int32)
+            dz, dn = ((x - old)[at].astype(np.float32) for x, old in zip((z, n), before, strict=True))
+            for part in np.unique(at // SLICE).tolist():
+                a, b = np.searchsorted(at, [SLICE * part, SLICE * (part + 1)])
+                out.append((part, row["shard"], *(x[a:b].tobytes() for x in (at, dz, dn))))
+        return _table(out, _MOVES)
+
+    everywhere = state.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")))
+    return packed.groupBy("shard").cogroup(everywhere.groupBy("shard")).applyInArrow(run, _MOVES)
+
+
+def _moved(state: DataFrame, moves: DataFrame) -> DataFrame:
+    """The state after a round: a place moves by the mean over the shards that touched it."""
+
+    def run(key: tuple, old: pa.Table, told: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        first = SLICE * part
+        size = min(SLICE, BUCKETS + 1 - first)
+        z, n = [x.copy() for row in old.to_pylist() for x in _numbers(row, "z", "n")] or [np.zeros(size), np.zeros(size)]
+        dz, dn, touched = np.zeros(size), np.zeros(size), np.zeros(size, dtype=np.int64)
+        for row in sorted(told.to_pylist(), key=lambda r: r["shard"]):  # in an order that is always the same
+            at = np.frombuffer(row["at"], np.int32) - first
+            dz[at] += np.frombuffer(row["dz"], np.float32)
+            dn[at] += np.frombuffer(row["dn"], np.float32)
+            touched[at] += 1
+        z += dz / np.maximum(1, touched)
+        n += dn / np.maximum(1, touched)
+        return _table([(part, z.tobytes(), n.tobytes())], _STATE)
+
+    return state.groupBy("part").cogroup(moves.groupBy("part")).applyInArrow(run, _STATE)
+
+
+def _weights(state: DataFrame, rates: Rates) -> DataFrame:
+    """``at, w`` of the places with a weight, the bias among them, packed by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                labels, sizes, buckets = (np.frombuffer(row[c], np.int32) for c in ("labels", "sizes", "buckets"))
-                sets = np.split(buckets, np.cumsum(sizes // 4)[:-1])
-                z, n = (x.copy() for x in state.value)
-                learn(list(zip(sets, labels.tolist(), strict=True)), z, n, rates)
-                at = np.flatnonzero(n != state.value[1])
-                found = at.astype(np.int32), *((x - old)[at].astype(np.float32) for x, old in zip((z, n), state.value))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()) for x in found], ["at", "dz", "dn"]
-                )
-
-    told = packed.mapInArrow(run, "at binary, dz binary, dn binary").collect()
-    state.unpersist()
-    dz, dn, touched = np.zeros(len(z)), np.zeros(len(n)), np.zeros(len(z), dtype=np.int64)
-    for row in sorted(told, key=lambda r: bytes(r["dz"])):  # in an order that is always the same
-        at = np.frombuffer(row["at"], np.int32)
-        dz[at] += np.frombuffer(row["dz"], np.float32)
-        dn[at] += np.frombuffer(row["dn"], np.float32)
-        touched[at] += 1
-    return dz / np.maximum(1, touched), dn / np.maximum(1, touched)
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            z, n = _numbers(row, "z", "n")
+            w, first = weights_of(z, n, rates), SLICE * row["part"]
+            if first + len(z) > BUCKETS:
+                w[-1] = -z[-1] / ((rates.beta + np.sqrt(n[-1])) / rates.alpha + rates.l2)
+            at = np.flatnonzero(w)
+            found = (at + first).tobytes(), w[at].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in found], ["at", "w"])
+
+    return state.mapInArrow(run, "at binary, w binary")
 
 
 def train(
@@ -183,19 +235,23 @@ def train(
 ) -> Model:
     """A model of ``labels.toxic``, from documents that are not :func:`held_out`. Without
     labels it says 0.5 to everything."""
-    prepare_workers(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare_workers(spark)
     samples = _samples(docs, labels, rows)
     known = labels.where(F.col("toxic").isNotNull()).select("doc_id").distinct().limit(rows).count()
-    packed = stage(_packed(samples, max(1, known // shard_rows)))
-    z, n = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
+    shards = max(1, known // shard_rows)
+    packed = stage(_packed(samples, shards))
+    state, staged = spark.createDataFrame([], _STATE), []
     for _ in range(rounds):
-        dz, dn = _moves(packed, z, n, rates)
-        z += dz
-        n += dn
-    w = weights_of(z[:-1], n[:-1], rates)
-    bias = -z[-1] / ((rates.beta + np.sqrt(n[-1])) / rates.alpha + rates.l2)
-    at = np.flatnonzero(w)
-    return Model(at, w[at].astype(np.float32), float(bias))
+        state = stage(_moved(state, _moves(packed, state, shards, rates)))
+        staged.append(state)
+    told = _weights(state, rates).collect()
+    for done in (packed, *staged):
+        drop_stage(done)
+    at, w = (np.frombuffer(b"".join(bytes(r[c]) for r in told), t) for c, t in (("at", np.int64), ("w", np.float64)))
+    at, w = at[np.argsort(at)], w[np.argsort(at)]
+    bias = w[at == BUCKETS]
+    return Model(at[at < BUCKETS], w[at < BUCKETS].astype(np.float32), float(bias[0]) if len(bias) else 0.0)
 
 
 def scores_of(texts: list[bytes], dense: np.ndarray, bias: float) -> np.ndarray:

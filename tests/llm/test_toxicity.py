@@ -91,3 +91,22 @@ def test_odd_tables(spark, frame, odd_rows, rows):
     assert {r.score for r in toxicity.predict(docs, labels.limit(0)).collect()} == {0.5}
     scored = toxicity.score(docs, toxicity.train(docs, labels))
     assert [c for c in scored.columns if c != "toxicity"] == [c for c in docs.columns if c != "toxicity"]
+
+
+def test_the_state_stays_off_the_driver(spark, frame, rows, monkeypatch):
+    """Whatever the shards move, the driver gets the weights that are not zero and broadcasts nothing."""
+    from pyspark import SparkContext
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    got, sent = [], []
+    collect, broadcast = DataFrame.collect, SparkContext.broadcast
+
+    def counted(self):
+        out = collect(self)
+        got.append(sum(len(x) for r in out for x in r if isinstance(x, (bytes, bytearray))))
+        return out
+
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, x: sent.append(x) or broadcast(self, x))
+    model = toxicity.train(frame([r[:2] for r in rows]), marks(spark, rows), shard_rows=150)
+    assert len(model.buckets) and sum(got) <= 16 * (len(model.buckets) + 1) and not sent
