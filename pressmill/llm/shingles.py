@@ -10,33 +10,18 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-#: Words whose hash a worker keeps before it starts anew, and the longest of them in bytes.
-CACHED, CACHED_BYTES = 200_000, 64
 _STEP = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,
 )
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        made = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= CACHED_BYTES:
-            if len(self) >= CACHED:
-                self.clear()
-            self[word] = made
-        return made
-
-
-_HASHES = _Hashes()
-
-
 def word_hashes(text: str | None) -> np.ndarray:
     return hashes_of((text or "").encode("utf-8", "replace").lower().split())
 
 
 def hashes_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

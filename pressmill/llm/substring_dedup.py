@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ SIMILARITY, RECALL = 0.8, 0.95
 MIN_WORDS = 16
 #: Documents of a map task that are looked at together.
 DOCUMENTS = 4096
+#: Bytes of the texts that are read together; a longer text is read by itself.
+BLOCK_BYTES = 1 << 18
 LAST_ID = (1 << 63) - 1
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -61,13 +64,14 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: int
 
 @dataclass
 class Paragraphs:
-    """Shingles of a text's paragraphs side by side, each ``start`` to ``stop - 1``, the
-    place in the text of each one's first, and the paragraphs themselves."""
+    """Shingles of the paragraphs of some texts side by side, each ``start`` to ``stop - 1``,
+    the place of each one's first, the number of its text, and the paragraphs themselves."""
 
     shingle: np.ndarray
     start: np.ndarray
     stop: np.ndarray
     place: np.ndarray
+    text: np.ndarray
     lines: list[bytes]
 
     @property
@@ -78,51 +82,105 @@ class Paragraphs:
         total = np.add.reduceat(mixed(self.shingle + np.uint64(1)), self.start)
         return mixed(total + (self.stop - self.start).astype(np.uint64)).view(np.int64)
 
-    def band_keys(self, bands: int, rows: int, some: np.ndarray) -> list[np.ndarray]:
-        """Of the paragraphs ``some``, for each band."""
-        out = []
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids, and the first paragraph of each id in each text, by text and id."""
+        ids = self.ids
+        order = np.lexsort((ids, self.text))
+        return ids, order[_heads(self.text[order], ids[order])]
+
+    def band_keys(self, bands: int, rows: int, some: np.ndarray) -> np.ndarray:
+        """Of the paragraphs ``some``, a row for each band."""
+        out = np.empty((bands, len(some)), dtype=np.int64)
         for b in range(bands):
             key = np.full(len(self.start), b, dtype=np.uint64)
             for r in range(rows):
                 own = np.uint64(2 + b * rows + r)
                 key = mixed(key + np.minimum.reduceat(mixed(self.shingle ^ mixed(own[None])[0]), self.start))
-            out.append(key[some].view(np.int64))
+            out[b] = key[some].view(np.int64)
         return out
 
 
-def read_words(text: str | None) -> tuple[np.ndarray, Paragraphs]:
-    """Hashes of a text's words, and its lines of at least ``MIN_WORDS`` words."""
-    lines = (text or "").encode("utf-8", "replace").lower().split(b"\n")
-    words = [line.split() for line in lines]
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    hashes = hashes_of([w for line in words for w in line])
-    place = np.cumsum(size) - size
-    long = np.flatnonzero(size >= MIN_WORDS)
-    place, size = place[long], size[long] - WIDTH + 1
-    ends = np.cumsum(size)
-    if not len(long):
-        return hashes, Paragraphs(hashes[:0], ends, ends, place, [])
-    at = np.repeat(place - (ends - size), size) + np.arange(ends[-1])
-    return hashes, Paragraphs(shingles(hashes)[at], ends - size, ends, place, [lines[i] for i in long])
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of rows begin that agree in all columns."""
+    new = np.zeros(max(0, len(columns[0]) - 1), dtype=bool)
+    for c in columns:
+        new |= c[1:] != c[:-1]
+    return np.flatnonzero(np.append(True, new)[: len(columns[0])])
+
+
+class Block:
+    """Some texts, read together: a step of numpy for all of them and not for each."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        lines = b"\n".join(texts).lower().split(b"\n")
+        words = list(map(bytes.split, lines))
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        line_text = np.repeat(np.arange(len(texts)), [t.count(b"\n") + 1 for t in texts])
+        self._text = np.repeat(line_text, size)
+        # Pieces that begin in one text and end in another are never looked at.
+        self._five = shingles(hashes_of(list(chain.from_iterable(words))))
+        place = np.cumsum(size) - size
+        long = np.flatnonzero(size >= MIN_WORDS)
+        place, size = place[long], size[long] - WIDTH + 1
+        ends = np.cumsum(size)
+        at = np.repeat(place - (ends - size), size) + np.arange(size.sum())
+        self.found = Paragraphs(self._five[at], ends - size, ends, place, line_text[long], [lines[i] for i in long])
+
+    def _inside(self) -> np.ndarray:
+        """Places from which ``MIN_WORDS`` words of one text stand."""
+        last = self._text[MIN_WORDS - 1 :]
+        return np.flatnonzero(last == self._text[: len(last)])
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ``MIN_WORDS`` words from every place on as a number each, and its text."""
+        n, at = len(self._text) - MIN_WORDS + 1, self._inside()
+        if n < 1:
+            return np.zeros(0, dtype=np.int64), at
+        whole = np.zeros(n, dtype=np.uint64)
+        for k in (0, 5, 10, MIN_WORDS - WIDTH):
+            whole = mixed(whole + self._five[k : k + n])
+        return whole[at].view(np.int64), self._text[at]
+
+    def seeds(self) -> np.ndarray:
+        """The seed of every window."""
+        at = self._inside()
+        if not len(at):
+            return np.zeros(0, dtype=np.int64)
+        seed = mixed(mixed(self._five[:-3]) + self._five[3:])  # eight words
+        for step in (1, 2, 4, 1):  # the least of nine
+            seed = np.minimum(seed[:-step], seed[step:])
+        return seed[at].view(np.int64)
+
+    def window_texts(self) -> np.ndarray:
+        return self._text[self._inside()]
 
 
 def paragraphs(text: str | None) -> Paragraphs:
-    return read_words(text)[1]
+    return Block([_bytes(text)]).found
+
+
+def _bytes(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "replace")
 
 
-def windows(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ``MIN_WORDS`` words from every place on as a number each, and the seed of each."""
-    n = len(words) - MIN_WORDS + 1
-    if n < 1:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    five = shingles(words)
-    whole = np.zeros(n, dtype=np.uint64)
-    for k in (0, 5, 10, MIN_WORDS - WIDTH):
-        whole = mixed(whole + five[k : k + n])
-    seed = mixed(mixed(five[:-3]) + five[3:])  # eight words
-    for step in (1, 2, 4, 1):  # the least of nine
-        seed = np.minimum(seed[:-step], seed[step:])
-    return whole.view(np.int64), seed.view(np.int64)
+def _blocks(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of about ``BLOCK_BYTES`` together, and the number of the first."""
+    first, block, size = 0, [], 0
+    for text in texts:
+        block.append(_bytes(text.as_py()))
+        size += len(block[-1])
+        if size >= BLOCK_BYTES:
+            yield first, block
+            first, block, size = first + len(block), [], 0
+    if block:
+        yield first, block
+
+
+def _among(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted ``table``."""
+    if not len(table):
+        return np.zeros(values.shape, dtype=bool)
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
 def _owner() -> Column:
@@ -141,24 +199,34 @@ def _meeting_keys(bands: int, rows: int, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
-            keys, owners = [], []
-            for text, owner in zip(part.column("text"), part.column("owner").to_pylist(), strict=True):
-                words, found = read_words(text.as_py())
-                keys.append(np.unique(windows(words)[1]))
-                owners.append(np.full(len(keys[-1]), owner, np.int64))
+            keys, owners, told = [], [], part.column("owner").to_numpy()
+            for first, texts in _blocks(part.column("text")):
+                block, owner = Block(texts), told[first : first + len(texts)]
+                seed, text = block.seeds(), block.window_texts()
+                heads = _heads(text, seed)
+                keys.append(seed[heads])
+                owners.append(owner[text[heads]])
+                found = block.found
                 if found.lines:
-                    _, one = np.unique(found.ids, return_index=True)
-                    key, times = np.unique(np.concatenate(found.band_keys(bands, rows, one)), return_counts=True)
+                    _, one = found.distinct()
+                    key, text = found.band_keys(bands, rows, one).ravel(), np.tile(found.text[one], bands)
+                    order = np.lexsort((key, text))
+                    key, text = key[order], text[order]
+                    heads = _heads(text, key)
+                    key, text, times = key[heads], text[heads], np.diff(np.append(heads, len(key)))
                     # Different paragraphs of one document meet too: it counts as two.
-                    twice = key[times > 1]
-                    keys += [key, twice]
-                    owners += [np.full(len(key), owner, np.int64), np.full(len(twice), ~owner, np.int64)]
+                    keys += [key, key[times > 1]]
+                    owners += [owner[text], ~owner[text[times > 1]]]
             if keys:
                 yield from entries([np.concatenate(keys), np.concatenate(owners)], parts)
 
     return run
 
 
+def _numbers(n: int) -> np.ndarray:
+    return mixed(np.arange(1, n + 1, dtype=np.uint64)).view(np.int64)
+
+
 _SHARED = "cls long, owner long, doc long, keys array<long>, n long, sign binary, text string"
 _SHARED_NAMES = [c.split()[0] for c in _SHARED.split(", ")]
 
@@ -172,27 +240,34 @@ def _shared(bands: int, rows: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
             keys, owners, docs, lines, seen = [], [], [], [], set()
-            told = (part.column(c).to_pylist() for c in ("owner", "doc"))
-            for text, met, owner, doc in zip(part.column("text"), part.column("keys"), *told, strict=True):
-                met = met.values.to_numpy()
-                words, found = read_words(text.as_py())
-                whole, seed = windows(words)
-                keys.append(np.unique(whole[np.isin(seed, met)]))
-                owners.append(np.full(len(keys[-1]), owner, np.int64))
-                docs.append(np.full(len(keys[-1]), doc, np.int64))
+            told = [part.column(c).to_numpy() for c in ("owner", "doc")]
+            for first, texts in _blocks(part.column("text")):
+                block = Block(texts)
+                owner, doc = (c[first : first + len(texts)] for c in told)
+                # A key is looked up among those of its own text, under a number of the text's own.
+                met, own = part.column("keys").slice(first, len(texts)), _numbers(len(texts))
+                table = np.sort(met.flatten().to_numpy() ^ np.repeat(own, np.diff(met.offsets.to_numpy())))
+                seed, (whole, text) = block.seeds(), block.windows()
+                heads = _heads(text, seed)
+                here = _among(table, seed[heads] ^ own[text[heads]])
+                here = np.repeat(here, np.diff(np.append(heads, len(seed))))
+                keys.append(whole[here])
+                owners.append(owner[text[here]])
+                docs.append(doc[text[here]])
+                found = block.found
                 if found.lines:
-                    ids, one = np.unique(found.ids, return_index=True)
-                    key = np.stack(found.band_keys(bands, rows, one))
-                    here = np.isin(key, met)
+                    ids, one = found.distinct()
+                    key = found.band_keys(bands, rows, one)
+                    here = _among(table, key ^ own[found.text[one]])
                     for k in np.flatnonzero(here.any(axis=0)):
-                        at, cls, shingle, line = one[k], int(ids[k]), (), None
-                        mine = key[here[:, k], k].tolist()
+                        at, shingle, line = one[k], (), None
+                        cls, mine, text = int(ids[at]), key[here[:, k], k].tolist(), found.text[at]
                         if cls not in seen:
                             seen.add(cls)
                             shingle = np.unique(found.shingle[found.start[at] : found.stop[at]])
                             line = found.lines[at].decode()
                         sign = None if line is None else signature(shingle)
-                        lines.append((cls, owner, doc, mine, len(shingle), sign, line))
+                        lines.append((cls, int(owner[text]), int(doc[text]), mine, len(shingle), sign, line))
             if lines:
                 columns = [pa.array(c, t) for c, t in zip(zip(*lines, strict=True), kinds, strict=True)]
                 none = [pa.nulls(len(lines), t) for t in (pa.int32(), pa.binary(), pa.binary())]
@@ -224,6 +299,7 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
     docs = docs.select("text", _owner().alias("owner"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"))
     found = docs.select("text", "owner").mapInArrow(_meeting_keys(bands, rows, parts), SCHEMA)
     met = stage(members(found, ["key", "owner"]).select("key", "owner"))
+    free_shuffles(spark)
     wanted = met.groupBy("owner").agg(F.collect_set("key").alias("keys"))
     shared = stage(
         docs.join(wanted, "owner")
@@ -255,8 +331,8 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
 
 def passages(text: str, pieces: np.ndarray, keepers: np.ndarray) -> list[tuple[int, int, int, list[int]]]:
     """Runs of repeated words: first and last byte plus one, words, keepers."""
-    words, found = read_words(text)
-    whole, _ = windows(words)
+    block = Block([_bytes(text)])
+    found, (whole, _) = block.found, block.windows()
     first = np.concatenate([np.arange(len(whole)), found.place])
     last = np.concatenate([first[: len(whole)] + MIN_WORDS, found.place + found.stop - found.start + WIDTH - 1])
     ids = np.concatenate([whole, found.ids])

@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -232,6 +233,29 @@ def test_passages_under_one_id_and_without_ids_go(frame):
     assert sorted((k for _, _, k in cut if k), key=str) == [[[1]], [[1]], [[None]]]
 
 
+def test_texts_are_read_together(monkeypatch):
+    """Many texts take no more steps than one, and none sees its neighbours' words."""
+    texts = [prose(k, 3 + 7 * (k % 20)) + "\n" * (k % 3) + prose(5 + k % 9, 20) for k in range(200)]
+    texts += [None, "", "\n", texts[3], "é " * 40]
+    calls, real = [], substring_dedup.mixed
+    monkeypatch.setattr(substring_dedup, "mixed", lambda x: calls.append(1) or real(x))
+
+    def met(some, first):
+        columns = [pa.array(some, pa.string()), pa.array(np.arange(first, first + len(some)))]
+        batch = pa.RecordBatch.from_arrays(columns, ["text", "owner"])
+        (found,) = list(substring_dedup._meeting_keys(*substring_dedup.tune_bands(), 1)([batch])) or [None]
+        if found is None:
+            return set()
+        told = [np.frombuffer(x, np.int64).reshape(2, -1).T for c in ("packed", "met") for x in found.column(c).to_pylist()]
+        return {tuple(x) for rows in told for x in rows.tolist()}
+
+    together = met(texts, 0)
+    steps = len(calls)
+    alone = [met([t], k) for k, t in enumerate(texts)]
+    assert together == set().union(*alone) and len(together) > 2000
+    assert steps <= 2 * max(1, (len(calls) - steps) // len(texts))
+
+
 @pytest.mark.parametrize("hubs", [0, 2])
 def test_families_of_paragraphs_are_linked(frame, monkeypatch, hubs):
     """Of many variants of a line only one stays whole for each component of all pairs."""
