@@ -123,17 +123,26 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "times"])
 
 
+def _packed_counts(counts: pa.Table) -> pa.Table:
+    columns = [pa.array([counts.column(c).to_numpy().tobytes()], pa.binary()) for c in ("bucket", "times")]
+    return pa.table(columns, ["bucket", "times"])
+
+
 def shingle_counts(docs: DataFrame) -> np.ndarray:
-    """How many sets each bucket's shingles are in; ``BUCKETS`` numbers, whatever the input."""
+    """How many sets each bucket's shingles are in; ``BUCKETS`` numbers, whatever the input.
+    The driver gets them packed: a row for each would cost it many times their size."""
     counts = (
         docs.select("text")
         .mapInArrow(_bucket_counts, "bucket long, times long")
         .groupBy("bucket")
         .agg(F.sum("times").alias("times"))
-        .toPandas()
+        .groupBy(F.shiftright("bucket", 12))
+        .applyInArrow(_packed_counts, "bucket binary, times binary")
+        .collect()
     )
     out = np.zeros(BUCKETS, dtype=np.int64)
-    out[counts["bucket"].to_numpy(np.int64)] = counts["times"].to_numpy(np.int64)
+    for row in counts:
+        out[np.frombuffer(row["bucket"], np.int64)] = np.frombuffer(row["times"], np.int64)
     return out
 
 

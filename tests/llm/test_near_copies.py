@@ -90,6 +90,22 @@ def test_odd_rows(frame, odd_rows):
     assert [tuple(r) for r in ngram_join.ngram_components(frame([(3, None)])).collect()] == [(3, 0, 3)]
 
 
+def test_shingle_counts_reach_the_driver_packed(frame, monkeypatch):
+    """In few rows, with the number of sets that each bucket's shingles are in."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    texts, got, collect = [prose(k, 100) for k in range(50)] + [None, ""], [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: got.append(collect(self)) or got[-1])
+    monkeypatch.setattr(DataFrame, "toPandas", None)
+    found = ngram_join.shingle_counts(frame(list(enumerate(texts))))
+    want = np.zeros(ngram_join.BUCKETS, np.int64)
+    for t in texts:
+        np.add.at(want, (shingle_set(t) >> np.uint64(46)).astype(np.int64), 1)
+    assert (found == want).all() and want.sum() > 4000 and len(got[0]) <= 64
+    empty = ngram_join.shingle_counts(frame([(1, "a")]).limit(0))
+    assert len(empty) == ngram_join.BUCKETS and not empty.any()
+
+
 def test_texts_of_rows_without_ids_are_fetched_once(frame, monkeypatch):
     """Not once for each other row without an id, and one for rows that repeat."""
     base = prose(7, 60).split()
