@@ -289,9 +289,9 @@ def _gone(told: DataFrame, group: str) -> DataFrame:
     )
 
 
-def repeated_pieces(docs: DataFrame) -> DataFrame:
+def repeated_pieces(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """``owner, piece, keeper``: the windows and paragraphs that go from a document and which
-    document has them."""
+    document has them; and the staged tables that this reads."""
     spark = docs.sparkSession
     prepare_workers(spark)
     bands, rows = tune_bands()
@@ -309,7 +309,7 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
     drop_stage(met)
     free_shuffles(spark)
     pieces = members(shared.where("part IS NOT NULL"), ["piece", "owner", "doc"])
-    gone = _gone(stage(pieces.select("piece", "owner", "doc")), "piece")
+    pieces = stage(pieces.select("piece", "owner", "doc"))
     lines = stage(shared.where("cls IS NOT NULL").select(*_SHARED_NAMES))
     drop_stage(shared)
     free_shuffles(spark)
@@ -326,7 +326,7 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
             "piece", "owner", "doc", F.coalesce("component", "piece").alias("label")
         )
     )
-    return gone.unionByName(_gone(told, "label"))
+    return _gone(pieces, "piece").unionByName(_gone(told, "label")), [pieces, lines, classes, told]
 
 
 def passages(text: str, pieces: np.ndarray, keepers: np.ndarray) -> list[tuple[int, int, int, list[int]]]:
@@ -375,9 +375,13 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     with start and stop in code points, words, the documents that keep it and its text."""
     kept = [c for c in docs.columns if c not in ("spans", "removed_words")]
     docs = docs.select(*kept)
-    drops = repeated_pieces(docs).groupBy(F.col("owner").alias("_owner")).agg(
-        F.collect_set(F.struct("piece", "keeper")).alias("_drops")
+    pieces, staged = repeated_pieces(docs)
+    drops = stage(
+        pieces.groupBy(F.col("owner").alias("_owner")).agg(F.collect_set(F.struct("piece", "keeper")).alias("_drops"))
     )
+    for done in staged:  # else all pieces would lie beside the texts that are shuffled next
+        drop_stage(done)
+    free_shuffles(docs.sparkSession)
     joined = docs.join(drops, _owner() == F.col("_owner"), "left")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("removed_words", T.LongType()), T.StructField("spans", _SPAN)]
