@@ -54,9 +54,10 @@ def drop_stage(staged: DataFrame) -> None:
     files.delete(target, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of queries that are done: it does so only once the
-    driver collects its garbage."""
+def free_driver(spark: SparkSession) -> None:
+    """Let the driver give up what it holds of queries that are done, such as the tables it
+    broadcast and the shuffle files it keeps track of: it does so only once it collects its
+    garbage, which it puts off while its heap can grow."""
     spark.sparkContext._jvm.System.gc()
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import stage
+from pressmill.llm.common import free_driver, stage
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -34,16 +34,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     ).where("u <> v")
 
 
+def _starred(edges: DataFrame) -> bool:
+    """Whether every vertex hangs on one other, and that one on none."""
+    ends = edges.select(F.col("u").alias("vertex"), F.lit(1).alias("hangs")).unionByName(
+        edges.select(F.col("v").alias("vertex"), F.lit(0).alias("hangs"))
+    )
+    seen = ends.groupBy("vertex").agg(F.sum("hangs").alias("hangs"), F.count("*").alias("times"))
+    return seen.where("hangs > 0 AND times > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``links (u, v)`` -> ``vertex, component`` for every vertex but the least of its
     component."""
     down = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    edges, before = stage(down.distinct()), None
-    edge = F.xxhash64("u", "v")
-    while True:
-        # Unchanged in count, sum and exclusive or of 64-bit hashes: the same edges.
-        state = edges.agg(F.count("*"), F.sum(edge.cast("decimal(20,0)")), F.bit_xor(edge)).first()
-        if state == before or not state[0]:
-            return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
-        before = state
+    edges = stage(down.distinct())
+    while not _starred(edges):
         edges = stage(_small_star(_large_star(edges).distinct()).distinct())
+        free_driver(edges.sparkSession)
+    return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))

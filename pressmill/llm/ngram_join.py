@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pressmill.llm.common import drop_stage, numbered, shuffle_parts, stage
+from pressmill.llm.common import drop_stage, free_driver, numbered, shuffle_parts, stage
 from pressmill.llm.components import components
 from pressmill.llm.meeting import NAMES, SCHEMA, entries, members
 from pressmill.llm.shingles import mixed, shingle_set
@@ -371,7 +371,6 @@ def settled(met: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     spark = met.sparkSession
     labels = spark.createDataFrame([], "vertex long, component long")
     tried = spark.createDataFrame([], "a long, b long")
-    links = tried
     for k in range(HUB_ROUNDS + 1):
         met = _labelled(met, labels)
         if met.isEmpty():
@@ -380,8 +379,10 @@ def settled(met: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"))
         tried = tried.unionByName(pairs)
-        links = links.unionByName(stage(_verified(texts, classes, pairs)))
-        labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        # The links so far are told by their components.
+        links = labels.toDF("u", "v").unionByName(_verified(texts, classes, pairs).toDF("u", "v"))
+        labels = components(links)
+        free_driver(spark)
     return labels
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressmill.llm.common import drop_stage, free_shuffles, shuffle_parts, stage
+from pressmill.llm.common import drop_stage, free_driver, shuffle_parts, stage
 from pressmill.llm.meeting import NAMES, SCHEMA, entries, members
 from pressmill.llm.ngram_join import distinct_tiles, settled, signature
 from pressmill.llm.shingles import WIDTH, hashes_of, mixed, shingles
@@ -299,7 +299,7 @@ def repeated_pieces(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     docs = docs.select("text", _owner().alias("owner"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"))
     found = docs.select("text", "owner").mapInArrow(_meeting_keys(bands, rows, parts), SCHEMA)
     met = stage(members(found, ["key", "owner"]).select("key", "owner"))
-    free_shuffles(spark)
+    free_driver(spark)
     wanted = met.groupBy("owner").agg(F.collect_set("key").alias("keys"))
     shared = stage(
         docs.join(wanted, "owner")
@@ -307,12 +307,12 @@ def repeated_pieces(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         .mapInArrow(_shared(bands, rows, parts), f"{_SHARED}, {SCHEMA}")
     )
     drop_stage(met)
-    free_shuffles(spark)
+    free_driver(spark)
     pieces = members(shared.where("part IS NOT NULL"), ["piece", "owner", "doc"])
     pieces = stage(pieces.select("piece", "owner", "doc"))
     lines = stage(shared.where("cls IS NOT NULL").select(*_SHARED_NAMES))
     drop_stage(shared)
-    free_shuffles(spark)
+    free_driver(spark)
     tiles = distinct_tiles(stage(lines.select(F.explode("keys").alias("tile"), "cls").distinct()))
     classes = stage(
         lines.where("text IS NOT NULL").groupBy("cls").agg(
@@ -381,7 +381,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     )
     for done in staged:  # else all pieces would lie beside the texts that are shuffled next
         drop_stage(done)
-    free_shuffles(docs.sparkSession)
+    free_driver(docs.sparkSession)
     joined = docs.join(drops, _owner() == F.col("_owner"), "left")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("removed_words", T.LongType()), T.StructField("spans", _SPAN)]

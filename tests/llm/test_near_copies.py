@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from pressmill.llm import components as rounds
 from pressmill.llm import line_dedup, ngram_join, substring_dedup
 from pressmill.llm.components import components
 from pressmill.llm.shingles import shingle_set
@@ -164,6 +165,17 @@ def test_stars_find_components(spark):
     assert {r.vertex: r.component for r in found} == want and len(found) == len(want)
 
 
+def test_stars_need_no_round_and_none_is_made_to_see_that_it_is_over(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(rounds, "stage", lambda df, stage=rounds.stage: made.append(df) or stage(df))
+    star = [(k, 1) for k in range(2, 40)] + [(50, 49), (3, 1)]
+    for edges, most in ((star, 1), (star[:0], 1), ([(3, 2), (2, 1)], 2)):
+        made.clear()
+        found = components(spark.createDataFrame(edges, "u long, v long")).collect()
+        assert {(r.vertex, r.component) for r in found} == ({(3, 1), (2, 1)} if most == 2 else set(edges))
+        assert len(made) == most
+
+
 # -- passages -------------------------------------------------------------------
 
 
