@@ -23,6 +23,8 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 #: Paths staged so far.
 _STAGED: list[str] = []
+#: Whether Spark deletes a query's shuffle files as soon as the query has ended.
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _target(spark: SparkSession, path: str):
@@ -34,12 +36,18 @@ def stage(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back.
 
     The files are marked for deletion when the application ends: a later read must find
-    them after an executor was lost.
+    them after an executor was lost. The shuffles that led to them go at once, as nothing
+    but this write reads them.
     """
     spark = df.sparkSession
     prepare_workers(spark)
     path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    freed = spark.conf.get(_FREED, "false")
+    spark.conf.set(_FREED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREED, freed)
     target, files = _target(spark, path)
     files.deleteOnExit(target)
     _STAGED.append(path)
@@ -56,8 +64,8 @@ def drop_stage(staged: DataFrame) -> None:
 
 def free_driver(spark: SparkSession) -> None:
     """Let the driver give up what it holds of queries that are done, such as the tables it
-    broadcast and the shuffle files it keeps track of: it does so only once it collects its
-    garbage, which it puts off while its heap can grow."""
+    broadcast: it does so only once it collects its garbage, which it puts off while its heap
+    can grow."""
     spark.sparkContext._jvm.System.gc()
 
 

@@ -326,7 +326,9 @@ def repeated_pieces(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             "piece", "owner", "doc", F.coalesce("component", "piece").alias("label")
         )
     )
-    return _gone(pieces, "piece").unionByName(_gone(told, "label")), [pieces, lines, classes, told]
+    for done in (lines, classes):
+        drop_stage(done)
+    return _gone(pieces, "piece").unionByName(_gone(told, "label")), [pieces, told]
 
 
 def passages(text: str, pieces: np.ndarray, keepers: np.ndarray) -> list[tuple[int, int, int, list[int]]]:
