@@ -369,8 +369,9 @@ def settled(met: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the classes that meet in tiles, ``vertex, component``: of ``met (tile,
     cls)``, ``classes (cls, n, sign)`` and ``texts (cls, text)``. No pair of a tile is lost."""
     spark = met.sparkSession
-    labels = spark.createDataFrame([], "vertex long, component long")
-    tried = spark.createDataFrame([], "a long, b long")
+    # Made by Spark alone: local rows of Python would start workers that stay beside the others.
+    labels = spark.range(0).select(F.col("id").alias("vertex"), F.col("id").alias("component"))
+    tried = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
     for k in range(HUB_ROUNDS + 1):
         met = _labelled(met, labels)
         if met.isEmpty():

@@ -23,7 +23,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -152,12 +151,11 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (staged, with doc_id, row, piece, length) with sequence and offset."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    moves = pd.DataFrame(plan(counts, capacity), columns=Run._fields)
-    runs = F.broadcast(  # bounded by the capacity, see above
-        spark.createDataFrame(
-            moves, "length long, low long, high long, each long, sequence long, offset0 long"
-        )
+    moves = pa.Table.from_pylist(
+        [r._asdict() for r in plan(counts, capacity)], pa.schema([(c, pa.int64()) for c in Run._fields])
     )
+    # Bounded by the capacity, see above; an Arrow table starts no Python workers of its own.
+    runs = F.broadcast(spark.createDataFrame(moves).withColumnRenamed("offset", "offset0"))
     order = [F.col("doc_id"), F.col("row"), F.col("piece")]
     ranked = numbered(pieces, ["length"], order, "_rank")
     past = F.col("_rank") - F.col("low")

@@ -44,8 +44,8 @@ from pressmill.session import prepare_workers
 SIMILARITY, RECALL = 0.8, 0.95
 #: Words of a window, of the shortest paragraph and of the shortest passage that is cut out.
 MIN_WORDS = 16
-#: Documents of a map task that are looked at together.
-DOCUMENTS = 4096
+#: Documents of a map task that are looked at together, and from which passages are cut at once.
+DOCUMENTS, CUT_DOCUMENTS = 4096, 256
 #: Bytes of the texts that are read together; a longer text is read by itself.
 BLOCK_BYTES = 1 << 18
 LAST_ID = (1 << 63) - 1
@@ -188,10 +188,10 @@ def _owner() -> Column:
     return F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = DOCUMENTS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k in range(0, batch.num_rows, DOCUMENTS):
-            yield batch.slice(k, DOCUMENTS)
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
 
 
 def _meeting_keys(bands: int, rows: int, parts: int):
@@ -372,6 +372,38 @@ _SPAN = T.ArrayType(
 )
 
 
+_SPANS = pa.list_(
+    pa.struct(
+        [("start", pa.int64()), ("stop", pa.int64()), ("words", pa.int64()),
+         ("kept_in", pa.list_(pa.int64())), ("passage", pa.string())]
+    )
+)
+
+
+def _without_drops(kept: list[str]):
+    """Documents with their ``_drops`` to what stays of them, few at once: the passages of a
+    whole batch as Python objects would lie beside the batch and what is made of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches, CUT_DOCUMENTS):
+            texts, words, spans = [], [], []
+            for text, drops in zip(part.column("text"), part.column("_drops"), strict=True):
+                text, found = text.as_py(), []
+                if text and drops.is_valid:
+                    pairs = [drops.values.field(k).to_numpy() for k in ("piece", "keeper")]
+                    text, found = _cut(text, *pairs)
+                texts.append(text)
+                words.append(sum(s["words"] for s in found))
+                spans.append(found)
+            made = {"text": pa.array(texts, pa.string())}
+            columns = [made[c] if c in made else part.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(words, pa.int64()), pa.array(spans, _SPANS)], [*kept, "removed_words", "spans"]
+            )
+
+    return run
+
+
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeats cut from ``text``, ``removed_words``, and ``spans``: each
     with start and stop in code points, words, the documents that keep it and its text."""
@@ -389,30 +421,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
         [*docs.schema.fields, T.StructField("removed_words", T.LongType()), T.StructField("spans", _SPAN)]
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, words, spans = [], [], []
-            for text, drops in zip(batch.column("text"), batch.column("_drops"), strict=True):
-                text, found = text.as_py(), []
-                if text and drops.is_valid:
-                    pairs = [drops.values.field(k).to_numpy() for k in ("piece", "keeper")]
-                    text, found = _cut(text, *pairs)
-                texts.append(text)
-                words.append(sum(s["words"] for s in found))
-                spans.append(found)
-            made = {"text": pa.array(texts, pa.string())}
-            columns = [made[c] if c in made else batch.column(c) for c in kept]
-            kind = pa.list_(
-                pa.struct(
-                    [("start", pa.int64()), ("stop", pa.int64()), ("words", pa.int64()),
-                     ("kept_in", pa.list_(pa.int64())), ("passage", pa.string())]
-                )
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(words, pa.int64()), pa.array(spans, kind)], [*kept, "removed_words", "spans"]
-            )
-
-    return joined.select(*kept, "_drops").mapInArrow(run, schema)
+    return joined.select(*kept, "_drops").mapInArrow(_without_drops(kept), schema)
 
 
 def _cut(text: str, pieces: np.ndarray, keepers: np.ndarray) -> tuple[str, list[dict]]:

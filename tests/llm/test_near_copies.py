@@ -349,3 +349,30 @@ def test_line_dedup_odd_rows_and_names(frame):
     assert all(r.n_removed == 1 and not r.text.startswith("wide") for r in found)
     assert sorted(r.text for r in found if r.doc_id is None) == ["no id"] * 2 + ["nor this"] * 2
     assert {len(r.text) for r in found if r.doc_id == 50} == {len(text) - 5}
+
+
+def test_passages_are_cut_from_few_documents_at_once():
+    rows, passage = 3 * substring_dedup.CUT_DOCUMENTS + 5, prose(5, 40)
+    pieces, _ = substring_dedup.Block([passage.encode()]).windows()
+    drops = [{"piece": int(p), "keeper": 7} for p in pieces]
+    own = [prose(100 + k, 5) for k in range(rows)]
+    kind = pa.list_(pa.struct([("piece", pa.int64()), ("keeper", pa.int64())]))
+    columns = [
+        pa.array(range(rows)),
+        pa.array([None if k % 5 == 0 else f"{t} {passage}" for k, t in enumerate(own)]),
+        pa.array([drops if k % 3 else None for k in range(rows)], kind),
+    ]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "_drops"])
+    made = list(substring_dedup._without_drops(["doc_id", "text"])([batch]))
+    assert max(x.num_rows for x in made) <= substring_dedup.CUT_DOCUMENTS
+    cut = pa.Table.from_batches(made).to_pylist()
+    assert [r["doc_id"] for r in cut] == list(range(rows))
+    for k, r in enumerate(cut):
+        if k % 5 == 0:
+            assert (r["text"], r["removed_words"], r["spans"]) == (None, 0, [])
+        elif k % 3 == 0:
+            assert (r["text"], r["removed_words"], r["spans"]) == (f"{own[k]} {passage}", 0, [])
+        else:
+            (span,) = r["spans"]
+            assert (r["text"], r["removed_words"], span["passage"]) == (f"{own[k]} ", 40, passage)
+            assert (span["start"], span["kept_in"]) == (len(own[k]) + 1, [7])

@@ -2,7 +2,10 @@
 
 import re
 
+from pyspark import SparkContext
+
 import corpus_pipeline
+from pressmill.llm import ngram_join, packing, substring_dedup
 from pressmill.llm.common import stage
 from tests.llm.conftest import prose
 from tests.llm.test_near_copies import brute_components
@@ -76,3 +79,20 @@ def test_copies_under_one_id_go(spark, frame):
         assert sum(t.split() == prose(2, 50).split() for t in with_words) == 1
         assert with_words.count(prose(3, 60)) == 1 and sum(t.startswith(prose(4, 60)) for t in with_words) == 1
         assert len(with_words) == 4 and len(found) - 4 == (2 if df is docs else 1)
+
+
+def test_no_rows_of_the_driver_start_workers_of_their_own(spark, frame, monkeypatch):
+    """Workers for local rows would stay beside those that the stages use."""
+    base = prose(1, 80)
+    docs = stage(frame([(1, base), (2, f"{base} end"), (3, f"{prose(2, 30)} {base}"), (4, None), (5, prose(3, 60))]))
+
+    def refused(*_):
+        raise AssertionError("local rows go through Python workers")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refused)
+    linked = {r.doc_id: r.component_id for r in ngram_join.ngram_components(docs).collect()}
+    assert linked == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    removed = {r.doc_id: r.removed_words for r in substring_dedup.cut_repeats(docs).collect()}
+    assert removed[1] == removed[4] == removed[5] == 0 and removed[2] >= 80 and removed[3] == 80
+    for df in (docs, docs.limit(0)):
+        assert packing.pack_documents(df).count() == df.count()
